@@ -73,7 +73,7 @@ def with_hit_metrics(hits: DataFrame, identity: str = "gap_compressed") -> DataF
     tags = F.col("tags")
     block = F.when(F.col("alignment_block_length") > 0, F.col("matching_bases") / F.when(F.col("alignment_block_length") > 0, F.col("alignment_block_length"))).otherwise(0.0)
     de = F.try_element_at(tags, F.lit("de")).try_cast("double")
-    gap = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - de))
+    gap = F.when(de.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - de)))
     return hits.select(
         "*",
         F.coalesce(F.try_element_at(tags, F.lit("AS")).try_cast("long"), F.col("matching_bases")).alias("alignment_score"),
