@@ -404,7 +404,7 @@ def max_usable(spark, sf_dir):
     return spark.createDataFrame([(s.name, s.start, s.end, s.length) for s in chosen], "name string, start int, end int, length int")
 
 
-@query("""SELECT * FROM (VALUES ('e1-e2', 0.03, false), ('core-e2', 0.045, true), ('core+e1+e2', 0.045, true), ('ns5b', 0.015, true), ('structural', 0.03, true), ('cds', 0.03, false)) t(region, threshold, evidence)""")
+@query("""SELECT region, CAST(threshold AS DOUBLE) AS threshold, evidence FROM (VALUES ('e1-e2', 0.03, false), ('core-e2', 0.045, true), ('core+e1+e2', 0.045, true), ('ns5b', 0.015, true), ('structural', 0.03, true), ('cds', 0.03, false)) t(region, threshold, evidence)""")
 def region_thresholds(spark, sf_dir):
     names = ("e1-e2", "core-e2", "core+e1+e2", "ns5b", "structural", "cds")
     return spark.createDataFrame([(n, regions.threshold_for(n), regions.threshold_has_evidence(n)) for n in names], "region string, threshold double, evidence boolean")
