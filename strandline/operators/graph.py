@@ -39,6 +39,8 @@ def min_labels(edges: DataFrame, src: str = "source", dst: str = "target", max_r
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
     stars = e.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
     return stars.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
