@@ -8,8 +8,9 @@ are kept when their whole signatures reach the match threshold, then confirmed o
 A posting list is never expanded into all its pairs. Lists of up to ``small`` nodes are; longer ones link every node to
 the list's first node, are split by a second coordinate and handled in the same way. Most lists are then within one
 component. For those that are not, a second pass compares each node outside the list's largest component with the
-whole list in blocks, in numpy, and skips a pair at every coordinate but the first at which it agrees. So every pair
-across components at or over the match threshold is confirmed or refuted on full sets. The chance that a pair at
+whole list, block by block in numpy, and skips a pair at every coordinate but the first at which it agrees. Pairs across
+components at or over the match threshold are confirmed or refuted on full sets in the same task, which emits only links
+that join components. The chance that a pair at
 exactly the similarity threshold has fewer matches than the match threshold is about 2e-6 (41 of 64 at 0.85).
 """
 
@@ -30,6 +31,7 @@ COORDINATES = 64
 SMALL = 16
 HOME = 256
 BLOCK = 1024
+BLOCK_SHINGLES = 2_000_000
 
 
 def match_threshold(percent: int) -> int:
@@ -165,39 +167,89 @@ def _sets_overlap(percent: int) -> Callable[[dict, int, list[int]], list[int]]:
     return test
 
 
-def _across(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs between the queries and the nodes of one (list, block), at the first coordinate at which they agree."""
+def _across(least: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links that join different labels within one cell: a block of a list against a block of its queries.
 
-    def pairs(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    Candidates agree at this list's coordinate first and reach the match threshold; they are confirmed or refuted here, on
+    full sets. A link between labels that the cell has joined already adds nothing, so a cell emits fewer links than it
+    has labels, however many pairs it compares.
+    """
+
+    def links(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         q, t = ([r for r in held if r[0] == want] for want in (True, False))
         if not q or not t:
             return
-        sig_t, label_t, node_t = np.stack([r[4] for r in t]), np.array([r[2] for r in t]), np.array([r[1] for r in t])
-        at = t[0][3]
-        us, vs = [], []
-        for _, node, label, _, sig in q:
-            same = sig_t == sig
-            ok = (same.sum(axis=1) >= least) & ~same[:, :at].any(axis=1) & (label_t != label)
-            other = node_t[ok]
-            us.append(np.minimum(other, node))
-            vs.append(np.maximum(other, node))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us), pa.int64()), pa.array(np.concatenate(vs), pa.int64())], names=["u", "v"])
+        sig_t, node_t, outside = np.stack([r[5] for r in t]), np.array([r[1] for r in t]), np.array([r[4] for r in t])
+        part_t, part_q = np.array([r[2] for r in t]), np.array([r[2] for r in q])
+        sets: dict[int, np.ndarray] = {}
+        at, us, vs = t[0][3], [], []
+
+        def shingles(r: tuple) -> np.ndarray:
+            if id(r) not in sets:  # not by node: rows that repeat a doc_id may differ in text
+                sets[id(r)] = next(shingle_sets(pa.array([r[6].as_py()], pa.large_string())))
+            return sets[id(r)]
+
+        for i, row in enumerate(q):
+            ok = (part_t != part_q[i]) & ~(outside & (node_t < row[1]))
+            some = np.flatnonzero(ok)
+            same = sig_t[some] == row[5]
+            some = some[(same.sum(axis=1) >= least) & ~same[:, :at].any(axis=1)]
+            if not len(some):
+                continue
+            some = some[[len(shingles(t[j])) > 0 for j in some]]
+            own, others = shingles(row), [shingles(t[j]) for j in some]
+            if not len(own) or not others:
+                continue
+            sizes = np.array([len(o) for o in others])
+            flat = np.concatenate(others)
+            place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            both = np.add.reduceat((own[place] == flat).astype(np.int64), np.r_[0, np.cumsum(sizes)[:-1]])
+            for j in some[100 * both >= percent * (len(own) + sizes - both)]:
+                mine, other = part_q[i], part_t[j]
+                if mine != other:
+                    us.append(min(row[1], t[j][1]))
+                    vs.append(max(row[1], t[j][1]))
+                    part_t[part_t == other] = mine
+                    part_q[part_q == other] = mine
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        cell, held = None, []
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(6)]
-            sigs = batch.column(6)
-            for i, (k, block, query, node, label, at) in enumerate(zip(*cols, strict=True)):
-                if (k, block) != key:
-                    yield from pairs(held)
-                    key, held = (k, block), []
-                held.append((query, node, label, at, sigs[i].values.to_numpy()))
-        yield from pairs(held)
+            cols = [batch.column(i).to_pylist() for i in range(8)]
+            sigs, texts = batch.column(8), batch.column(9)
+            for i, (key, tb, qb, *rest) in enumerate(zip(*cols, strict=True)):
+                if (key, tb, qb) != cell:
+                    yield from links(held)
+                    cell, held = (key, tb, qb), []
+                held.append((*rest, sigs[i].values.to_numpy(), texts[i]))
+        yield from links(held)
 
     return run
 
 
+def _open_cells(labelled: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """The cells of the lists with several labels, or None if no list has.
+
+    A list's members, and its queries (those outside its largest label), are each dealt into blocks of about ``BLOCK``
+    rows and ``BLOCK_SHINGLES`` shingles, so a task holds two blocks whatever the list's length.
+    """
+    by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("share"), F.sum("size").alias("weight"))
+    shares = by_label.groupBy("key").agg(F.max(F.struct("share", "label", "weight")).alias("top"), F.count("*").alias("labels"), F.sum("share").alias("n"), F.sum("weight").alias("w"))
+    blocks = lambda n, w: F.greatest(F.ceil(n / BLOCK), F.ceil(w / BLOCK_SHINGLES), F.lit(1)).cast("long")
+    several = shares.filter("labels > 1").select("key", F.col("top.label").alias("main"), blocks(F.col("n"), F.col("w")).alias("n_t"), blocks(F.col("n") - F.col("top.share"), F.col("w") - F.col("top.weight")).alias("n_q"))
+    several = materialise(several, "open")
+    if not several.limit(1).count():
+        return None
+    rows = labelled.join(several, "key").withColumn("outside", F.col("label") != F.col("main"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    target = rows.select("key", own("n_t").alias("tb"), every("n_q").alias("qb"), F.lit(False).alias("query"), "node", "label", "at", "outside")
+    query = rows.filter("outside").select("key", every("n_t").alias("tb"), own("n_q").alias("qb"), F.lit(True).alias("query"), "node", "label", "at", "outside")
+    load = nodes.select("node", "sig").join(texts, "node")
+    return target.unionByName(query).join(load, "node").select("key", "tb", "qb", "query", "node", "label", "at", "outside", "sig", "payload")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per row of ``docs``.
 
@@ -211,9 +263,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
     least = match_threshold(percent)
     signed = materialise(signatures(docs), "signatures")
     sets = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
-    nodes = materialise(signed.withColumnRenamed("doc_id", "node").join(sets, ["node", "set_a", "set_b", "n_shingles"]).select("node", "sig").dropDuplicates(["node", "sig"]), "nodes")
-    posts = nodes.select("node", F.posexplode(F.slice("sig", 1, COORDINATES - least + 1)).alias("at", "value"), "sig")
-    posts = posts.select("node", "at", F.xxhash64("at", "value").alias("key"), F.element_at("sig", F.pmod(F.col("at") + 37, F.lit(COORDINATES)).cast("int") + 1).alias("next"))
+    nodes = materialise(signed.withColumnRenamed("doc_id", "node").join(sets, ["node", "set_a", "set_b", "n_shingles"]).select("node", "sig", F.col("n_shingles").alias("size")).dropDuplicates(["node", "sig"]), "nodes")
+    posts = nodes.select("node", F.posexplode(F.slice("sig", 1, COORDINATES - least + 1)).alias("at", "value"), "sig", "size")
+    posts = posts.select("node", "at", "size", F.xxhash64("at", "value").alias("key"), F.element_at("sig", F.pmod(F.col("at") + 37, F.lit(COORDINATES)).cast("int") + 1).alias("next"))
     first, long_lists = _list_pairs(posts.select("key", "node"), small)
     long_lists = materialise(long_lists, "lists")
     split = posts.join(long_lists, "key").select(F.xxhash64("key", "next").alias("key"), "node")
@@ -221,16 +273,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("payload"))
     links = _confirmed(materialise(first.unionByName(second).distinct(), "pairs"), nodes, texts, percent)
     labels = min_labels(links, "u", "v")
-    labelled = posts.join(long_lists, "key").join(labels, "node", "left").select("key", "at", "n", "node", F.coalesce("label", "node").alias("label"))
-    shares = labelled.groupBy("key", "label").agg(F.count("*").alias("share")).groupBy("key").agg(F.max_by("label", F.struct("share", "label")).alias("main"), F.count("*").alias("labels"))
-    open_lists = materialise(shares.filter("labels > 1"), "open")
-    if open_lists.limit(1).count():
-        rows = labelled.join(open_lists, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
-        target = rows.select("key", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.lit(False).alias("query"), "node", "label", "at")
-        query = rows.filter("label <> main").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("query"), "node", "label", "at")
-        cells = target.unionByName(query).join(nodes, "node").select("key", "block", "query", "node", "label", "at", "sig")
-        more = materialise(cells.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_across(least), "u long, v long").distinct(), "pairs")
-        more = _confirmed(more, nodes, texts, percent, matched=True)
+    labelled = posts.join(long_lists, "key").join(labels, "node", "left").select("key", "at", "node", "size", F.coalesce("label", "node").alias("label"))
+    cells = _open_cells(labelled, nodes, texts)
+    if cells is not None:
+        more = materialise(cells.repartition("key", "tb", "qb").sortWithinPartitions("key", "tb", "qb").mapInArrow(_across(least, percent), "u long, v long").distinct(), "links")
         if more.limit(1).count():
             labels = min_labels(links.unionByName(more), "u", "v")
     of_set = sets.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", "node", F.coalesce("label", "node").alias("label"))
@@ -238,10 +284,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("label", "doc_id"), F.lit(True)).alias("kept"))
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, matched: bool = False) -> DataFrame:
-    if not matched:
-        pairs = materialise(_checked(pairs, nodes.select("node", F.col("sig").alias("payload")), _signatures_match(match_threshold(percent))).distinct(), "matched")
-    return materialise(_checked(pairs, texts, _sets_overlap(percent)).distinct(), "links")
+def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    matched = materialise(_checked(pairs, nodes.select("node", F.col("sig").alias("payload")), _signatures_match(match_threshold(percent))).distinct(), "matched")
+    return materialise(_checked(matched, texts, _sets_overlap(percent)).distinct(), "links")
 
 
 def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
