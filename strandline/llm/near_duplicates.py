@@ -8,14 +8,15 @@ are kept when their whole signatures reach the match threshold, then confirmed o
 A posting list is never expanded into all its pairs. Lists of up to ``small`` nodes are; longer ones link every node to
 the list's first node, are split by a second coordinate and handled in the same way. Most lists are then within one
 component. For those that are not, a second pass compares each node outside the list's largest component with the
-whole list, block by block in numpy, and skips a pair at every coordinate but the first at which it agrees. Pairs across
-components at or over the match threshold are confirmed or refuted on full sets in the same task, which emits only links
-that join components. The chance that a pair at
+whole list, block by block in numpy, and skips a pair at every coordinate but the first at which it agrees. It does so
+on signatures alone at first. The rows that have a candidate pair across components then get their texts, and their
+pairs are confirmed or refuted on full sets in one task a cell, which emits only links that join components. The chance that a pair at
 exactly the similarity threshold has fewer matches than the match threshold is about 2e-6 (41 of 64 at 0.85).
 """
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,6 +33,8 @@ SMALL = 16
 HOME = 256
 BLOCK = 1024
 BLOCK_SHINGLES = 2_000_000
+LIGHT = ["key", "tb", "qb", "asks", "answers", "node", "label", "at", "outside"]
+Row = namedtuple("Row", [*LIGHT, "sig", "payload"], defaults=[None])
 
 
 def match_threshold(percent: int) -> int:
@@ -167,6 +170,58 @@ def _sets_overlap(percent: int) -> Callable[[dict, int, list[int]], list[int]]:
     return test
 
 
+def _hits(q: list[tuple], t: list[tuple], part_q: np.ndarray, part_t: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of ``q``, the rows of ``t`` in another part that reach the match threshold and agree here first.
+
+    The parts are read as each query is reached, so a caller may join them on the way.
+    """
+    sig_t, node_t, outside, at = np.stack([r.sig for r in t]), np.array([r.node for r in t]), np.array([r.outside for r in t]), t[0].at
+    for i, row in enumerate(q):
+        some = np.flatnonzero((part_t != part_q[i]) & ~(outside & (node_t < row.node)))
+        same = sig_t[some] == row.sig
+        some = some[(same.sum(axis=1) >= least) & ~same[:, :at].any(axis=1)]
+        if len(some):
+            yield i, some
+
+
+def _cells(judge: Callable[[list[Row], list[Row]], pa.RecordBatch], heavy: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Hands the queries and the targets of each cell of sorted rows to ``judge``; cells without either are left out."""
+
+    def close(held: list[Row]) -> Iterator[pa.RecordBatch]:
+        q, t = [r for r in held if r.asks], [r for r in held if r.answers]
+        if q and t:
+            yield judge(q, t)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, []
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in LIGHT]
+            sigs, rest = batch.column("sig"), [batch.column(c) for c in heavy]
+            for i, light in enumerate(zip(*cols, strict=True)):
+                if light[:3] != cell:
+                    yield from close(held)
+                    cell, held = light[:3], []
+                held.append(Row(*light, sigs[i].values.to_numpy(), *(c[i] for c in rest)))
+        yield from close(held)
+
+    return run
+
+
+def _meeting(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The rows of each cell that have a candidate in it, by signatures alone; a cell emits no more rows than it has."""
+
+    def judge(q: list[Row], t: list[Row]) -> pa.RecordBatch:
+        part_q, part_t = np.array([r.label for r in q]), np.array([r.label for r in t])
+        found: dict[int, Row] = {}
+        for i, some in _hits(q, t, part_q, part_t, least):
+            found[id(q[i])] = q[i]
+            found.update((id(t[j]), t[j]) for j in some)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        return pa.RecordBatch.from_arrays([pa.array([getattr(r, c) for r in found.values()], k) for c, k in zip(LIGHT, kinds, strict=True)], names=LIGHT)
+
+    return _cells(judge, [])
+
+
 def _across(least: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Links that join different labels within one cell: a block of a list against a block of its queries.
 
@@ -175,27 +230,18 @@ def _across(least: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
     has labels, however many pairs it compares.
     """
 
-    def links(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        q, t = ([r for r in held if r[0] == want] for want in (True, False))
-        if not q or not t:
-            return
-        sig_t, node_t, outside = np.stack([r[5] for r in t]), np.array([r[1] for r in t]), np.array([r[4] for r in t])
-        part_t, part_q = np.array([r[2] for r in t]), np.array([r[2] for r in q])
+    def judge(q: list[Row], t: list[Row]) -> pa.RecordBatch:
+        part_q, part_t = np.array([r.label for r in q]), np.array([r.label for r in t])
         sets: dict[int, np.ndarray] = {}
-        at, us, vs = t[0][3], [], []
+        us, vs = [], []
 
-        def shingles(r: tuple) -> np.ndarray:
+        def shingles(r: Row) -> np.ndarray:
             if id(r) not in sets:  # not by node: rows that repeat a doc_id may differ in text
-                sets[id(r)] = next(shingle_sets(pa.array([r[6].as_py()], pa.large_string())))
+                sets[id(r)] = next(shingle_sets(pa.array([r.payload.as_py()], pa.large_string())))
             return sets[id(r)]
 
-        for i, row in enumerate(q):
-            ok = (part_t != part_q[i]) & ~(outside & (node_t < row[1]))
-            some = np.flatnonzero(ok)
-            same = sig_t[some] == row[5]
-            some = some[(same.sum(axis=1) >= least) & ~same[:, :at].any(axis=1)]
-            if not len(some):
-                continue
+        for i, some in _hits(q, t, part_q, part_t, least):
+            row = q[i]
             some = some[[len(shingles(t[j])) > 0 for j in some]]
             own, others = shingles(row), [shingles(t[j]) for j in some]
             if not len(own) or not others:
@@ -207,32 +253,21 @@ def _across(least: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
             for j in some[100 * both >= percent * (len(own) + sizes - both)]:
                 mine, other = part_q[i], part_t[j]
                 if mine != other:
-                    us.append(min(row[1], t[j][1]))
-                    vs.append(max(row[1], t[j][1]))
+                    us.append(min(row.node, t[j].node))
+                    vs.append(max(row.node, t[j].node))
                     part_t[part_t == other] = mine
                     part_q[part_q == other] = mine
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held = None, []
-        for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(8)]
-            sigs, texts = batch.column(8), batch.column(9)
-            for i, (key, tb, qb, *rest) in enumerate(zip(*cols, strict=True)):
-                if (key, tb, qb) != cell:
-                    yield from links(held)
-                    cell, held = (key, tb, qb), []
-                held.append((*rest, sigs[i].values.to_numpy(), texts[i]))
-        yield from links(held)
+        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    return run
+    return _cells(judge, ["payload"])
 
 
-def _open_cells(labelled: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """The cells of the lists with several labels, or None if no list has.
+def _open_cells(labelled: DataFrame) -> DataFrame | None:
+    """The cells of the lists with several labels, or None if no list has: the columns ``LIGHT``.
 
-    A list's members, and its queries (those outside its largest label), are each dealt into blocks of about ``BLOCK``
-    rows and ``BLOCK_SHINGLES`` shingles, so a task holds two blocks whatever the list's length.
+    A list's members answer, and those outside its largest label ask; both are dealt into blocks of about ``BLOCK`` rows
+    and ``BLOCK_SHINGLES`` shingles, so a task holds two blocks whatever the list's length. In a list of one block a
+    member that asks and answers is one row.
     """
     by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("share"), F.sum("size").alias("weight"))
     shares = by_label.groupBy("key").agg(F.max(F.struct("share", "label", "weight")).alias("top"), F.count("*").alias("labels"), F.sum("share").alias("n"), F.sum("weight").alias("w"))
@@ -242,12 +277,34 @@ def _open_cells(labelled: DataFrame, nodes: DataFrame, texts: DataFrame) -> Data
     if not several.limit(1).count():
         return None
     rows = labelled.join(several, "key").withColumn("outside", F.col("label") != F.col("main"))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-    target = rows.select("key", own("n_t").alias("tb"), every("n_q").alias("qb"), F.lit(False).alias("query"), "node", "label", "at", "outside")
-    query = rows.filter("outside").select("key", every("n_t").alias("tb"), own("n_q").alias("qb"), F.lit(True).alias("query"), "node", "label", "at", "outside")
-    load = nodes.select("node", "sig").join(texts, "node")
-    return target.unionByName(query).join(load, "node").select("key", "tb", "qb", "query", "node", "label", "at", "outside", "sig", "payload")
+    zero, whole = F.lit(0).cast("long"), F.col("n_t") == 1
+    every = lambda n: F.sequence(zero, F.col(n) - 1)
+    own = lambda n: F.array(F.pmod(F.xxhash64("node"), F.col(n)))
+    role = lambda tb, qb, asks, answers: F.struct(tb.alias("tb"), qb.alias("qb"), asks.alias("asks"), F.lit(answers).alias("answers"))
+    target = role(own("n_t"), every("n_q"), whole & F.col("outside"), True)
+    query = role(every("n_t"), own("n_q"), F.lit(True), False)
+    roles = F.when(F.col("outside") & ~whole, F.array(target, query)).otherwise(F.array(target))
+    rows = rows.withColumn("role", F.explode(roles)).withColumn("tb", F.explode("role.tb")).withColumn("qb", F.explode("role.qb"))
+    return rows.select("key", "tb", "qb", "role.asks", "role.answers", "node", "label", "at", "outside")
+
+
+def _in_cells(cells: DataFrame, load: DataFrame) -> DataFrame:
+    return cells.join(load, "node").select(*LIGHT, *[c for c in load.columns if c != "node"]).repartition("key", "tb", "qb").sortWithinPartitions("key", "tb", "qb")
+
+
+def _joining(labelled: DataFrame, nodes: DataFrame, texts: DataFrame, least: int, percent: int) -> DataFrame | None:
+    """Links between the labels of the lists with several, or None if there is no such list.
+
+    Signatures alone go to the cells first; texts follow only for the rows that have a candidate in their cell.
+    """
+    cells, sig = _open_cells(labelled), nodes.select("node", "sig")
+    if cells is None:
+        return None
+    kinds = "key long, tb long, qb long, asks boolean, answers boolean, node long, label long, at int, outside boolean"
+    met = materialise(_in_cells(cells, sig).mapInArrow(_meeting(least), kinds), "met")
+    wanted = met.select("node").distinct()
+    load = sig.join(wanted, "node", "left_semi").join(texts.join(wanted, "node", "left_semi"), "node")
+    return materialise(_in_cells(met, load).mapInArrow(_across(least, percent), "u long, v long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> DataFrame:
@@ -274,11 +331,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
     links = _confirmed(materialise(first.unionByName(second).distinct(), "pairs"), nodes, texts, percent)
     labels = min_labels(links, "u", "v")
     labelled = posts.join(long_lists, "key").join(labels, "node", "left").select("key", "at", "node", "size", F.coalesce("label", "node").alias("label"))
-    cells = _open_cells(labelled, nodes, texts)
-    if cells is not None:
-        more = materialise(cells.repartition("key", "tb", "qb").sortWithinPartitions("key", "tb", "qb").mapInArrow(_across(least, percent), "u long, v long").distinct(), "links")
-        if more.limit(1).count():
-            labels = min_labels(links.unionByName(more), "u", "v")
+    more = _joining(labelled, nodes, texts, least, percent)
+    if more is not None and more.limit(1).count():
+        labels = min_labels(links.unionByName(more), "u", "v")
     of_set = sets.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", "node", F.coalesce("label", "node").alias("label"))
     out = signed.join(of_set, ["set_a", "set_b", "n_shingles"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("label", "doc_id"), F.lit(True)).alias("kept"))
