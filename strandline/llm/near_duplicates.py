@@ -1,8 +1,8 @@
 """MinHash near-duplicates by a signature-coordinate inverted join.
 
 Documents with one set of shingles are one node. Each node is posted under (coordinate, value) for a prefix of its
-signature: two signatures that agree in t of m places agree somewhere in any m - t + 1 of them, so the other coordinates
-need no postings. Pairs found in a posting list
+signature, the m - t + 1 values that fewest nodes share: two signatures that agree in t of m places agree in one of
+both prefixes, so the other coordinates need no postings. Pairs found in a posting list
 are kept when their whole signatures reach the match threshold, then confirmed on the full shingle sets.
 
 A posting list is never expanded into all its pairs. Lists of up to ``small`` nodes are; longer ones link every node to
@@ -33,7 +33,7 @@ SMALL = 16
 HOME = 256
 BLOCK = 1024
 BLOCK_SHINGLES = 2_000_000
-LIGHT = ["key", "tb", "qb", "asks", "answers", "node", "label", "at", "outside"]
+LIGHT = ["key", "tb", "qb", "asks", "answers", "node", "label", "before", "outside"]
 Row = namedtuple("Row", [*LIGHT, "sig", "payload"], defaults=[None])
 
 
@@ -89,6 +89,21 @@ def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).filter("u < v")
 
 
+def _with_prefix(nodes: DataFrame, length: int, small: int) -> DataFrame:
+    """``nodes`` with ``prefix``: the coordinates of the signature's ``length`` rarest values, rarest first.
+
+    Values that at most ``small`` nodes share count as equally rare; ties go by coordinate. The order is the same for all
+    nodes, so two that agree in enough coordinates agree in one of both prefixes.
+    """
+    sid = F.xxhash64("sig").alias("sid")
+    tokens = nodes.select("node", sid, F.posexplode("sig").alias("at", "value")).select("node", "sid", "at", F.xxhash64("at", "value").alias("key"))
+    common = materialise(tokens.groupBy("key").agg(F.count("*").alias("n")).filter(f"n > {small}"), "common")
+    counts = tokens.join(common, "key").groupBy("node", "sid").agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("counts"))
+    ranked = F.sort_array(F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda i: F.struct(F.coalesce(F.try_element_at("counts", i), F.lit(0).cast("long")).alias("n"), i.alias("at"))))
+    out = nodes.withColumn("sid", sid).join(materialise(counts, "counts"), ["node", "sid"], "left")
+    return out.select("node", "sig", "size", F.slice(ranked, 1, length).getField("at").alias("prefix"))
+
+
 def _list_pairs(posts: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of posting lists ``(key, node)``: all of a small list, a star of a longer one; and the longer lists' keys."""
     lists = posts.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).filter("n > 1")
@@ -111,7 +126,8 @@ def _checked(pairs: DataFrame, items: DataFrame, test: Callable[[dict, int, list
     dealt = pairs.join(own, "v")
     asks = dealt.groupBy("c", "salt", F.col("v").alias("doc")).agg(F.collect_list("u").alias("us"))
     given = dealt.select("c", "salt", F.col("u").alias("doc")).distinct().withColumn("us", F.lit(None).cast("array<long>"))
-    rows = asks.unionByName(given).join(items.withColumnRenamed("node", "doc"), "doc").select("c", "salt", "doc", "us", "payload")
+    ends = materialise(asks.unionByName(given), "ends")  # its size is known then, so few ends do not make all payloads move
+    rows = ends.join(items.withColumnRenamed("node", "doc"), "doc").select("c", "salt", "doc", "us", "payload")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, wanted = None, {}, []
@@ -175,11 +191,12 @@ def _hits(q: list[tuple], t: list[tuple], part_q: np.ndarray, part_t: np.ndarray
 
     The parts are read as each query is reached, so a caller may join them on the way.
     """
-    sig_t, node_t, outside, at = np.stack([r.sig for r in t]), np.array([r.node for r in t]), np.array([r.outside for r in t]), t[0].at
+    sig_t, node_t, outside = np.stack([r.sig for r in t]), np.array([r.node for r in t]), np.array([r.outside for r in t])
     for i, row in enumerate(q):
         some = np.flatnonzero((part_t != part_q[i]) & ~(outside & (node_t < row.node)))
         same = sig_t[some] == row.sig
-        some = some[(same.sum(axis=1) >= least) & ~same[:, :at].any(axis=1)]
+        earlier = np.flatnonzero((np.int64(row.before) >> np.arange(COORDINATES)) & 1)
+        some = some[(same.sum(axis=1) >= least) & ~same[:, earlier].any(axis=1)]
         if len(some):
             yield i, some
 
@@ -216,7 +233,7 @@ def _meeting(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         for i, some in _hits(q, t, part_q, part_t, least):
             found[id(q[i])] = q[i]
             found.update((id(t[j]), t[j]) for j in some)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
         return pa.RecordBatch.from_arrays([pa.array([getattr(r, c) for r in found.values()], k) for c, k in zip(LIGHT, kinds, strict=True)], names=LIGHT)
 
     return _cells(judge, [])
@@ -285,7 +302,7 @@ def _open_cells(labelled: DataFrame) -> DataFrame | None:
     query = role(every("n_t"), own("n_q"), F.lit(True), False)
     roles = F.when(F.col("outside") & ~whole, F.array(target, query)).otherwise(F.array(target))
     rows = rows.withColumn("role", F.explode(roles)).withColumn("tb", F.explode("role.tb")).withColumn("qb", F.explode("role.qb"))
-    return rows.select("key", "tb", "qb", "role.asks", "role.answers", "node", "label", "at", "outside")
+    return rows.select("key", "tb", "qb", "role.asks", "role.answers", "node", "label", "before", "outside")
 
 
 def _in_cells(cells: DataFrame, load: DataFrame) -> DataFrame:
@@ -300,7 +317,7 @@ def _joining(labelled: DataFrame, nodes: DataFrame, texts: DataFrame, least: int
     cells, sig = _open_cells(labelled), nodes.select("node", "sig")
     if cells is None:
         return None
-    kinds = "key long, tb long, qb long, asks boolean, answers boolean, node long, label long, at int, outside boolean"
+    kinds = "key long, tb long, qb long, asks boolean, answers boolean, node long, label long, before long, outside boolean"
     met = materialise(_in_cells(cells, sig).mapInArrow(_meeting(least), kinds), "met")
     wanted = met.select("node").distinct()
     load = sig.join(wanted, "node", "left_semi").join(texts.join(wanted, "node", "left_semi"), "node")
@@ -321,8 +338,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
     signed = materialise(signatures(docs), "signatures")
     sets = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
     nodes = materialise(signed.withColumnRenamed("doc_id", "node").join(sets, ["node", "set_a", "set_b", "n_shingles"]).select("node", "sig", F.col("n_shingles").alias("size")).dropDuplicates(["node", "sig"]), "nodes")
-    posts = nodes.select("node", F.posexplode(F.slice("sig", 1, COORDINATES - least + 1)).alias("at", "value"), "sig", "size")
-    posts = posts.select("node", "at", "size", F.xxhash64("at", "value").alias("key"), F.element_at("sig", F.pmod(F.col("at") + 37, F.lit(COORDINATES)).cast("int") + 1).alias("next"))
+    nodes = materialise(_with_prefix(nodes, COORDINATES - least + 1, small), "prefixes")
+    posts = nodes.select("node", F.posexplode("prefix").alias("pos", "at"), "prefix", "sig", "size")
+    value = lambda at: F.element_at("sig", at.cast("int") + 1)
+    before = F.expr("aggregate(slice(prefix, 1, pos), 0L, (m, x) -> m | shiftleft(1L, x))")
+    posts = posts.select("node", before.alias("before"), "size", F.xxhash64("at", value(F.col("at"))).alias("key"), value(F.pmod(F.col("at") + 37, F.lit(COORDINATES))).alias("next"))
     first, long_lists = _list_pairs(posts.select("key", "node"), small)
     long_lists = materialise(long_lists, "lists")
     split = posts.join(long_lists, "key").select(F.xxhash64("key", "next").alias("key"), "node")
@@ -330,7 +350,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("payload"))
     links = _confirmed(materialise(first.unionByName(second).distinct(), "pairs"), nodes, texts, percent)
     labels = min_labels(links, "u", "v")
-    labelled = posts.join(long_lists, "key").join(labels, "node", "left").select("key", "at", "node", "size", F.coalesce("label", "node").alias("label"))
+    labelled = posts.join(long_lists, "key").join(labels, "node", "left").select("key", "before", "node", "size", F.coalesce("label", "node").alias("label"))
     more = _joining(labelled, nodes, texts, least, percent)
     if more is not None and more.limit(1).count():
         labels = min_labels(links.unionByName(more), "u", "v")
