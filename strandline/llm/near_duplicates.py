@@ -33,6 +33,7 @@ SMALL = 16
 HOME = 256
 BLOCK = 1024
 BLOCK_SHINGLES = 2_000_000
+FILTER_BITS = 1 << 26
 LIGHT = ["key", "tb", "qb", "asks", "answers", "node", "label", "before", "outside"]
 Row = namedtuple("Row", [*LIGHT, "sig", "payload"], defaults=[None])
 
@@ -155,6 +156,18 @@ def _checked(pairs: DataFrame, items: DataFrame, test: Callable[[dict, int, list
     return rows.repartition("c", "salt").sortWithinPartitions("c", "salt").mapInArrow(run, "u long, v long")
 
 
+def _sifted(items: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``items`` without most of the rows whose node is not in ``wanted``, so that their payloads need not move.
+
+    A bit map of hashed nodes is broadcast. It has at most ``FILTER_BITS / 64`` rows however many nodes are wanted; when it
+    fills up it lets more through, and the exact join that follows removes the rest.
+    """
+    spot, bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)), "cast(spot % 64 as int)"
+    bits = wanted.select(spot.alias("spot")).groupBy(F.expr("spot div 64").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("bits"))
+    marked = items.withColumn("spot", spot).withColumn("word", F.expr("spot div 64")).join(F.broadcast(bits), "word")
+    return marked.filter(f"shiftright(bits, {bit}) & 1 = 1").select(items.columns)
+
+
 def _signatures_match(least: int) -> Callable[[dict, int, list[int]], list[int]]:
     def test(held: dict, v: int, us: list[int]) -> list[int]:
         def sig(x: int) -> np.ndarray:
@@ -319,8 +332,7 @@ def _joining(labelled: DataFrame, nodes: DataFrame, texts: DataFrame, least: int
         return None
     kinds = "key long, tb long, qb long, asks boolean, answers boolean, node long, label long, before long, outside boolean"
     met = materialise(_in_cells(cells, sig).mapInArrow(_meeting(least), kinds), "met")
-    wanted = met.select("node").distinct()
-    load = sig.join(wanted, "node", "left_semi").join(texts.join(wanted, "node", "left_semi"), "node")
+    load = _sifted(sig, met).join(_sifted(texts, met), "node")
     return materialise(_in_cells(met, load).mapInArrow(_across(least, percent), "u long, v long").distinct(), "links")
 
 
@@ -361,7 +373,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     matched = materialise(_checked(pairs, nodes.select("node", F.col("sig").alias("payload")), _signatures_match(match_threshold(percent))).distinct(), "matched")
-    return materialise(_checked(matched, texts, _sets_overlap(percent)).distinct(), "links")
+    ends = matched.select(F.col("u").alias("node")).unionByName(matched.select(F.col("v").alias("node")))
+    return materialise(_checked(matched, _sifted(texts, ends), _sets_overlap(percent)).distinct(), "links")
 
 
 def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
