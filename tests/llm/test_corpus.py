@@ -181,3 +181,16 @@ def test_language_and_toxicity(spark):
     wrong = sum((score[i] >= 0.5) != (i < 60) for i in range(0, 180, 3))
     assert wrong <= 4 and all(0 <= s <= 1 for s in score.values())
     assert toxicity.fit(rows.limit(0)).scores(__import__("pyarrow").array(["x"]))[0] < 0.5
+
+
+def test_decontamination_finds_items_of_common_words(spark):
+    items = [" ".join(word() for _ in range(40)) for _ in range(3)]
+    usual = [word() for _ in range(30)]
+    items.append(" ".join(RNG.choice(usual) for _ in range(40)))
+    fill = lambda: " ".join([*(word() for _ in range(70)), *RNG.sample(usual, 30)])
+    clean = [fill() for _ in range(200)]
+    leaks = [(i, f"{fill()} {items[i]} {fill()}") for i, n in ((0, 60), (1, 12), (2, 1), (3, 5)) for _ in range(n)]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    found = lambda texts: {(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame(spark, texts), bench).collect()}
+    assert found(clean + [t for _, t in leaks]) == {(len(clean) + i, item) for i, (item, _) in enumerate(leaks)}
+    assert found([leaks[0][1]] * 2) == {(0, 0), (1, 0)} and found([leaks[0][1]]) == {(0, 0)}
