@@ -194,3 +194,14 @@ def test_decontamination_finds_items_of_common_words(spark):
     found = lambda texts: {(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame(spark, texts), bench).collect()}
     assert found(clean + [t for _, t in leaks]) == {(len(clean) + i, item) for i, (item, _) in enumerate(leaks)}
     assert found([leaks[0][1]] * 2) == {(0, 0), (1, 0)} and found([leaks[0][1]]) == {(0, 0)}
+
+
+def test_decontamination_finds_long_items(spark):
+    items = [" ".join(word() for _ in range(n)) for n in (300, 1000, 65, 30, 300, 1000)]
+    fill = lambda n=100: " ".join(word() for _ in range(n))
+    clean = [fill() for _ in range(300)]
+    leaks = [(i, f"{fill(n)} {items[i]} {fill()}") for i in range(4) for n in (7, 100)]
+    leaks += [(i, f"{fill(55)} {edited(items[i], len(items[i].split()) // 5)} {fill()}") for i in (4, 5)]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame(spark, clean + [t for _, t in leaks]), bench).collect()}
+    assert got == {(len(clean) + i, item) for i, (item, _) in enumerate(leaks)}
