@@ -3,7 +3,7 @@
 A word is the sum of two hashed embeddings, of the word and of its first bytes. Filters one, two and three words wide
 slide over the whole text; each keeps its largest response, and a logistic layer weighs them. For scoring, embeddings and
 filters are multiplied once into a table, so a text costs gathers and no matrix products. The score's zero point and one
-threshold for each language are calibrated on learning rows that the weights were not fitted on.
+threshold for each language are calibrated on all those learning rows, a fifth by a hash, that are kept from the weights.
 """
 
 from __future__ import annotations
@@ -29,6 +29,9 @@ STEPS = 500
 #: Bounds of the learning sample: rows, and the characters of a row.
 SAMPLE = 6000
 LONGEST = 20_000
+#: Calibration counts rows by logit in steps of 1 / BINS; beyond +-LARGEST they share a bin.
+BINS = 256
+LARGEST = 256.0
 #: A language with fewer toxic calibration rows than this uses the common threshold.
 LEAST_TOXIC = 8
 
@@ -162,24 +165,26 @@ def _train(texts: pa.Array, y: np.ndarray, steps: int = STEPS, rate: float = 0.0
     return model
 
 
-def _best_cut(logit: np.ndarray, y: np.ndarray) -> float:
-    """The cut with the best F1, in the middle of the gap at which it is reached."""
-    order = np.argsort(-logit, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+def _best_cut(bins: list) -> float:
+    """The cut with the best F1 from rows of ``bin, n, hits, low, high``, in the middle of the gap at which it is reached."""
+    held: dict[int, tuple] = {}
+    for r in bins:
+        n, hits, low, high = held.get(r.bin, (0, 0, np.inf, -np.inf))
+        held[r.bin] = n + r.n, hits + r.hits, min(low, r.low), max(high, r.high)
+    n, hits, low, high = (np.array(x) for x in zip(*(held[k] for k in sorted(held, reverse=True)), strict=True))
+    f1 = 2 * np.cumsum(hits) / (np.cumsum(n) + hits.sum())
     i = int(f1.argmax())
-    low = logit[order[i + 1]] if i + 1 < len(order) else logit[order[i]] - 1
-    return float((logit[order[i]] + low) / 2)
+    return float((low[i] + (high[i + 1] if i + 1 < len(low) else low[i] - 1)) / 2)
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, steps: int = STEPS) -> Toxicity:
-    """Learn from ``text, toxic, lang`` rows: at most ``sample`` of them, of at most ``longest`` characters each.
+def _aside() -> Column:
+    """Whether a row is kept from the weights; copies of a text fall on the same side."""
+    return F.shiftrightunsigned(F.xxhash64("text"), 7) % 5 == 0
 
-    Rows are taken in the order of a hash of their text, half of the sample at most from either label. A fifth of them
-    sets the score's zero point and the thresholds by language, the others the weights. Null labels are left out. With
-    one label only, every score is the share of that label.
-    """
-    usable = labelled.filter(f"toxic is not null and text is not null and length(text) <= {longest}").select("text", "toxic", "lang", F.xxhash64("text").alias("h"))
+
+def fit_weights(labelled: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, steps: int = STEPS) -> tuple[Toxicity, bool | None]:
+    """The network without a calibration, and whether the rows ``_aside`` were kept from it; None if there is one label only."""
+    usable = labelled.filter(f"toxic is not null and text is not null and length(text) <= {longest}").select("text", "toxic", F.xxhash64("text").alias("h"), _aside().alias("aside"))
     parts = [usable.filter(where).orderBy("h").limit(sample // 2).toArrow().combine_chunks() for where in ("toxic = 1", "toxic <> 1")]
     data = pa.concat_tables(parts)
     y = (np.array(data["toxic"].to_pylist(), dtype=np.int64) == 1).astype(np.int64) if len(data) else np.zeros(0, np.int64)
@@ -187,25 +192,62 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, steps
         model = _fresh(np.random.default_rng(0))
         model.u[:] = 0
         model.c = 30.0 if len(y) and y[0] else -30.0
-        return model
+        return model, None
     texts = data["text"].combine_chunks()
     texts = texts if isinstance(texts, pa.Array) else texts.chunk(0)
-    aside = (np.array(data["h"].to_pylist(), np.int64).view(np.uint64) >> np.uint64(7)) % np.uint64(5) == 0
-    if aside.sum() < 10 or not 0 < y[aside].sum() < aside.sum():
-        aside[:] = True
-    learn = ~aside if (~aside).any() and 0 < y[~aside].sum() < (~aside).sum() else np.ones(len(y), bool)
-    model = _train(texts.filter(pa.array(learn)), y[learn], steps)
-    logit = model.logits(texts.filter(pa.array(aside)))
-    model.shift = _best_cut(logit, y[aside])
-    langs = np.array(data["lang"].to_pylist(), object)[aside]
-    for lang in sorted({x for x in langs if x is not None}):
-        own = langs == lang
-        if y[aside][own].sum() >= LEAST_TOXIC and y[aside][own].sum() < own.sum():
-            cut = _best_cut(logit[own], y[aside][own]) - model.shift
+    aside = np.array(data["aside"].to_pylist(), bool)
+    apart = bool(aside.sum() >= 10 and 0 < y[aside].sum() < aside.sum() and 0 < y[~aside].sum() < (~aside).sum())
+    learn = ~aside if apart else np.ones(len(y), bool)
+    return _train(texts.filter(pa.array(learn)), y[learn], steps), apart
+
+
+def logits(docs: DataFrame, model: Toxicity) -> DataFrame:
+    """``docs`` with ``logit`` in place of ``text``, from the whole text."""
+    spark = docs.sparkSession
+    ship_code(spark)
+    shared = spark.sparkContext.broadcast(model)
+    rows = docs.select(F.col("text").cast("string").alias("text"), *[c for c in docs.columns if c != "text"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = shared.value
+        tables = net.tables()
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(net.logits(batch.column(0), tables).astype(np.float64))], names=[*batch.schema.names[1:], "logit"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    return rows.mapInArrow(run, f"{kinds}, logit double")
+
+
+def calibrate(model: Toxicity, scored: DataFrame) -> Toxicity:
+    """``model`` with the zero point and thresholds that all rows ``lang, toxic, logit`` set; the driver sees counts by bin."""
+    size = F.least(F.lit(LARGEST), F.greatest(F.lit(-LARGEST), F.col("logit")))
+    hit = F.when(F.col("toxic") == 1, 1).otherwise(0)
+    bins = scored.groupBy("lang", F.floor(size * BINS).alias("bin")).agg(F.count("*").alias("n"), F.sum(hit).alias("hits"), F.min("logit").alias("low"), F.max("logit").alias("high")).collect()
+    model.shift = _best_cut(bins)
+    for lang in sorted({r.lang for r in bins if r.lang is not None}):
+        own = [r for r in bins if r.lang == lang]
+        if LEAST_TOXIC <= sum(r.hits for r in own) < sum(r.n for r in own):
+            cut = _best_cut(own) - model.shift
             model.thresholds[lang] = float(1 / (1 + np.exp(-cut)))
     return model
 
 
+def fit(labelled: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, steps: int = STEPS) -> Toxicity:
+    """Learn from ``text, toxic, lang`` rows.
+
+    The weights come from at most ``sample`` rows, of at most ``longest`` characters each, in the order of a hash of their
+    text and half of the sample at most from either label. A fifth of all rows, by a hash, is kept from the weights; every
+    one of them, of any length, counts for the score's zero point and the thresholds by language. Null labels are left
+    out. With one label only, every score is the share of that label. Where the fifth is too few, all rows set both.
+    """
+    model, apart = fit_weights(labelled, sample, longest, steps)
+    if apart is None:
+        return model
+    rows = labelled.filter("toxic is not null and text is not null")
+    return calibrate(model, logits((rows.filter(_aside()) if apart else rows).select("text", "lang", "toxic"), model))
+
+
 def score(docs: DataFrame, model: Toxicity, keep: list[Column] | None = None) -> DataFrame:
     """``doc_id, score`` (and the ``keep`` columns): one row per row of ``docs``, from the whole text alone.
 
@@ -241,7 +283,12 @@ def learned(spark: SparkSession, docs: DataFrame, sf_dir: str, rows: Column | No
     known = docs.select("doc_id", "text", "lang")
     if rows is not None:
         known = known.filter(F.coalesce(rows, F.lit(False)))
-    return fit(known.join(labels, F.col("doc_id") == F.col("_id")))
+    model, apart = fit_weights(known.join(labels, F.col("doc_id") == F.col("_id")))
+    if apart is None:
+        return model
+    # texts become logits before the join, so only numbers are shuffled
+    scored = logits((known.filter(_aside()) if apart else known).filter("text is not null"), model)
+    return calibrate(model, scored.join(labels.filter("toxic is not null"), F.col("doc_id") == F.col("_id")))
 
 
 def drop_toxic(docs: DataFrame, model: Toxicity) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import random
 import re
 
@@ -205,3 +206,20 @@ def test_decontamination_finds_long_items(spark):
     bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame(spark, clean + [t for _, t in leaks]), bench).collect()}
     assert got == {(len(clean) + i, item) for i, (item, _) in enumerate(leaks)}
+
+
+def test_toxicity_calibrates_on_all_rows(spark):
+    fill = lambda: " ".join(RNG.choice(["alpha", "beta", "gamma", "delta", "mu", "nu"]) for _ in range(12))
+    texts = [f"{fill()} {bad} {fill()} {i}" for i, bad in enumerate(["vile"] * 60 + ["vile foul"] * 60 + ["vile"] * 240 + ["mild"] * 700)]
+    rows = frame(spark, texts, [("en", "fr")[i % 2] for i in range(len(texts))]).withColumn("toxic", (F.col("doc_id") < 120).cast("int"))
+    net = toxicity.fit(rows, sample=200, steps=80)
+    aside = rows.filter(F.shiftrightunsigned(F.xxhash64("text"), 7) % 5 == 0).select("text", "lang", "toxic").toArrow()
+    logit, y, lang = net.logits(aside["text"].combine_chunks()), aside["toxic"].to_numpy(), aside["lang"].to_numpy(zero_copy_only=False)
+
+    def f1(cut, own):
+        hit = logit[own] >= cut
+        return 2 * (hit & (y[own] == 1)).sum() / (hit.sum() + y[own].sum())
+
+    for own, cut in ((lang != "", net.shift), *((lang == x, net.shift + math.log(t / (1 - t))) for x, t in net.thresholds.items())):
+        assert f1(cut, own) >= max(f1(c, own) for c in logit[own]) - 0.02
+    assert set(net.thresholds) == {"en", "fr"}
