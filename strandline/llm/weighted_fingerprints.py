@@ -1,13 +1,12 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is a set of words, each weighted by its length in code points, so that short function words count little. For each
-of ``SAMPLES`` samples a word k of weight S draws, from hashes of the word alone, r and c from Gamma(2, 1) and b uniform;
+A word's weight is its count in the text times its length in code points, so that short function words count little. For
+each of ``SAMPLES`` samples a word k of weight S draws, from hashes of the word alone, r and c from Gamma(2, 1) and b uniform;
 with t = floor(ln S / r + b) and y = exp(r (t - b)) the word with the smallest c / (y exp(r)) is taken, with its t. Two
 texts agree in a sample with a probability equal to their generalised Jaccard similarity: the sum of the smaller weights
-over the sum of the larger ones. A weight that depends on the word alone makes repeated words harmless to the minimum, so
-words need not be counted first.
+over the sum of the larger ones.
 
-Only DataFrame functions are used. Words become rows; the documents are partitioned once, by blocks of doc_id, and every
+Only DataFrame functions are used. Words become rows and are counted; the documents are partitioned once, by blocks of doc_id, and every
 grouping below includes the block, so nothing else moves a text or a word.
 """
 
@@ -73,7 +72,7 @@ def _spaced(text: Column) -> Column:
 def _draw(words: DataFrame, lanes: int) -> DataFrame:
     """Adds ``k{j}`` and ``e{j}``: for sample ``lane * lanes + j`` the word's rank in the text and in the edited text.
 
-    A rank is the logarithm of c / (y exp(r)), in steps of 2^-20, above 32 bits of the word's hash and t.
+    The logarithms of its weights in the two are ``weight_k`` and ``weight_e``; null where the word is missing. A rank is the logarithm of c / (y exp(r)), in steps of 2^-20, above 32 bits of the word's hash and t.
     """
     low = F.lit((1 << 21) - 1)
     part = lambda h, i: (F.shiftrightunsigned(h, 21 * i).bitwiseAND(low).cast("double") + 0.5) / F.lit(_UNIT)
@@ -86,15 +85,14 @@ def _draw(words: DataFrame, lanes: int) -> DataFrame:
         draws[f"b{j}"] = part(f"h{j}", 2)
         draws[f"c{j}"] = F.ln(-F.ln(part(f"g{j}", 0) * part(f"g{j}", 1)))
     out = out.withColumns(draws)
-    out = out.withColumns({f"t{j}": F.floor(F.col("weight") / F.col(f"r{j}") + F.col(f"b{j}")) for j in range(lanes)})
+    out = out.withColumns({f"t{w}{j}": F.floor(F.col(f"weight_{w}") / F.col(f"r{j}") + F.col(f"b{j}")) for w in ("k", "e") for j in range(lanes)})
 
-    def rank(j: int) -> Column:
-        size = (F.col(f"c{j}") - F.col(f"r{j}") * (F.col(f"t{j}") - F.col(f"b{j}") + 1.0) + F.lit(96.0)) * F.lit(float(1 << 20))
-        tag = F.col("word").bitwiseXOR(F.col(f"t{j}") * F.lit(2654435761)).bitwiseAND(F.lit(0xFFFFFFFF))
+    def rank(w: str, j: int) -> Column:
+        size = (F.col(f"c{j}") - F.col(f"r{j}") * (F.col(f"t{w}{j}") - F.col(f"b{j}") + 1.0) + F.lit(96.0)) * F.lit(float(1 << 20))
+        tag = F.col("word").bitwiseXOR(F.col(f"t{w}{j}") * F.lit(2654435761)).bitwiseAND(F.lit(0xFFFFFFFF))
         return F.shiftleft(size.cast("long"), 32).bitwiseOR(tag)
 
-    out = out.select("block", "pos", "lane", "which", *[rank(j).alias(f"k{j}") for j in range(lanes)])
-    return out.select("block", "pos", "lane", *[F.when(F.col("which") != 2, F.col(f"k{j}")).alias(f"k{j}") for j in range(lanes)], *[F.when(F.col("which") != 1, F.col(f"k{j}")).alias(f"e{j}") for j in range(lanes)])
+    return out.select("block", "pos", "lane", *[rank(w, j).alias(f"{w}{j}") for w in ("k", "e") for j in range(lanes)])
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, lanes: int = LANE) -> DataFrame:
@@ -112,7 +110,12 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, lanes: int = LANE) ->
     tail = F.concat(cut, F.substring("text", F.length("shared") + 1, F.col("half")))
     pieces = F.array(*[F.struct(x.alias("x"), F.lit(i).alias("which")) for i, x in enumerate((left, tail, F.concat(cut, "given")))])
     words = rows.select("block", "pos", F.explode(pieces).alias("p")).select("block", "pos", F.col("p.which").alias("which"), F.explode(F.split(_spaced(F.col("p.x")), " ")).alias("w"))
-    words = words.filter("w <> ''").select("block", "pos", "which", F.xxhash64("w").alias("word"), F.ln(F.length("w").cast("double")).alias("weight"))
+    words = words.filter("w <> ''").select("block", "pos", "which", F.xxhash64("w").alias("word"), F.length("w").alias("length"))
+    # words of the shared half count in both texts
+    count = lambda other: F.sum(F.when(F.col("which") != other, 1).otherwise(0))
+    words = words.groupBy("block", "pos", "word").agg(F.max("length").alias("length"), count(2).alias("n_k"), count(1).alias("n_e"))
+    weight = lambda n: F.when(F.col(n) > 0, F.ln(F.col(n).cast("double") * F.col("length")))
+    words = words.select("block", "pos", "word", weight("n_k").alias("weight_k"), weight("n_e").alias("weight_e"))
     drawn = _draw(words.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples // lanes - 1))).alias("lane")), lanes)
     least = drawn.groupBy("block", "pos", "lane").agg(*[F.min(f"{w}{j}").alias(f"{w}{j}") for w in ("k", "e") for j in range(lanes)])
     tag = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))

@@ -223,3 +223,19 @@ def test_toxicity_calibrates_on_all_rows(spark):
     for own, cut in ((lang != "", net.shift), *((lang == x, net.shift + math.log(t / (1 - t))) for x, t in net.thresholds.items())):
         assert f1(cut, own) >= max(f1(c, own) for c in logit[own]) - 0.02
     assert set(net.thresholds) == {"en", "fr"}
+
+
+def test_fingerprints_count_words(spark):
+    base = [word() for _ in range(40)]
+    texts = [" ".join(w for w in base for _ in range(RNG.choice([1, 1, 2, 6, 20]))) for _ in range(12)] + [" ".join(base), " ".join(base[:20] * 10 + base[20:])]
+    rows = sorted(weighted_fingerprints.compare_fingerprints(frame(spark, texts)).collect())
+
+    def exact(a, b):
+        x, y = (collections.Counter(t.split()) for t in (a, b))
+        return sum(len(w) * n for w, n in (x & y).items()) / sum(len(w) * n for w, n in (x | y).items())
+
+    wrong = []
+    for i, t in enumerate(texts):
+        after, half = texts[(i + 1) % len(texts)], len(t) // 2
+        wrong += [rows[i].near_next - exact(t, after), rows[i].near_edited - exact(t, t[: len(t) - half] + after[:half])]
+    assert max(map(abs, wrong)) < 0.3 and sum(map(abs, wrong)) / len(wrong) < 0.1
