@@ -86,7 +86,7 @@ def valid(kind: str, value: Column) -> Column:
 
 
 def _gated(kind: str, text: Column, pattern: str, loose: bool = False) -> Column:
-    gate = text.rlike("[0-9]{2}") if GATE[kind] is None else text.contains(GATE[kind])
+    gate = text.rlike(r"[0-9][\x20-]?[0-9]") if GATE[kind] is None else text.contains(GATE[kind])
     if loose:
         gate = text.rlike("[0-9]") if kind != "email" else (text.contains("@") | text.contains("at"))
     out = spans(text, pattern)

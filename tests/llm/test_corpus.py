@@ -239,3 +239,10 @@ def test_fingerprints_count_words(spark):
         after, half = texts[(i + 1) % len(texts)], len(t) // 2
         wrong += [rows[i].near_next - exact(t, after), rows[i].near_edited - exact(t, t[: len(t) - half] + after[:half])]
     assert max(map(abs, wrong)) < 0.3 and sum(map(abs, wrong)) / len(wrong) < 0.1
+
+
+def test_cards_of_single_parted_digits(spark):
+    cards = [sep.join("4111111111111111") for sep in (" ", "-")]
+    got = sorted(personal_data.find_personal_data(frame(spark, [*cards, f"x {cards[0]}, y", "1 2", "no 7"])).collect())
+    assert [r.n_card for r in got] == [1, 1, 1, 0, 0]
+    assert [r.spans for r in got] == ["card:0:31", "card:0:31", "card:2:33", "", ""]
