@@ -8,6 +8,7 @@ threshold for each language are calibrated on all those learning rows, a fifth b
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm._tokens import chunks, mix, words
 from strandline.llm.language_id import fold
-from strandline.session import ship_code, table
+from strandline.session import discard, materialise, ship_code, table
 
 BUCKETS = 1 << 14
 DIM = 12
@@ -182,25 +183,64 @@ def _aside() -> Column:
     return F.shiftrightunsigned(F.xxhash64("text"), 7) % 5 == 0
 
 
-def fit_weights(labelled: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, steps: int = STEPS) -> tuple[Toxicity, bool | None]:
-    """The network without a calibration, and whether the rows ``_aside`` were kept from it; None if there is one label only."""
-    usable = labelled.filter(f"toxic is not null and text is not null and length(text) <= {longest}").select("text", "toxic", F.xxhash64("text").alias("h"), _aside().alias("aside"))
-    parts = [usable.filter(where).orderBy("h").limit(sample // 2).toArrow().combine_chunks() for where in ("toxic = 1", "toxic <> 1")]
-    data = pa.concat_tables(parts)
-    y = (np.array(data["toxic"].to_pylist(), dtype=np.int64) == 1).astype(np.int64) if len(data) else np.zeros(0, np.int64)
+def _drawn(rows: DataFrame, sample: int) -> DataFrame:
+    """``h, hit``: at most ``sample // 2`` distinct texts of either label, in the order of a hash of them.
+
+    ``rows`` has the texts' hash ``h`` and ``toxic``. One count sets a cut below which a few more texts lie than are wanted,
+    so the ordering that follows sees these alone, whatever the input's size and however often a text is repeated.
+    """
+    half = sample // 2
+    distinct = materialise(rows.select("h", (F.col("toxic") == 1).alias("hit"), F.shiftrightunsigned(F.xxhash64("h"), 2).alias("at")).distinct(), "labelled")
+    parts = []
+    counts = {r[0]: r[1] for r in distinct.groupBy("hit").count().collect()}
+    for hit in (True, False):
+        share = min(1.0, (half + 8 * half**0.5 + 20) / max(counts.get(hit, 0), 1))
+        parts.append(distinct.filter((F.col("hit") == hit) & (F.col("at") <= int(share * 2**62))).orderBy("at", "h").limit(half).select("h", "hit"))
+    out = materialise(parts[0].unionByName(parts[1]), "drawn")
+    discard(distinct)
+    return out
+
+
+def _trained(data: pa.Table, steps: int) -> tuple[Toxicity, bool | None]:
+    """The network fitted on rows ``text, hit, aside``, and whether the rows ``aside`` were kept from it."""
+    data = data.sort_by([("hit", "ascending"), ("h", "ascending")])
+    y = np.array(data["hit"].to_pylist(), dtype=np.int64)
     if y.sum() in (0, len(y)):
         model = _fresh(np.random.default_rng(0))
         model.u[:] = 0
         model.c = 30.0 if len(y) and y[0] else -30.0
         return model, None
-    texts = data["text"].combine_chunks()
-    texts = texts if isinstance(texts, pa.Array) else texts.chunk(0)
+    texts = pa.concat_arrays(data["text"].cast(pa.large_string()).chunks)
     aside = np.array(data["aside"].to_pylist(), bool)
     apart = bool(aside.sum() >= 10 and 0 < y[aside].sum() < aside.sum() and 0 < y[~aside].sum() < (~aside).sum())
     learn = ~aside if apart else np.ones(len(y), bool)
     return _train(texts.filter(pa.array(learn)), y[learn], steps), apart
 
 
+def fit_weights(texts: DataFrame, labelled: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, steps: int = STEPS) -> tuple[Toxicity, bool | None]:
+    """The network without a calibration, and whether the rows ``_aside`` were kept from it; None if there is one label only.
+
+    ``labelled`` has ``h, toxic``, ``texts`` the texts whose ``xxhash64`` is h. The drawn texts, each once, meet in one task that
+    trains and returns the weights; ``sample`` and ``longest`` bound what it holds, and it is run again if its executor is lost.
+    """
+    spark = texts.sparkSession
+    ship_code(spark)
+    drawn = _drawn(labelled, sample)
+    of = texts.filter(F.length("text") <= longest).select(F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
+    rows = of.join(F.broadcast(drawn), "h").groupBy("h", "hit").agg(F.any_value("text").alias("text")).select("h", "hit", "text", _aside().alias("aside"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_trained(pa.Table.from_batches(held), steps))], pa.binary())], names=["model"])
+
+    got = rows.repartition(1).mapInArrow(run, "model binary").collect()
+    discard(drawn)
+    if not got:
+        return _trained(pa.table({"h": pa.array([], pa.int64()), "hit": pa.array([], pa.bool_()), "text": pa.array([], pa.string()), "aside": pa.array([], pa.bool_())}), steps)
+    return pickle.loads(bytes(got[0][0]))
+
+
 def logits(docs: DataFrame, model: Toxicity) -> DataFrame:
     """``docs`` with ``logit`` in place of ``text``, from the whole text."""
     spark = docs.sparkSession
@@ -236,15 +276,15 @@ def calibrate(model: Toxicity, scored: DataFrame) -> Toxicity:
 def fit(labelled: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, steps: int = STEPS) -> Toxicity:
     """Learn from ``text, toxic, lang`` rows.
 
-    The weights come from at most ``sample`` rows, of at most ``longest`` characters each, in the order of a hash of their
-    text and half of the sample at most from either label. A fifth of all rows, by a hash, is kept from the weights; every
+    The weights come from at most ``sample`` distinct texts, of at most ``longest`` characters each, in the order of a hash
+    and half of the sample at most from either label. A fifth of all rows, by a hash, is kept from the weights; every
     one of them, of any length, counts for the score's zero point and the thresholds by language. Null labels are left
     out. With one label only, every score is the share of that label. Where the fifth is too few, all rows set both.
     """
-    model, apart = fit_weights(labelled, sample, longest, steps)
+    rows = labelled.filter("toxic is not null and text is not null")
+    model, apart = fit_weights(rows, rows.filter(F.length("text") <= longest).select(F.xxhash64("text").alias("h"), "toxic"), sample, longest, steps)
     if apart is None:
         return model
-    rows = labelled.filter("toxic is not null and text is not null")
     return calibrate(model, logits((rows.filter(_aside()) if apart else rows).select("text", "lang", "toxic"), model))
 
 
@@ -278,17 +318,20 @@ def threshold(model: Toxicity) -> Column:
 
 
 def learned(spark: SparkSession, docs: DataFrame, sf_dir: str, rows: Column | None = None) -> Toxicity:
-    """The model fitted on the labelled ones among ``docs``, or on those of them that ``rows`` holds for."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), "toxic")
-    known = docs.select("doc_id", "text", "lang")
+    """The model fitted on the labelled ones among ``docs``, or on those of them that ``rows`` holds for.
+
+    Labels meet numbers only: the hashes of texts for the sample, and the logits of texts for the calibration.
+    """
+    labels = table(spark, sf_dir, "labels").filter("toxic is not null").select(F.col("doc_id").alias("_id"), "toxic")
+    known = docs.select("doc_id", "text", "lang").filter("text is not null")
     if rows is not None:
         known = known.filter(F.coalesce(rows, F.lit(False)))
-    model, apart = fit_weights(known.join(labels, F.col("doc_id") == F.col("_id")))
+    hashes = known.filter(F.length("text") <= LONGEST).select("doc_id", F.xxhash64("text").alias("h"))
+    model, apart = fit_weights(known, hashes.join(labels, F.col("doc_id") == F.col("_id")).select("h", "toxic"))
     if apart is None:
         return model
-    # texts become logits before the join, so only numbers are shuffled
-    scored = logits((known.filter(_aside()) if apart else known).filter("text is not null"), model)
-    return calibrate(model, scored.join(labels.filter("toxic is not null"), F.col("doc_id") == F.col("_id")))
+    scored = logits(known.filter(_aside()) if apart else known, model)
+    return calibrate(model, scored.join(labels, F.col("doc_id") == F.col("_id")))
 
 
 def drop_toxic(docs: DataFrame, model: Toxicity) -> DataFrame:
