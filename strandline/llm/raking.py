@@ -1,94 +1,133 @@
 """Mixing sources to target weights by iterative proportional fitting (raking).
 
-Tokens are summed into cells of source, language and topic; the cells are then scaled in turn to each target marginal
-until all three hold. A document's calibrated probability is its cell's factor, at most 1; what the cap leaves over
-stays in ``weight``, so weighted tokens meet the targets. Only DataFrame functions are used.
+Tokens are summed into cells of source, language and topic; the cells are then scaled in turn to each target marginal until
+all three hold. A document's calibrated probability is its cell's factor times a rate, by default the largest rate at which
+no probability exceeds 1, so the tokens of the documents drawn meet the targets themselves. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import warnings
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.session import materialise, table
+from strandline.session import discard, materialise, table
 
 MARGINS = ("source", "lang", "topic")
-ROUNDS = 12
-TEMPER = 0.5
-#: Cells up to this count are joined by broadcast (under 100 bytes each); more are joined by a shuffle.
-BROADCAST_CELLS = 200_000
-
-TOPIC = """CASE WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '%%%') OR contains(text, '$$$') THEN 'noise'
- WHEN contains(text, '!! ') THEN 'shout' WHEN contains(text, 'token = "') THEN 'secret'
- WHEN contains(text, 'Licensed under') OR contains(text, 'Public License') THEN 'licence' ELSE 'prose' END"""
+#: Declared shares of ``op2_raking`` and the pipeline; sources and topics are tempered.
+TARGETS = {"lang": {"en": 0.45, "de": 0.2, "fr": 0.2, "es": 0.15}}
+TEMPER = 0.9
+TOLERANCE = 1e-9
+MOST_ROUNDS = 60
+#: Targets conflict if, after the first rounds, a round brings the marginals less than this share nearer.
+FIRST_ROUNDS, LEAST_GAIN = 4, 1e-3
+#: Cells of up to this many bytes are joined by broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+SQL_ROUNDS = 30
+
+#: The topic of a text by its composition, read from all of it: mostly figures, marks or capitals, else its extent.
+TOPIC = """CASE WHEN coalesce(text, '') = '' THEN '(none)'
+ WHEN {count}(text, '[0-9]') > 0.1 * length(text) THEN 'figures'
+ WHEN {count}(text, '[!-/:-@\\[-`{{-~]') > 0.1 * length(text) THEN 'marks'
+ WHEN {count}(text, '[A-Z]') > 0.2 * length(text) THEN 'capitals'
+ WHEN length(text) >= 4000 THEN 'long prose' WHEN length(text) < 300 THEN 'short prose' ELSE 'prose' END"""
+SPARK_TOPIC = TOPIC.replace("\\", "\\\\").format(count="regexp_count")
 
 
 def _labelled(docs: DataFrame, topic: str) -> DataFrame:
-    """Each document's ``_source, _lang, _topic, _tokens``: tokens are runs of non-space characters."""
+    """Each document's ``_source, _lang, _topic``."""
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)"))
-    return docs.withColumns({
-        "_source": name("source"),
-        "_lang": name("lang"),
-        "_topic": F.coalesce(F.expr(topic), F.lit("(none)")),
-        "_tokens": F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"),
-    })
+    return docs.withColumns({"_source": name("source"), "_lang": name("lang"), "_topic": F.coalesce(F.expr(topic), F.lit("(none)"))})
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, temper: float = TEMPER) -> DataFrame:
-    """``source, lang, topic, tokens, factor``: factor times tokens meets the target share of every marginal.
+def _tokens():
+    return F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
-    ``targets`` gives shares by value for a marginal; a value without one has share 0. A marginal without an entry gets
-    shares in proportion to its tokens to the power ``temper``. Cells are few and of a size that does not follow the
-    documents; they are fitted in one partition, where the windows need no further shuffle. Cells without tokens keep
-    factor 1.
-    """
-    targets = targets or {}
-    at = cells.filter("tokens > 0").repartition(1)
-    everywhere = Window.partitionBy(F.lit(1))
-    w: Column = F.col("tokens").cast("double")
-    at = at.withColumn("w", w).withColumn("total", F.sum("w").over(everywhere))
+
+def _goals(cells: DataFrame, targets: dict[str, dict[str, float]], temper: float) -> dict[str, DataFrame]:
+    """``value, goal`` by margin: the tokens that every value is to have."""
+    out = {}
     for m in MARGINS:
-        one = Window.partitionBy(m)
+        held = cells.groupBy(m).agg(F.sum("w").alias("own"))
         if m in targets:
             pairs = [x for k, v in targets[m].items() for x in (F.lit(k), F.lit(float(v)))]
-            want = F.coalesce(F.element_at(F.create_map(*pairs), F.col(m)), F.lit(0.0)) if pairs else F.lit(0.0)
+            held = held.withColumn("given", F.element_at(F.create_map(*pairs), F.col(m)) if pairs else F.lit(None).cast("double"))
+            ends = held.agg(F.sum("own").alias("total"), F.coalesce(F.sum(F.when(F.col("given").isNull(), F.col("own"))), F.lit(0.0)).alias("rest"), F.sum("given").alias("given_sum"))
+            goal = F.when(F.col("given").isNull(), F.col("own")).otherwise(F.col("given") / F.when(F.col("given_sum") > 0, F.col("given_sum")) * (F.col("total") - F.col("rest")))
         else:
-            want = F.pow(F.sum("w").over(one), F.lit(temper))
-        at = at.withColumn("want", want).withColumn("nth", F.row_number().over(one.orderBy(*MARGINS)))
-        shares = F.sum(F.when(F.col("nth") == 1, F.col("want")).otherwise(0.0)).over(everywhere)
-        at = at.withColumn(f"t_{m}", F.col("want") * F.col("total") / F.when(shares > 0, shares).otherwise(1.0)).drop("want", "nth")
-    for _ in range(rounds):
+            ends = held.agg(F.sum("own").alias("total"), F.sum(F.pow("own", F.lit(temper))).alias("powers"))
+            goal = F.pow("own", F.lit(temper)) / F.col("powers") * F.col("total")
+        out[m] = held.join(F.broadcast(ends)).select(m, F.coalesce(goal, F.lit(0.0)).alias("goal"))
+    return out
+
+
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, tolerance: float = TOLERANCE, rounds: int = MOST_ROUNDS, strict: bool = True) -> DataFrame:
+    """``source, lang, topic, tokens, factor``: factor times tokens meets the target share of every marginal.
+
+    ``targets`` gives shares by value for a marginal. A value without one keeps its own share, and those given divide the
+    rest; values that no cell has are left out. A marginal without an entry gets shares in proportion to its tokens to the
+    power ``temper``. Cells without tokens are left out, an empty table gives none.
+
+    A round scales the cells to each marginal by a sum and a join, so cells of any number stay distributed, and is written;
+    rounds go on until no marginal is off by more than ``tolerance``, as a share of its goal. Targets that are not met after ``rounds`` of them, or that
+    conflict, as when the cells that would be needed do not exist, are an error; without ``strict`` they are a warning, and
+    the last round's factors, which meet the topics' targets, are returned.
+    """
+    at = materialise(cells.filter("tokens > 0").select(*MARGINS, "tokens", F.col("tokens").cast("double").alias("w")), "cells")
+    goals = _goals(at, targets or {}, temper)
+    goals = {m: materialise(goals[m], "goals") for m in MARGINS}
+    last = None
+    for i in range(rounds):
+        new = at.withColumn("off", F.lit(0.0))
         for m in MARGINS:
-            held = F.sum("w").over(Window.partitionBy(m))
-            at = at.withColumn("w", F.when(held > 0, F.col("w") * F.col(f"t_{m}") / F.when(held > 0, held)).otherwise(0.0))
+            held = new.groupBy(m).agg(F.sum("w").alias("held")).join(goals[m], m)
+            held = held.select(m, F.when(F.col("held") > 0, F.col("goal") / F.when(F.col("held") > 0, F.col("held"))).otherwise(0.0).alias("by"))
+            new = new.join(held, m).select(*MARGINS, "tokens", (F.col("w") * F.col("by")).alias("w"), F.greatest("off", F.abs(F.col("by") - 1)).alias("off"))
+        new, old = materialise(new, "cells"), at
+        off = new.filter("w > 0").agg(F.max("off")).first()[0]
+        at = new.drop("off")
+        discard(old)
+        if (off or 0.0) <= tolerance:
+            break
+        if i + 1 == rounds or (i >= FIRST_ROUNDS and off > last * (1 - LEAST_GAIN)):
+            missed = f"the targets were not met in {i + 1} rounds; a marginal is still off by {off:.3g}"
+            if strict:
+                raise RuntimeError(missed)
+            warnings.warn(missed, stacklevel=2)
+            break
+        last = off
     return at.select(*MARGINS, "tokens", (F.col("w") / F.col("tokens")).alias("factor"))
 
 
-def cell_factors(docs: DataFrame, topic: str = TOPIC, **how) -> DataFrame:
-    """The raked cells of ``docs``; token sums cover every document. Written once and small."""
-    sums = _labelled(docs, topic).groupBy(*(F.col(f"_{m}").alias(m) for m in MARGINS)).agg(F.sum("_tokens").alias("tokens"))
-    return materialise(rake(sums, **how), "cells")
+def cell_factors(docs: DataFrame, topic: str = SPARK_TOPIC, **how) -> DataFrame:
+    """The raked cells of ``docs``; token sums cover every document."""
+    sums = _labelled(docs, topic).groupBy(*(F.col(f"_{m}").alias(m) for m in MARGINS)).agg(F.sum(_tokens()).alias("tokens"))
+    return rake(sums, **how)
 
 
-def mix(docs: DataFrame, topic: str = TOPIC, rate: float = 1.0, **how) -> DataFrame:
+def mix(docs: DataFrame, topic: str = SPARK_TOPIC, rate: float | None = None, targets: dict[str, dict[str, float]] | None = None, **how) -> DataFrame:
     """A sample of ``docs`` with ``topic, tokens, probability, weight`` added.
 
-    A document is kept if a number in [0, 1) made from its doc_id is below ``probability = min(1, rate * factor)`` of
-    its cell; ``weight = rate * factor / probability``. The draw depends on doc_id alone, so it is the same in every run
-    and copies of a row are kept or dropped together. A null doc_id draws like an empty one. A null source, language or
-    topic is the value ``(none)``; null and empty texts have no tokens, and keep factor 1 if their cell has none.
-    Columns with the added names are replaced.
+    A document is kept if a number in [0, 1) made from its doc_id is below ``probability = min(1, rate * factor)`` of its cell;
+    ``weight = rate * factor / probability``. ``rate`` is 1 / the largest factor if none is given: no probability is cut then,
+    ``weight`` is 1 and the drawn documents' tokens meet the targets but for chance. The draw depends on doc_id alone, so it
+    is the same in every run and copies of a row are kept or dropped together. A null doc_id draws like an empty one. A null
+    source, language or topic is the value ``(none)``; null and empty texts have no tokens and factor 1 if their cell has
+    none. An empty table gives no rows; targets that
+    conflict give a warning and the nearest fit (see ``rake``). Columns with the added names are replaced.
     """
-    cells = cell_factors(docs, topic, **how)
+    cells = cell_factors(docs, topic, targets=TARGETS if targets is None else targets, **{"strict": False, **how})
+    size = cells.agg(F.max("factor"), F.sum(F.length(F.concat(*MARGINS)) * 4 + 64)).first()
+    rate = 1.0 / max(size[0] or 1.0, 1.0) if rate is None else float(rate)
     cells = cells.select(*(F.col(m).alias(f"_{m}") for m in MARGINS), F.col("factor").alias("_factor"))
-    if cells.count() <= BROADCAST_CELLS:
+    if (size[1] or 0) <= BROADCAST_BYTES:
         cells = F.broadcast(cells)
     keep = [c for c in docs.columns if c not in ("topic", "tokens", "probability", "weight")]
-    out = _labelled(docs, topic).join(cells, [f"_{m}" for m in MARGINS], "left")
-    factor = F.coalesce("_factor", F.lit(1.0)) * F.lit(float(rate))
+    factor = F.coalesce("_factor", F.lit(1.0)) * F.lit(rate)
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    out = out.withColumn("_p", F.least(F.lit(1.0), factor)).filter(draw < F.col("_p"))
-    return out.select(*keep, F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), F.round("_p", 9).alias("probability"), F.round(factor / F.col("_p"), 9).alias("weight"))
+    out = _labelled(docs, topic).join(cells, [f"_{m}" for m in MARGINS], "left").withColumn("_p", F.least(F.lit(1.0), factor)).filter(draw < F.col("_p"))
+    return out.select(*keep, F.col("_topic").alias("topic"), _tokens().alias("tokens"), F.round("_p", 6).alias("probability"), F.round(factor / F.col("_p"), 6).alias("weight"))
 
 
 def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,25 +135,26 @@ def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
+    topic = TOPIC.replace("{count}(text, ", "len(regexp_extract_all(text, ").replace("') > ", "')) > ").replace("{{", "{")
+    given = " ".join(f"WHEN '{k}' THEN {v}" for k, v in TARGETS["lang"].items())
     ctes = [
-        rf"""docs AS (SELECT doc_id, source, lang, {TOPIC} AS topic, coalesce(source, '(none)') AS s, coalesce(lang, '(none)') AS l,
+        rf"""docs AS (SELECT doc_id, source, lang, {topic} AS topic, coalesce(source, '(none)') AS s, coalesce(lang, '(none)') AS l,
   CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS tokens FROM documents)""",
-        "cells AS (SELECT s AS source, l AS lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM docs GROUP BY ALL HAVING sum(tokens) > 0)",
-        "total AS (SELECT sum(tokens) AS total FROM cells)",
+        "w0 AS MATERIALIZED (SELECT s AS source, l AS lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens, CAST(sum(tokens) AS DOUBLE) AS w FROM docs GROUP BY ALL HAVING sum(tokens) > 0)",
+        f"l_own AS (SELECT lang, sum(w) AS own, CASE lang {given} END AS given FROM w0 GROUP BY lang)",
+        "g_lang AS MATERIALIZED (SELECT lang, CASE WHEN given IS NULL THEN own ELSE given / (SELECT sum(given) FROM l_own) * ((SELECT sum(own) FROM l_own) - (SELECT coalesce(sum(own), 0) FROM l_own WHERE given IS NULL)) END AS goal FROM l_own)",
     ]
-    for m in MARGINS:
-        ctes.append(f"m_{m} AS (SELECT {m}, pow(sum(tokens), {TEMPER}) AS want FROM cells GROUP BY {m})")
-        ctes.append(f"t_{m} AS (SELECT {m}, want * (SELECT total FROM total) / (SELECT sum(want) FROM m_{m}) AS t FROM m_{m})")
-    last, n = "cells", 0
-    ctes.append("w0 AS (SELECT *, tokens AS w FROM cells)")
-    last = "w0"
-    for _ in range(ROUNDS):
+    for m in ("source", "topic"):
+        ctes.append(f"p_{m} AS (SELECT {m}, sum(w) AS own, pow(sum(w), {TEMPER}) AS power FROM w0 GROUP BY {m})")
+        ctes.append(f"g_{m} AS MATERIALIZED (SELECT {m}, power / (SELECT sum(power) FROM p_{m}) * (SELECT sum(own) FROM p_{m}) AS goal FROM p_{m})")
+    n = 0
+    for _ in range(SQL_ROUNDS):
         for m in MARGINS:
             n += 1
-            ctes.append(f"w{n} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.tokens, c.w * t.t / sum(c.w) OVER (PARTITION BY c.{m}) AS w FROM {last} c JOIN t_{m} t ON t.{m} = c.{m})")
-            last = f"w{n}"
-    ctes.append(f"drawn AS (SELECT d.*, coalesce(c.w / c.tokens, 1.0) AS f, least(1.0, coalesce(c.w / c.tokens, 1.0)) AS p, CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS u FROM docs d LEFT JOIN {last} c ON c.source = d.s AND c.lang = d.l AND c.topic = d.topic)")
-    return "WITH " + ",\n".join(ctes) + "\nSELECT doc_id, source, lang, topic, tokens, round(p, 9) AS probability, round(f / p, 9) AS weight FROM drawn WHERE u < p"
+            ctes.append(f"w{n} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.tokens, c.w * g.goal / sum(c.w) OVER (PARTITION BY c.{m}) AS w FROM w{n - 1} c JOIN g_{m} g ON g.{m} = c.{m})")
+    ctes.append(f"rate AS (SELECT 1.0 / greatest(coalesce(max(w / tokens), 1.0), 1.0) AS rate FROM w{n})")
+    ctes.append(f"drawn AS (SELECT d.*, coalesce(c.w / c.tokens, 1.0) * rate AS p, CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS u FROM docs d CROSS JOIN rate LEFT JOIN w{n} c ON c.source = d.s AND c.lang = d.l AND c.topic = d.topic)")
+    return "WITH " + ",\n".join(ctes) + "\nSELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability, CAST(1.0 AS DOUBLE) AS weight FROM drawn WHERE u < p"
 
 
 SQL = _sql()

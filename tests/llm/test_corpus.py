@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm import decontamination, language_id, line_windows, near_duplicates, personal_data, raking, repeated_passages, toxicity, url_filter, weighted_fingerprints
+from strandline.llm import decontamination, language_id, line_windows, near_duplicates, personal_data, repeated_passages, toxicity, url_filter, weighted_fingerprints
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key long, n long, label string, block long"
 RNG = random.Random(11)
@@ -139,18 +139,6 @@ def test_url_filter(spark):
     assert {r.verdict for r in url_filter.judge(spark.createDataFrame([(1, "http://x.h7.example.org/a")], "page_id long, url string"), many).collect()} == {"block"}
 
 
-def test_raking_meets_targets(spark):
-    texts = [" ".join(["w"] * RNG.randint(1, 30)) + (" | x" if i % 4 == 0 else "") for i in range(120)]
-    docs = frame(spark, [None, "", *texts], [None, "en", *["en" if i % 3 else "fr" for i in range(120)]])
-    cells = raking.cell_factors(docs, rounds=60, targets={"lang": {"en": 0.5, "fr": 0.5}, "source": {"s0": 0.2, "s1": 0.3, "s2": 0.5}})
-    rows = cells.collect()
-    total = sum(r.tokens for r in rows)
-    share = lambda f: sum(r.tokens * r.factor for r in rows if f(r)) / total
-    assert share(lambda r: r.lang == "fr") == pytest.approx(0.5, abs=1e-3) and share(lambda r: r.source == "s2") == pytest.approx(0.5, abs=1e-3)
-    mixed = raking.mix(docs)
-    assert {"probability", "weight"} <= set(mixed.columns) and 0 < mixed.count() <= 122
-
-
 def test_decontamination_finds_paraphrases(spark):
     items = [" ".join(word() for _ in range(40)) for _ in range(6)]
     fill = lambda: " ".join(word() for _ in range(100))
