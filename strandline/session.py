@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 import zipfile
@@ -35,12 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one where it is unset and the master is local."""
     known = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if known:
         return known.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandline-"))
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
     return current.get().rstrip("/")

@@ -106,12 +106,16 @@ def test_regions():
     assert names("core+e1,ns5b") == [(342, 1490), (7602, 9374)]
     for good in ("ns5b", "e1-e2", "structural", "cds", "core-e2+ns3"):
         regions.validate_expression(good)
-    for bad in ("not-a-region", "ns5b-core", ""):
+    for bad in ("not-a-region", "ns5b-core", "", "ns5b-nohvr1", "core-ns3-nohvr1", "e2-nohvr1", "core-e2-nohvr1+ns3-nohvr1"):
         with pytest.raises(regions.RegionError):
             regions.validate_expression(bad)
     assert [regions.threshold_for(r) for r in ("E1-E2", "core-e2", "ns5b", "cds", "core+e1+e2")] == [0.03, 0.045, 0.015, 0.03, 0.045]
     assert regions.threshold_for("cds", 0.1) == 0.1 and not regions.threshold_has_evidence("e1-e2")
-    assert regions.reason_slug("core-e2") == "low_core_e2_coverage"
+    slugs = {("core-e2", "fixed"): "low_core_e2_coverage", ("ns5b", "max-usable"): "low_max_usable_ns5b_coverage", ("", "max-usable"): "low_max_usable_coverage", ("+", "fixed"): "low_selected_region_coverage"}
+    assert {k: regions.reason_slug(*k) for k in slugs} == slugs
+    windows = lambda *how: [(w.start, w.end) for w in regions.candidate_windows([regions.Segment("x", 1, 25)], *how)]
+    assert windows(10, 10, 5) == [(1, 10), (11, 20), (21, 25)] and windows(10, 10, 6) == [(1, 10), (11, 20)]
+    assert windows(10, 5, 5) == [(1, 10), (6, 15), (11, 20), (16, 25)] and windows(30, 5, 5) == [(1, 25)] and windows(5, 12, 1) == [(1, 5), (13, 17), (25, 25)]
     assert len(catalog.references()) == 84 and catalog.references({"9z": "X.1"})["9z"] == "X.1"
 
 
