@@ -15,14 +15,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.llm._sampling import drawn_texts
 from strandline.llm._tokens import Chunk, chunks, mix, randoms
-from strandline.session import ship_code, table
+from strandline.session import discard, ship_code, table
 
 ORDERS = (2, 3, 4)
 SLOTS = 1 << 20
 PROBES = 3
 PER_LANGUAGE = 1500
-#: Learning texts longer than this are left out of the sample, to bound its bytes.
+#: Of a learning text that is longer, a stretch of so many characters is read, to bound the sample's bytes.
 LONGEST = 20_000
 LEAST_SHARE = 0.01
 UNDETERMINED = "und"
@@ -57,70 +58,83 @@ def _slots(key: np.ndarray, slots: int) -> list[np.ndarray]:
 
 
 class LanguageFilters:
-    """The bit-sliced filters: ``bits`` has one 64-bit mask for each slot, ``rates`` the false positive rate by language."""
+    """The bit-sliced filters: ``bits`` has, for each 64 languages, one mask for each slot; ``rates`` are false positive rates."""
 
     def __init__(self, languages: list[str], bits: np.ndarray):
         self.languages, self.bits = languages, bits
-        fill = np.array([np.count_nonzero(bits >> np.uint64(i) & np.uint64(1)) / len(bits) for i in range(len(languages))])
+        fill = np.array([np.count_nonzero(bits[i // 64] >> np.uint64(i % 64) & np.uint64(1)) / bits.shape[1] for i in range(len(languages))])
         self.rates = fill**PROBES
 
-    def masks(self, key: np.ndarray) -> np.ndarray:
-        """The bitmask of languages that contain each n-gram."""
-        out = None
-        for slot in _slots(key, len(self.bits)):
-            out = self.bits[slot] if out is None else out & self.bits[slot]
-        return out
+    def masks(self, key: np.ndarray) -> list[np.ndarray]:
+        """The bitmasks of languages that contain each n-gram, 64 languages at a time."""
+        slots = _slots(key, self.bits.shape[1])
+        return [np.bitwise_and.reduce([word[slot] for slot in slots]) for word in self.bits]
 
     def shares(self, texts: pa.Array) -> np.ndarray:
         """Rows by languages: the corrected share of a text's n-grams that the language contains."""
-        table_of = {o: self._table(o) for o in ORDERS if o <= 2}
+        table_of = {o: self.masks(_key(np.arange(1 << 8 * o, dtype=np.uint32), o)) for o in ORDERS if o <= 2}
         out = []
         for chunk in chunks(pc.utf8_lower(texts)):
             hits, total = np.zeros((chunk.n, len(self.languages))), np.zeros(chunk.n)
             for order in ORDERS:
                 code, bounds = _ngrams(chunk, order)
                 if len(code):
-                    mask = table_of[order][code] if order in table_of else self.masks(_key(code, order))
+                    masks = [t[code] for t in table_of[order]] if order in table_of else self.masks(_key(code, order))
                     some = np.diff(bounds) > 0
                     for i in range(len(self.languages)):
-                        one = (mask >> np.uint64(i) & np.uint64(1)).astype(np.int64)
+                        one = (masks[i // 64] >> np.uint64(i % 64) & np.uint64(1)).astype(np.int64)
                         hits[some, i] += np.add.reduceat(one, bounds[:-1][some])
                 total += np.diff(bounds)
             n = np.maximum(total, 1)[:, None]
             out.append(np.clip((hits / n - self.rates) / np.maximum(1 - self.rates, 1e-9), 0, 1))
         return np.concatenate(out) if out else np.zeros((0, len(self.languages)))
 
-    def _table(self, order: int) -> np.ndarray:
-        return self.masks(_key(np.arange(1 << 8 * order, dtype=np.uint32), order))
+
+def frequent_ngrams(texts: pa.Array) -> np.ndarray:
+    """Keys of the n-grams that at least ``LEAST_SHARE`` of the texts contain."""
+    out = []
+    for order in ORDERS:
+        found: list[np.ndarray] = []
+        for chunk in chunks(pc.utf8_lower(texts)):
+            code, bounds = _ngrams(chunk, order)
+            row = np.repeat(np.arange(chunk.n, dtype=np.uint64), np.diff(bounds))
+            found.append((np.unique(code.astype(np.uint64) | row << np.uint64(32)) & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        code, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint32), np.zeros(0))
+        out.append(_key(code[n >= max(1, LEAST_SHARE * len(texts))], order))
+    return np.concatenate(out)
+
+
+def _window(text: Column, longest: int) -> Column:
+    """A text of up to ``longest`` characters whole, of a longer one a stretch of so many, at a place given by its hash."""
+    start = F.pmod(F.xxhash64(text), F.greatest(F.length(text) - longest + 1, F.lit(1))).cast("int") + 1
+    return F.when(F.length(text) <= longest, text).otherwise(F.substring(text, start, F.lit(longest)))
 
 
 def fit(samples: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST, slots: int = SLOTS) -> LanguageFilters:
-    """Learn from ``text, lang`` rows: about ``per_language`` texts of each language, of at most ``longest`` characters.
+    """Learn from ``text, lang`` rows: up to ``per_language`` distinct texts of each language, drawn by a hash of the text.
 
-    The sample is drawn by a hash of the text, so it is the same in every run. An n-gram enters a language's filter if
-    at least ``LEAST_SHARE`` of the language's sampled texts contain it. At most 64 languages.
+    A text of more than ``longest`` characters gives a stretch of so many. An n-gram enters a language's filter if at least
+    ``LEAST_SHARE`` of the language's sampled texts contain it. Each language is one task's work, bounded by the two numbers;
+    the driver gets n-grams, not texts. Any number of languages may occur; a language without a text that has characters
+    is not learned.
     """
-    usable = samples.filter(f"lang is not null and text is not null and length(text) between 1 and {longest}").select("text", "lang")
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().orderBy("lang").limit(65).collect()}
-    if len(counts) > 64:
-        raise ValueError("at most 64 languages")
-    languages = sorted(counts)
-    bits = np.zeros(slots, np.uint64)
-    if languages:
-        share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, per_language / n))) for k, n in counts.items()])
-        drawn = usable.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30)).toArrow()
-        for i, language in enumerate(languages):
-            texts = drawn.filter(pc.equal(drawn["lang"], language))["text"].combine_chunks()
-            for order in ORDERS:
-                found: list[np.ndarray] = []
-                for chunk in chunks(pc.utf8_lower(texts)):
-                    code, bounds = _ngrams(chunk, order)
-                    row = np.repeat(np.arange(chunk.n, dtype=np.uint64), np.diff(bounds))
-                    found.append((np.unique(code.astype(np.uint64) | row << np.uint64(32)) & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-                if found:
-                    code, n = np.unique(np.concatenate(found), return_counts=True)
-                    for slot in _slots(_key(code[n >= max(1, LEAST_SHARE * len(texts))], order), slots):
-                        bits[slot] |= np.uint64(1 << i)
+    ship_code(samples.sparkSession)
+    usable = samples.filter("lang is not null and length(text) > 0").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    drawn = drawn_texts(usable.select(F.xxhash64("text").alias("h"), F.col("lang").alias("label")), per_language)
+    rows = usable.withColumn("h", F.xxhash64("text")).join(F.broadcast(drawn.withColumnRenamed("label", "lang")), ["h", "lang"])
+    rows = rows.groupBy("h", "lang").agg(F.any_value(_window(F.col("text"), longest)).alias("text"))
+
+    def learn(t: pa.Table) -> pa.Table:
+        texts = pa.concat_arrays(t["text"].cast(pa.large_string()).chunks)
+        return pa.table({"lang": t["lang"].slice(0, 1).combine_chunks(), "keys": pa.array([frequent_ngrams(texts).view(np.int64).tobytes()], pa.binary())})
+
+    found = {r["lang"]: np.frombuffer(bytes(r["keys"]), np.uint64) for r in rows.select("lang", "text").groupBy("lang").applyInArrow(learn, "lang string, keys binary").collect()}
+    discard(drawn)
+    languages = sorted(found)
+    bits = np.zeros((max(1, -(-len(languages) // 64)), slots), np.uint64)
+    for i, language in enumerate(languages):
+        for slot in _slots(found[language], slots):
+            bits[i // 64][slot] |= np.uint64(1 << i % 64)
     return LanguageFilters(languages, bits)
 
 

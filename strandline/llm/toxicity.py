@@ -17,9 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.llm._sampling import drawn_texts
 from strandline.llm._tokens import chunks, mix, words
 from strandline.llm.language_id import fold
-from strandline.session import discard, materialise, ship_code, table
+from strandline.session import discard, ship_code, table
 
 BUCKETS = 1 << 14
 DIM = 12
@@ -183,24 +184,6 @@ def _aside() -> Column:
     return F.shiftrightunsigned(F.xxhash64("text"), 7) % 5 == 0
 
 
-def _drawn(rows: DataFrame, sample: int) -> DataFrame:
-    """``h, hit``: at most ``sample // 2`` distinct texts of either label, in the order of a hash of them.
-
-    ``rows`` has the texts' hash ``h`` and ``toxic``. One count sets a cut below which a few more texts lie than are wanted,
-    so the ordering that follows sees these alone, whatever the input's size and however often a text is repeated.
-    """
-    half = sample // 2
-    distinct = materialise(rows.select("h", (F.col("toxic") == 1).alias("hit"), F.shiftrightunsigned(F.xxhash64("h"), 2).alias("at")).distinct(), "labelled")
-    parts = []
-    counts = {r[0]: r[1] for r in distinct.groupBy("hit").count().collect()}
-    for hit in (True, False):
-        share = min(1.0, (half + 8 * half**0.5 + 20) / max(counts.get(hit, 0), 1))
-        parts.append(distinct.filter((F.col("hit") == hit) & (F.col("at") <= int(share * 2**62))).orderBy("at", "h").limit(half).select("h", "hit"))
-    out = materialise(parts[0].unionByName(parts[1]), "drawn")
-    discard(distinct)
-    return out
-
-
 def _trained(data: pa.Table, steps: int) -> tuple[Toxicity, bool | None]:
     """The network fitted on rows ``text, hit, aside``, and whether the rows ``aside`` were kept from it."""
     data = data.sort_by([("hit", "ascending"), ("h", "ascending")])
@@ -225,7 +208,7 @@ def fit_weights(texts: DataFrame, labelled: DataFrame, sample: int = SAMPLE, lon
     """
     spark = texts.sparkSession
     ship_code(spark)
-    drawn = _drawn(labelled, sample)
+    drawn = drawn_texts(labelled.select("h", (F.col("toxic") == 1).alias("label")), sample // 2).withColumnRenamed("label", "hit")
     of = texts.filter(F.length("text") <= longest).select(F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
     rows = of.join(F.broadcast(drawn), "h").groupBy("h", "hit").agg(F.any_value("text").alias("text")).select("h", "hit", "text", _aside().alias("aside"))
 
