@@ -234,3 +234,19 @@ def test_cards_of_single_parted_digits(spark):
     got = sorted(personal_data.find_personal_data(frame(spark, [*cards, f"x {cards[0]}, y", "1 2", "no 7"])).collect())
     assert [r.n_card for r in got] == [1, 1, 1, 0, 0]
     assert [r.spans for r in got] == ["card:0:31", "card:0:31", "card:2:33", "", ""]
+
+
+def test_decontamination_in_blocks_with_answers_and_repeats(spark, monkeypatch):
+    items = [" ".join(word() for _ in range(30)) for _ in range(12)]
+    fill = lambda: " ".join(word() for _ in range(80))
+    leaks = [f"{fill()} {x} {fill()}" for x in items]
+    clean = [None, "", *(fill() for _ in range(100))]
+    rows = [(i, x, x.split()[0] if i % 2 else None) for i, x in enumerate(items)] + [(0, items[0], None), (50, " ", "x")]
+    bench = spark.createDataFrame(rows, "item_id long, text string, answer string")
+    docs = frame(spark, clean + leaks)
+    want = {(len(clean) + i, i) for i in range(12)}
+    for size in (20_000, 5):
+        monkeypatch.setattr(decontamination, "BLOCK_ITEMS", size)
+        assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, bench).collect()} == want
+        assert decontamination.drop_leaks(docs.unionByName(docs), bench).count() == 2 * len(clean)
+    assert decontamination.find_leaks(docs.limit(0), bench).count() == 0 and decontamination.drop_leaks(docs.limit(0), bench).count() == 0
