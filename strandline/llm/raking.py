@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.session import discard, materialise, table
@@ -24,6 +24,8 @@ MOST_ROUNDS = 60
 FIRST_ROUNDS, LEAST_GAIN = 4, 1e-3
 #: Cells of up to this many bytes are joined by broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Up to so many cells are fitted as one row of arrays; more are fitted by sums and joins.
+FIT_CELLS = 20_000
 SQL_ROUNDS = 30
 
 #: The topic of a text by its composition, read from all of it: mostly figures, marks or capitals, else its extent.
@@ -69,35 +71,75 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
     rest; values that no cell has are left out. A marginal without an entry gets shares in proportion to its tokens to the
     power ``temper``. Cells without tokens are left out, an empty table gives none.
 
-    A round scales the cells to each marginal by a sum and a join, so cells of any number stay distributed, and is written;
-    rounds go on until no marginal is off by more than ``tolerance``, as a share of its goal. Targets that are not met after ``rounds`` of them, or that
-    conflict, as when the cells that would be needed do not exist, are an error; without ``strict`` they are a warning, and
-    the last round's factors, which meet the topics' targets, are returned.
+    Rounds go on until no marginal is off by more than ``tolerance``, as a share of its goal. Targets that are not met after
+    ``rounds`` of them, or that conflict, as when the cells that would be needed do not exist, are an error; without
+    ``strict`` they are a warning, and the last round's factors, which meet the topics' targets, are returned.
+
+    Up to ``FIT_CELLS`` cells, of a size that their count bounds, are fitted as one row; more of them stay distributed.
     """
     at = materialise(cells.filter("tokens > 0").select(*MARGINS, "tokens", F.col("tokens").cast("double").alias("w")), "cells")
     goals = _goals(at, targets or {}, temper)
+    few = at.count() <= FIT_CELLS
+    at, off, n = _fitted_row(at, goals, tolerance, rounds) if few else _fitted_rounds(at, goals, tolerance, rounds)
+    if off > tolerance:
+        missed = f"the targets were not met in {n} rounds; a marginal is still off by {off:.3g}"
+        if strict:
+            raise RuntimeError(missed)
+        warnings.warn(missed, stacklevel=2)
+    return at.select(*MARGINS, "tokens", (F.col("w") / F.col("tokens")).alias("factor"))
+
+
+def _fitted_row(at: DataFrame, goals: dict[str, DataFrame], tolerance: float, rounds: int) -> tuple[DataFrame, float, int]:
+    """The cells with their weights after the fit, how far a marginal is off, and the rounds taken; all rounds are one expression.
+
+    Each marginal keeps the lists of its values' cells, so a step is a sum over each list and a product for each cell.
+    """
+    rows = at
+    for m in MARGINS:
+        rows = rows.join(goals[m].withColumnRenamed("goal", f"goal_{m}"), m)
+    rows = rows.withColumn("i", F.row_number().over(Window.orderBy(*MARGINS)))
+    rows = rows.withColumns({f"of_{m}": F.dense_rank().over(Window.orderBy(m)) for m in MARGINS})
+    rows = materialise(rows, "numbered")
+    column = lambda c: F.transform("r", lambda x: x[c])
+    whole = rows.groupBy().agg(F.sort_array(F.collect_list(F.struct("i", *MARGINS, "tokens", "w", *[f"{x}_{m}" for m in MARGINS for x in ("goal", "of")]))).alias("r"))
+    whole = whole.select(F.lit(1).alias("one"), "r", column("w").alias("w"), *[column(f"{x}_{m}").alias(f"{x}_{m}") for m in MARGINS for x in ("goal", "of")])
+    for m in MARGINS:
+        lists = rows.groupBy(f"of_{m}").agg(F.collect_list("i").alias("l")).groupBy().agg(F.sort_array(F.collect_list(F.struct(f"of_{m}", F.sort_array("l").alias("l")))).alias("x"))
+        whole = whole.join(lists.select(F.lit(1).alias("one"), F.transform("x", lambda x: x["l"]).alias(f"lists_{m}")), "one")
+    # transform(array(x), name -> y)[0] computes x once and names it
+    held = "transform(lists_{m}, l -> aggregate(l, 0D, (a, i) -> a + w[i - 1]))"
+    by = "transform(of_{m}, (o, i) -> if(held[o - 1] > 0, goal_{m}[i] / held[o - 1], 0D))"
+    scaled = "struct(zip_with(w, by, (x, y) -> x * y) AS w, array_max(zip_with(w, by, (x, y) -> if(x * y > 0, abs(y - 1), 0D))) AS off)"
+    bind = lambda x, name, y: f"transform(array({x}), {name} -> {y})[0]"
+    off = f"greatest({', '.join(f'after_{m}.off' for m in MARGINS)})"
+    turn = f"struct(after_{MARGINS[-1]}.w AS w, {off} AS off, s.n + 1 AS n, s.n >= {FIRST_ROUNDS} AND {off} > s.off * {1 - LEAST_GAIN!r}D AS stuck)"
+    for m, before in reversed([*zip(MARGINS, ["s.w", *(f"after_{m}.w" for m in MARGINS)], strict=False)]):
+        turn = bind(bind(before, "w", bind(held.format(m=m), "held", bind(by.format(m=m), "by", scaled))), f"after_{m}", turn)
+    loop = f"aggregate(sequence(1, {rounds}), struct(w AS w, double('infinity') AS off, 0 AS n, false AS stuck), (s, k) -> if(s.off <= {tolerance!r}D OR s.stuck, s, {turn}))"
+    done = materialise(whole.select("r", F.expr(loop).alias("s")), "fitted")
+    off, n = done.select("s.off", "s.n").first()
+    each = done.select(F.explode(F.arrays_zip("r", F.col("s.w").alias("w"))).alias("c")).select(*[F.col(f"c.r.{c}").alias(c) for c in (*MARGINS, "tokens")], F.col("c.w").alias("w"))
+    return each, off if n and at.limit(1).count() else 0.0, n
+
+
+def _fitted_rounds(at: DataFrame, goals: dict[str, DataFrame], tolerance: float, rounds: int) -> tuple[DataFrame, float, int]:
+    """As ``_fitted_row``, for cells of any number: each round scales them to each marginal by a sum and a join, and is written."""
     goals = {m: materialise(goals[m], "goals") for m in MARGINS}
-    last = None
-    for i in range(rounds):
+    off, last = float("inf"), float("inf")
+    for n in range(1, rounds + 1):
         new = at.withColumn("off", F.lit(0.0))
         for m in MARGINS:
             held = new.groupBy(m).agg(F.sum("w").alias("held")).join(goals[m], m)
             held = held.select(m, F.when(F.col("held") > 0, F.col("goal") / F.when(F.col("held") > 0, F.col("held"))).otherwise(0.0).alias("by"))
             new = new.join(held, m).select(*MARGINS, "tokens", (F.col("w") * F.col("by")).alias("w"), F.greatest("off", F.abs(F.col("by") - 1)).alias("off"))
         new, old = materialise(new, "cells"), at
-        off = new.filter("w > 0").agg(F.max("off")).first()[0]
+        off = new.filter("w > 0").agg(F.max("off")).first()[0] or 0.0
         at = new.drop("off")
         discard(old)
-        if (off or 0.0) <= tolerance:
-            break
-        if i + 1 == rounds or (i >= FIRST_ROUNDS and off > last * (1 - LEAST_GAIN)):
-            missed = f"the targets were not met in {i + 1} rounds; a marginal is still off by {off:.3g}"
-            if strict:
-                raise RuntimeError(missed)
-            warnings.warn(missed, stacklevel=2)
+        if off <= tolerance or (n > FIRST_ROUNDS and off > last * (1 - LEAST_GAIN)):
             break
         last = off
-    return at.select(*MARGINS, "tokens", (F.col("w") / F.col("tokens")).alias("factor"))
+    return at, off, n
 
 
 def cell_factors(docs: DataFrame, topic: str = SPARK_TOPIC, **how) -> DataFrame:

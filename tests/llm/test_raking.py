@@ -35,6 +35,14 @@ def test_factors_meet_every_margin(spark):
     assert sum(r.tokens * r.factor for r in cells) == pytest.approx(total)
 
 
+def test_many_cells_are_fitted_alike(spark, monkeypatch):
+    docs = corpus(spark, 400)
+    factors = lambda: {(r.source, r.lang, r.topic): r.factor for r in raking.cell_factors(docs, targets=TARGETS).collect()}
+    row = factors()
+    monkeypatch.setattr(raking, "FIT_CELLS", 0)
+    assert factors() == pytest.approx(row, rel=1e-7)
+
+
 def test_drawn_documents_have_the_target_mix(spark):
     out = raking.mix(corpus(spark, 20000), targets=TARGETS).collect()
     assert {r.weight for r in out} == {1.0} and len(out) > 300
@@ -62,7 +70,9 @@ def test_edges(spark):
     assert set(twice.values()) == {2}
 
 
-def test_targets_that_no_cells_can_meet_are_an_error(spark):
+@pytest.mark.parametrize("cells", [0, 20_000])
+def test_targets_that_no_cells_can_meet_are_an_error(spark, monkeypatch, cells):
+    monkeypatch.setattr(raking, "FIT_CELLS", cells)
     rows = [(i, "a b", lang, source, 1, 1, "x") for i, (lang, source) in enumerate([("en", "a"), ("fr", "b")])]
     with pytest.raises(RuntimeError, match="not met"):
         raking.cell_factors(spark.createDataFrame(rows, SCHEMA), targets={"lang": {"en": 0.9, "fr": 0.1}, "source": {"a": 0.5, "b": 0.5}}, rounds=10)
