@@ -365,12 +365,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
     labelled = posts.join(long_lists, "key").join(labels, "node", "left").select("key", "before", "node", "size", F.coalesce("label", "node").alias("label"))
     more = _joining(labelled, nodes, texts, least, percent)
     if more is not None and more.limit(1).count():
-        labels = min_labels(links.unionByName(more), "u", "v")
+        labels = _relabelled(labels, more)
     of_set = sets.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", "node", F.coalesce("label", "node").alias("label"))
     out = signed.join(of_set, ["set_a", "set_b", "n_shingles"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("label", "doc_id"), F.lit(True)).alias("kept"))
 
 
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after ``links`` (u, v) between their components: only the components that the links join are labelled anew."""
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    ends = links.join(of("u"), "u", "left").join(of("v"), "v", "left")
+    above = min_labels(ends.select(F.coalesce("label_u", "u").alias("u"), F.coalesce("label_v", "v").alias("v")), "u", "v").withColumnRenamed("label", "top")
+    # a node that had no link so far is a component of its own
+    own = above.join(labels, "node", "left_anti").select("node", F.col("top").alias("label"))
+    moved = labels.join(above.withColumnRenamed("node", "label"), "label", "left")
+    return materialise(moved.select("node", F.coalesce("top", "label").alias("label")).unionByName(own), "labels")
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     matched = materialise(_checked(pairs, nodes.select("node", F.col("sig").alias("payload")), _signatures_match(match_threshold(percent))).distinct(), "matched")
     ends = matched.select(F.col("u").alias("node")).unionByName(matched.select(F.col("v").alias("node")))
