@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import blank_as_missing, first_token
@@ -25,12 +27,13 @@ def _fail_if_any(bad: DataFrame, message: str, column: str) -> None:
         raise ValueError(f"{message}: {', '.join(rows)}")
 
 
-def read_fasta(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+def read_fasta(spark: SparkSession, path: str, strict: bool = False, unique: str | None = "seq_id") -> DataFrame:
     """``record_idx, header, seq_id, sequence`` of a FASTA file, plain or gzip.
 
     Records are split at line-initial ``>`` by the reader, so a large file is read by many tasks; ``record_idx`` grows in
     file order without gaps in meaning (it orders, it does not count). Blank lines and white space in sequences go.
-    ``strict`` also requires a record, and rejects data before the first header, empty headers and repeated ids.
+    ``strict`` also requires a record, and rejects data before the first header, empty headers and values of ``unique`` that
+    repeat: ids, whole headers (``header``), or neither (None) where repeats are resolved later.
     """
     raw = spark.read.option("lineSep", "\n>").text(path).withColumn("record_idx", F.monotonically_increasing_id())
     text = F.regexp_replace(F.col("value"), r"\r", "")
@@ -43,7 +46,8 @@ def read_fasta(spark: SparkSession, path: str, strict: bool = False) -> DataFram
             raise ValueError(f"no FASTA records in {path}")
         _fail_if_any(out.filter("lead"), "sequence data before the first header", "header")
         _fail_if_any(out.filter("header = ''"), "empty FASTA header at record", "record_idx")
-        _fail_if_any(duplicate_ids(out, "seq_id"), "repeated sequence ids", "seq_id")
+        if unique:
+            _fail_if_any(duplicate_ids(out, unique), f"repeated {'sequence ids' if unique == 'seq_id' else 'headers'}", unique)
     return out.drop("lead")
 
 
@@ -159,9 +163,23 @@ def ordered_distinct(rows: DataFrame, value: str, idx: str) -> DataFrame:
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """All columns as trimmed strings, blanks as ``(missing)``, plus ``age_range``; every fault is reported at once."""
+    return _metadata(spark.read.option("encoding", "UTF-8").csv(path, header=False, inferSchema=False))
+
+
+def metadata_from_bytes(spark: SparkSession, data: bytes) -> DataFrame:
+    """As ``read_metadata``, from an uploaded file's bytes, which must be UTF-8."""
+    try:
+        rows = list(csv.reader(io.StringIO(data.decode("utf-8-sig"), newline="")))
+    except UnicodeDecodeError as wrong:
+        raise ValueError("metadata is not UTF-8 text") from wrong
+    width = max(map(len, rows), default=1)
+    rows = [[x if x != "" else None for x in r] + [None] * (width - len(r)) for r in rows if any(r)]
+    return _metadata(spark.createDataFrame([Row(*r) for r in rows], ", ".join(f"_c{i} string" for i in range(width))).coalesce(1))
+
+
+def _metadata(raw: DataFrame) -> DataFrame:
     from strandline.operators.metadata import check_header, validated
 
-    raw = spark.read.option("encoding", "UTF-8").csv(path, header=False, inferSchema=False)
     first = raw.limit(1).collect()
     header = [(x or "").lstrip("﻿").strip() for x in first[0]] if first else []
     while header and not header[-1]:
@@ -203,3 +221,13 @@ def read_cache_sidecar(spark: SparkSession, path: str) -> DataFrame | None:
     if version is None or version[0] != 1:
         raise ValueError("unsupported alignment cache version")
     return out
+
+
+def read_table(spark: SparkSession, path: str, layout: dict[str, str]) -> DataFrame:
+    """A CSV written in one of the fixed layouts of ``writers``: columns by name, typed, blanks as null; others are left out.
+
+    A layout's column that the file lacks, as in tables of an earlier form, is null.
+    """
+    raw = spark.read.csv(path, header=True, inferSchema=False)
+    cell = lambda c: F.trim(F.col(f"`{c}`")) if c in raw.columns else F.lit(None).cast("string")
+    return raw.select(*[F.nullif(cell(c), F.lit("")).try_cast(kind).alias(c) for c, kind in layout.items()])
