@@ -159,8 +159,7 @@ def metadata_key(base_id: Column, sample_id: Column) -> Column:
 
 def kmers(seq: Column, k: int) -> Column:
     """The distinct k-mers made of A, C, G, T only; none for a shorter sequence."""
-    every = F.transform(F.sequence(F.lit(1), F.greatest(F.length(seq) - k + 1, F.lit(1))), lambda i: F.substring(seq, i, F.lit(k)))
-    return F.array_distinct(F.filter(every, lambda x: x.rlike(f"^[ACGT]{{{k}}}$")))
+    return F.array_distinct(F.regexp_extract_all(seq, F.lit(f"(?=([ACGT]{{{k}}}))"), F.lit(1)))
 
 
 def wrapped(seq: Column, width: int = 80) -> Column:

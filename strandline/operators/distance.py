@@ -2,64 +2,105 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import upper_ascii
 from strandline.session import ship_code
 
-WORD = 60
 #: Rows of a genotype in one block; a pair of blocks is one unit of work.
-BLOCK_ROWS = 2000
+BLOCK_ROWS = 512
+#: Sites that are compared at a time.
+SITES = 2048
 
 # The bases each IUPAC code stands for.
 IUPAC = {"A": "A", "C": "C", "G": "G", "T": "T", "R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC", "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG", "N": "ACGT"}
 MODES = ("resolve", "average", "skip", "gapmm")
 
 
-def planes(seq: Column, length: int) -> list[Column]:
-    """Bit planes for A, C, G, T: one long for every 60 sites, a bit set where the site has the base."""
-    up = F.rpad(upper_ascii(seq), length, "-")
-    out = []
-    for base in "ACGT":
-        bits = F.translate(F.regexp_replace(up, f"[^{base}]", "0"), base, "1")
-        out += [F.conv(F.substring(bits, 1 + i, WORD), 2, 10).cast("long").alias(f"{base}{i // WORD}") for i in range(0, length, WORD)]
-    return out
-
-
-def dealt_pairs(rows: DataFrame, group: str, idx: str, payload: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Every pair ``idx < idx_b`` of rows of one group, payload columns of the second with ``_b``.
+def block_cells(aligned: DataFrame, genotype: str, idx: str, seq_id: str, seq: Column, block_rows: int) -> GroupedData:
+    """Rows ``g, i, s, q`` dealt to cells ``(g, p, r)`` so that every two rows of a genotype meet in one cell.
 
-    A group of n rows is cut into ceil(n / block_rows) blocks and each pair of blocks is one join key, so the work of a
-    large group spreads over blocks^2 / 2 keys. All pairs are the result asked for; nothing is dropped.
+    A genotype of n rows is cut into ceil(n / block_rows) blocks by a hash, and each pair of blocks is one cell, so a large
+    genotype spreads over blocks^2 / 2 cells. All pairs are the result asked for; nothing is dropped. ``b`` is a row's block.
     """
-    sizes = rows.groupBy(group).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_k"))
-    cut = rows.join(sizes, group).withColumn("_b", F.pmod(F.xxhash64(idx), F.col("_k")).cast("int"))
-    left = cut.withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    left = left.select(group, F.least("_b", "_c").alias("_p"), F.greatest("_b", "_c").alias("_q"), F.col("_b").alias("_side"), idx, *payload)
-    right = left.select(group, "_p", "_q", F.col("_side").alias("_side_b"), F.col(idx).alias(f"{idx}_b"), *[F.col(c).alias(f"{c}_b") for c in payload])
-    pairs = left.join(right, [group, "_p", "_q"]).filter(f"{idx} < {idx}_b and (_p = _q or _side <> _side_b)")
-    return pairs.drop("_p", "_q", "_side", "_side_b")
+    rows = aligned.select(F.col(genotype).cast("string").alias("g"), F.col(idx).cast("long").alias("i"), F.col(seq_id).cast("string").alias("s"), upper_ascii(seq).alias("q"))
+    sizes = rows.groupBy("g").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("k"))
+    cut = rows.join(sizes, "g").withColumn("b", F.pmod(F.xxhash64("i"), F.col("k")).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    return cut.select("g", F.least("b", "c").alias("p"), F.greatest("b", "c").alias("r"), "b", "i", "s", "q").groupBy("g", "p", "r")
 
 
-def snp_pairs(aligned: DataFrame, length: int, genotype: str = "genotype", idx: str = "record_idx", seq_id: str = "seq_id", seq: str = "aligned") -> DataFrame:
+def site_codes(seqs: list[str | None], codes: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(rows, code)`` for each stretch of sites: the rows that reach it and, site by site, where ``codes`` lists them or -1.
+
+    Rows may differ in length; a site beyond a row's end is -1. Memory follows the stretch, not the longest row.
+    """
+    place = np.full(256, -1, np.int8)
+    place[np.frombuffer(codes.encode(), np.uint8)] = np.arange(len(codes))
+    # one byte for each character; what Latin-1 lacks becomes a mark that no code is
+    raw = [np.frombuffer((x or "").encode("latin-1", "replace"), np.uint8) for x in seqs]
+    ends = np.array([len(x) for x in raw], np.int64)
+    for start in range(0, int(ends.max(initial=0)), SITES):
+        rows = np.flatnonzero(ends > start)
+        code = np.full((len(rows), min(SITES, int(ends.max()) - start)), -1, np.int8)
+        for j, row in enumerate(rows):
+            part = raw[row][start : start + SITES]
+            code[j, : len(part)] = place[part]
+        yield rows, code
+
+
+def cell_pairs(t: pa.Table, genotype: str, keep: np.ndarray, values: dict[str, np.ndarray]) -> pa.Table:
+    """The kept pairs of a cell, each once and the earlier row first, with their values."""
+    p, r, b, i = (np.asarray(t[c]) for c in ("p", "r", "b", "i"))
+    one, two = np.flatnonzero(b == p[0]), np.flatnonzero(b == r[0])
+    first, second = i[one][:, None], i[two][None]
+    x, y = np.nonzero(keep & (first < second if p[0] == r[0] else first != second))
+    swap = i[one[x]] > i[two[y]]
+    s = t["s"].combine_chunks()
+    ends = [s.take(pa.array(np.where(swap, m, n))) for m, n in ((two[y], one[x]), (one[x], two[y]))]
+    return pa.Table.from_arrays([pa.array([t["g"][0].as_py()] * len(x), pa.string()), *ends, *(pa.array(v[x, y]) for v in values.values())], names=[genotype, "source", "target", *values])
+
+
+def snp_pairs(aligned: DataFrame, length: int | None = None, at_most: float | None = None, most_snps: int | None = None, genotype: str = "genotype", idx: str = "record_idx", seq_id: str = "seq_id", seq: str = "aligned", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``genotype, source, target, distance, snp_count, comparable_sites`` of every pair within a genotype.
 
     A site counts if both sequences have A, C, G or T there; a pair without such sites has distance 1. The first of a pair
-    is the one earlier in the input.
+    is the one earlier in the input. Sequences may be of any length and may differ in it; a null one has no sites, and with
+    ``length`` sites beyond it do not count. Rows without a genotype have no pairs. Two blocks of rows are one task's work:
+    their sites are counted by matrix products, exact in single precision as a stretch has fewer than 2^24 sites, and pairs
+    beyond ``at_most`` or ``most_snps`` never leave the task.
     """
-    bits = aligned.select(genotype, idx, seq_id, *planes(F.col(seq), length))
-    names = [c for c in bits.columns if c not in (genotype, idx, seq_id)]
-    words = range(-(-length // WORD))
-    bits = bits.select("*", *[F.expr(f"A{i} | C{i} | G{i} | T{i}").alias(f"V{i}") for i in words])
-    pairs = dealt_pairs(bits, genotype, idx, [seq_id, *names, *[f"V{i}" for i in words]])
-    total = lambda ps: sum((F.bit_count(F.col(f"{p}{i}").bitwiseAND(F.col(f"{p}{i}_b"))) for p in ps for i in words), F.lit(0)).cast("int")
-    out = pairs.select(genotype, F.col(seq_id).alias("source"), F.col(f"{seq_id}_b").alias("target"), total("V").alias("comparable_sites"), total("ACGT").alias("_same"))
-    snp = F.col("comparable_sites") - F.col("_same")
-    distance = F.when(F.col("comparable_sites") > 0, snp / F.when(F.col("comparable_sites") > 0, F.col("comparable_sites"))).otherwise(1.0)
-    return out.select(genotype, "source", "target", distance.alias("distance"), snp.alias("snp_count"), "comparable_sites")
+    ship_code(aligned.sparkSession)
+    sites = F.col(seq) if length is None else F.substring(seq, 1, length)
+
+    def measure(t: pa.Table) -> pa.Table:
+        p, r, b = (np.asarray(t[c]) for c in ("p", "r", "b"))
+        left, right = b == p[0], b == r[0]
+        both = np.zeros((left.sum(), right.sum()), np.int64)
+        same = np.zeros_like(both)
+        row, col = np.cumsum(left) - 1, np.cumsum(right) - 1
+        for rows, code in site_codes(t["q"].to_pylist(), "ACGT"):
+            one, two = left[rows], right[rows]
+            at = np.ix_(row[rows[one]], col[rows[two]])
+            plain = (code >= 0).astype(np.float32)
+            both[at] += (plain[one] @ plain[two].T).astype(np.int64)
+            for base in range(4):
+                hot = (code == base).astype(np.float32)
+                same[at] += (hot[one] @ hot[two].T).astype(np.int64)
+        snps = both - same
+        distance = np.where(both > 0, snps / np.maximum(both, 1), 1.0)
+        keep = np.ones(both.shape, bool)
+        if at_most is not None:
+            keep &= distance <= at_most
+        if most_snps is not None:
+            keep &= snps <= most_snps
+        return cell_pairs(t, genotype, keep, {"distance": distance, "snp_count": snps.astype(np.int32), "comparable_sites": both.astype(np.int32)})
+
+    return block_cells(aligned, genotype, idx, seq_id, sites, block_rows).applyInArrow(measure, f"{genotype} string, source string, target string, distance double, snp_count int, comparable_sites int")
 
 
 def tn93_from_counts(n: np.ndarray) -> np.ndarray:
@@ -92,41 +133,30 @@ def tn93_pairs(aligned: DataFrame, mode: str = "average", at_most: float | None
     ``skip`` uses sites with two plain bases. The other modes share an ambiguous site out over the bases it may be:
     ``average`` over all pairs, ``resolve`` as a match where one is possible; ``gapmm`` also counts a gap against a base as
     an unknown base. Two blocks of a genotype's rows are one task's work; their sites are counted by matrix products, one
-    for each two codes that occur, and pairs beyond the threshold never leave the task.
+    for each two codes that occur, and pairs beyond the threshold never leave the task. Sequences may differ in length.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
     ship_code(aligned.sparkSession)
     codes, shares = site_shares(mode)
-    rows = aligned.select(F.col(genotype).cast("string").alias("g"), F.col(idx).cast("long").alias("i"), F.col(seq_id).cast("string").alias("s"), upper_ascii(F.col(seq)).alias("q"))
-    sizes = rows.groupBy("g").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("k"))
-    cut = rows.join(sizes, "g").withColumn("b", F.pmod(F.xxhash64("i"), F.col("k")).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    cells = cut.select("g", F.least("b", "c").alias("p"), F.greatest("b", "c").alias("r"), "b", "i", "s", "q")
 
     def measure(t: pa.Table) -> pa.Table:
-        g, p, r = (t[c][0].as_py() for c in ("g", "p", "r"))
-        b, i, s = np.array(t["b"].to_pylist()), np.array(t["i"].to_pylist(), np.int64), np.array(t["s"].to_pylist(), object)
-        q = t["q"].to_pylist()
-        width = max(map(len, q))
-        code = np.array([[codes.find(ch) for ch in x.ljust(width, "~")] for x in q], np.int8).reshape(len(q), width)
-        one, two = np.flatnonzero(b == p), np.flatnonzero(b == r)
-        hot = {c: (code == c).astype(np.float32) for c in range(len(codes)) if (code == c).any()}
-        total = np.zeros((len(one), len(two), 4, 4))
-        for x in hot:
-            for y in hot:
-                if shares[x, y].any():
-                    total += (hot[x][one] @ hot[y][two].T)[:, :, None, None] * shares[x, y]
+        p, r, b = (np.asarray(t[c]) for c in ("p", "r", "b"))
+        left, right = b == p[0], b == r[0]
+        total = np.zeros((left.sum(), right.sum(), 4, 4))
+        row, col = np.cumsum(left) - 1, np.cumsum(right) - 1
+        for rows, code in site_codes(t["q"].to_pylist(), codes):
+            one, two = left[rows], right[rows]
+            at = np.ix_(row[rows[one]], col[rows[two]])
+            hot = {c: (code == c).astype(np.float32) for c in range(len(codes)) if (code == c).any()}
+            for x, y in ((x, y) for x in hot for y in hot if shares[x, y].any()):
+                n = hot[x][one] @ hot[y][two].T
+                for i, j in zip(*np.nonzero(shares[x, y]), strict=True):
+                    total[*at, i, j] += n * shares[x, y, i, j]
         d = tn93_from_counts(total)
-        first, second = np.broadcast_to(i[one][:, None], d.shape), np.broadcast_to(i[two][None], d.shape)
-        keep = first < second if p == r else first != second
-        if at_most is not None:
-            keep = keep & (d <= at_most)
-        x, y = np.nonzero(keep)
-        swap = first[x, y] > second[x, y]
-        src, dst = np.where(swap, s[two[y]], s[one[x]]), np.where(swap, s[one[x]], s[two[y]])
-        return pa.Table.from_arrays([pa.array([g] * len(x), pa.string()), pa.array(src, pa.string()), pa.array(dst, pa.string()), pa.array(d[x, y])], names=[genotype, "source", "target", "distance"])
+        return cell_pairs(t, genotype, d <= at_most if at_most is not None else np.ones(d.shape, bool), {"distance": d})
 
-    return cells.groupBy("g", "p", "r").applyInArrow(measure, f"{genotype} string, source string, target string, distance double")
+    return block_cells(aligned, genotype, idx, seq_id, F.col(seq), block_rows).applyInArrow(measure, f"{genotype} string, source string, target string, distance double")
 
 
 def site_shares(mode: str) -> tuple[str, np.ndarray]:

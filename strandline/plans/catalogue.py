@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import sequence as fn
 from strandline.operators import catalog, distance, encodings, genotyping, graph, metadata, regions, reuse, variants
-from strandline.plans.proxies import ALIGNED_SQL, HITS_SQL, PAIRS_SQL, REFERENCE, SITE_SQL, SITES, aligned, hits
+from strandline.plans.proxies import ALIGNED_SQL, HITS_SQL, PAIRS_SQL, REFERENCE, SITE_SQL, STRETCHES_SQL, aligned, hits, stretches
 from strandline.session import materialise, table
 from strandline.sources import readers, writers
 
@@ -46,7 +46,7 @@ def normalize_sequences(spark, sf_dir):
 
 
 @query(f"""WITH {ALIGNED_SQL} SELECT seq_id, sha256(translate(aligned, 'Nn', '--')) AS masked_sha256,
-  CAST(200 - length(replace(translate(aligned, 'Nn', '--'), '-', '')) AS INTEGER) AS gaps FROM aligned""")
+  CAST(length(aligned) - length(replace(translate(aligned, 'Nn', '--'), '-', '')) AS INTEGER) AS gaps FROM aligned""")
 def mask_n(spark, sf_dir):
     rows = aligned(spark, sf_dir).select("seq_id", fn.n_as_gap(F.col("aligned")).alias("m"))
     return rows.select("seq_id", F.sha2("m", 256).alias("masked_sha256"), F.regexp_count("m", F.lit("-")).cast("int").alias("gaps"))
@@ -76,7 +76,7 @@ def header_names(spark, sf_dir):
     return rows.select("page_id", fn.safe_name(F.col("url")).alias("safe"), fn.reference_genotype(F.col("url")).alias("lead"), fn.genotype_group(F.col("url")).alias("digits"), fn.header_genotype(header).alias("tag"))
 
 
-@query(f"""WITH {ALIGNED_SQL} SELECT seq_id, sha256('>' || seq_id || chr(10) || substr(aligned, 1, 80) || chr(10) || substr(aligned, 81, 80) || chr(10) || substr(aligned, 161)) AS fasta_sha256 FROM aligned""")
+@query(f"""WITH {ALIGNED_SQL} SELECT seq_id, sha256('>' || seq_id || chr(10) || array_to_string(list_transform(range(0, (length(aligned) + 79) // 80), lambda i: substr(aligned, i * 80 + 1, 80)), chr(10))) AS fasta_sha256 FROM aligned""")
 def fasta_records(spark, sf_dir):
     rows = aligned(spark, sf_dir).withColumn("header", F.col("seq_id"))
     return writers.fasta_lines(rows, "aligned").select(F.regexp_extract("value", "^>(.*)\n", 1).alias("seq_id"), F.sha2("value", 256).alias("fasta_sha256"))
@@ -126,11 +126,11 @@ def variant_selection(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir):
-    return distance.snp_pairs(aligned(spark, sf_dir), SITES)
+    return distance.snp_pairs(aligned(spark, sf_dir))
 
 
 def _links(spark, sf_dir):
-    return distance.links_by_distance(_pairs(spark, sf_dir), THRESHOLD)
+    return distance.links_by_distance(distance.snp_pairs(aligned(spark, sf_dir), at_most=THRESHOLD), THRESHOLD)
 
 
 _LINKS = f"{PAIRS_SQL}, links AS (SELECT * FROM pairs WHERE distance <= {THRESHOLD} AND source <> target)"
@@ -148,7 +148,7 @@ def snp_links(spark, sf_dir):
 
 @query(f"WITH {PAIRS_SQL} SELECT * FROM pairs WHERE snp_count <= {SNPS}")
 def snp_count_links(spark, sf_dir):
-    return distance.links_by_snps(_pairs(spark, sf_dir), SNPS)
+    return distance.links_by_snps(distance.snp_pairs(aligned(spark, sf_dir), most_snps=SNPS), SNPS)
 
 
 @query(f"""WITH {PAIRS_SQL} SELECT genotype, count(*) AS pairs, min(snp_count) AS min_snps, max(snp_count) AS max_snps, list_sort(list(snp_count))[count(*) // 2 + 1] AS median_snps,
@@ -220,10 +220,11 @@ def merged_clusters(spark, sf_dir):
     return rows.select("sample_id", "genotype", F.concat_ws("_", fn.safe_name(F.col("genotype")), "cluster_id").alias("cluster_id"), F.col("cluster_id").alias("source_cluster_id"), "cluster_size")
 
 
-@query(f"WITH {_LINKS} SELECT source, target, distance, snp_count, comparable_sites FROM links WHERE genotype IN ('de', 'en')")
+@query(f"WITH {_LINKS} SELECT source, target, distance, snp_count, comparable_sites FROM links")
 def merged_links(spark, sf_dir):
     links = _links(spark, sf_dir)
-    return distance.merged_links([links.filter(F.col("genotype") == g) for g in ("de", "en")])
+    english = F.col("genotype").eqNullSafe("en")
+    return distance.merged_links([links.filter(english), links.filter(~english)])
 
 
 @query(f"""WITH {_LINKS} SELECT sha256((SELECT string_agg(seq_id, chr(10) ORDER BY seq_id) FROM aligned) || chr(10) || chr(10) ||
@@ -260,9 +261,10 @@ def metadata_missing(spark, sf_dir):
     return metadata.nodes_without_metadata(aligned(spark, sf_dir).withColumnRenamed("seq_id", "sample_id"), _meta(spark, sf_dir))
 
 
-@query(f"WITH {ALIGNED_SQL}, {_META} SELECT sample_id FROM meta WHERE sample_id NOT IN (SELECT seq_id FROM aligned WHERE genotype = 'en')")
+@query(f"WITH {_META} SELECT sample_id FROM meta WHERE sample_id NOT IN (SELECT CAST(item_id AS VARCHAR) FROM benchmark)")
 def metadata_unknown(spark, sf_dir):
-    return metadata.metadata_without_nodes(aligned(spark, sf_dir).filter("genotype = 'en'").withColumnRenamed("seq_id", "sample_id"), _meta(spark, sf_dir))
+    nodes = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("sample_id"))
+    return metadata.metadata_without_nodes(nodes, _meta(spark, sf_dir))
 
 
 @query(f"""WITH RECURSIVE {_CLUSTERS}, {_META} SELECT c.sample_id, c.genotype, c.cluster_id, c.cluster_size, coalesce(quality, '(missing)') AS quality, coalesce(toxic, '(missing)') AS toxic
@@ -326,17 +328,17 @@ def hit_chains(spark, sf_dir):
     return genotyping.hit_chains(h).drop("query_intervals")
 
 
-_KMERS = f"""q AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, substr(s, i, 12) AS k FROM (SELECT doc_id, {SITE_SQL} AS s, unnest(range(1, 190)) AS i FROM documents WHERE text IS NOT NULL)) WHERE regexp_full_match(k, '[ACGT]{{12}}')),
-r AS (SELECT DISTINCT genotype, k FROM (SELECT genotype, substr(s, i, 12) AS k FROM (SELECT item_id % 4 || 'a' AS genotype, {SITE_SQL} AS s, unnest(range(1, 190)) AS i FROM benchmark WHERE text IS NOT NULL)) WHERE regexp_full_match(k, '[ACGT]{{12}}'))"""
+_KMERS = f"""q AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, substr(s, i, 12) AS k FROM (SELECT *, unnest(range(1, length(s) - 10)) AS i FROM (SELECT doc_id, {SITE_SQL} AS s FROM documents))) WHERE regexp_full_match(k, '[ACGT]{{12}}')),
+r AS (SELECT DISTINCT genotype, k FROM (SELECT genotype, substr(s, i, 12) AS k FROM (SELECT *, unnest(range(1, length(s) - 10)) AS i FROM (SELECT item_id % 4 || 'a' AS genotype, {SITE_SQL} AS s FROM benchmark))) WHERE regexp_full_match(k, '[ACGT]{{12}}'))"""
 
 
 @query(f"""WITH {_KMERS}, n AS (SELECT doc_id, count(*) AS n_kmers FROM q GROUP BY doc_id),
 top AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY common DESC, genotype) AS nth FROM (SELECT doc_id, genotype, count(*) AS common FROM q JOIN r USING (k) GROUP BY ALL))
 SELECT d.doc_id, coalesce(n_kmers, 0) AS n_kmers, CASE WHEN n_kmers >= 20 THEN genotype END AS best_genotype, CASE WHEN n_kmers >= 20 THEN coalesce(common, 0) / CAST(n_kmers AS DOUBLE) END AS best_score
-FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT * FROM top WHERE nth = 1) USING (doc_id) WHERE text IS NOT NULL""")
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT * FROM top WHERE nth = 1) USING (doc_id)""")
 def kmer_overlap(spark, sf_dir):
-    q = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", F.expr(SITE_SQL).alias("sequence"))
-    r = table(spark, sf_dir, "benchmark").filter("text is not null").select(F.concat(F.col("item_id") % 4, F.lit("a")).alias("genotype"), F.expr(SITE_SQL).alias("sequence"))
+    q = table(spark, sf_dir, "documents").select("doc_id", F.expr(SITE_SQL).alias("sequence"))
+    r = table(spark, sf_dir, "benchmark").select(F.concat(F.col("item_id") % 4, F.lit("a")).alias("genotype"), F.expr(SITE_SQL).alias("sequence"))
     return genotyping.kmer_overlap(q, r, k=12, key="doc_id")
 
 
@@ -352,18 +354,18 @@ def _columns(s: regions.Segment) -> tuple[int, int]:
 
 _SLICE = " || ".join(f"substr(aligned, {a}, {n})" for a, n in map(_columns, _SEGMENTS))
 _WIDTH = sum(s.length for s in _SEGMENTS)
-_QC = f"""{ALIGNED_SQL}, sliced AS (SELECT *, {_SLICE} AS region FROM aligned),
+_QC = f"""{STRETCHES_SQL}, sliced AS (SELECT *, {_SLICE} AS region FROM stretches),
 qc AS (SELECT seq_id, genotype, region, CAST(len(region) - len(replace(region, '-', '')) AS INTEGER) AS gap_bases, CAST(len(region) - len(replace(region, 'N', '')) AS INTEGER) AS n_bases, len(region) AS l FROM sliced),
 scored AS (SELECT *, (l - gap_bases - n_bases) / CAST({_WIDTH} AS DOUBLE) AS coverage_fraction FROM qc)"""
 
 
-@query(f"WITH {ALIGNED_SQL} SELECT seq_id, {_SLICE} AS region FROM aligned")
+@query(f"WITH {STRETCHES_SQL} SELECT seq_id, {_SLICE} AS region FROM stretches")
 def region_slice(spark, sf_dir):
-    return regions.slice_region(aligned(spark, sf_dir), REFERENCE, _SEGMENTS).select("seq_id", "region")
+    return regions.slice_region(stretches(spark, sf_dir), REFERENCE, _SEGMENTS).select("seq_id", "region")
 
 
 def _qc(spark, sf_dir):
-    return regions.coverage_qc(regions.slice_region(aligned(spark, sf_dir), REFERENCE, _SEGMENTS), _WIDTH)
+    return regions.coverage_qc(regions.slice_region(stretches(spark, sf_dir), REFERENCE, _SEGMENTS), _WIDTH)
 
 
 @query(f"WITH {_QC} SELECT seq_id, gap_bases, n_bases, coverage_fraction, coverage_fraction >= 0.7 AS passed_qc, CASE WHEN coverage_fraction >= 0.7 THEN '' ELSE 'low_e1_e2_coverage' END AS removal_reason, replace(region, 'N', '-') AS clustering FROM scored")
@@ -391,16 +393,16 @@ _WINDOWS = regions.candidate_windows(_SEARCH, 50, 25, 20)
 _WINDOW_SQL = ", ".join(f"({i}, {w.start}, {w.end}, {_columns(w)[0]}, {_columns(w)[1]})" for i, w in enumerate(_WINDOWS))
 
 
-@query(f"""WITH {ALIGNED_SQL}, w(window_no, "start", "end", c, n) AS (VALUES {_WINDOW_SQL}),
-u AS (SELECT window_no, "start", "end", len(replace(replace(substr(aligned, c, n), '-', ''), 'N', '')) / CAST("end" - "start" + 1 AS DOUBLE) AS cov FROM aligned, w)
+@query(f"""WITH {STRETCHES_SQL}, w(window_no, "start", "end", c, n) AS (VALUES {_WINDOW_SQL}),
+u AS (SELECT window_no, "start", "end", len(replace(replace(substr(aligned, c, n), '-', ''), 'N', '')) / CAST("end" - "start" + 1 AS DOUBLE) AS cov FROM stretches, w)
 SELECT window_no, "start", "end", count(*) FILTER (cov >= 0.7) AS support_count, round(avg(cov), 9) AS mean_coverage FROM u GROUP BY ALL""")
 def window_support(spark, sf_dir):
-    return regions.window_support(aligned(spark, sf_dir), REFERENCE, _WINDOWS).withColumn("mean_coverage", F.round("mean_coverage", 9))
+    return regions.window_support(stretches(spark, sf_dir), REFERENCE, _WINDOWS).withColumn("mean_coverage", F.round("mean_coverage", 9))
 
 
 @query()
 def max_usable(spark, sf_dir):
-    chosen, _ = regions.max_usable(aligned(spark, sf_dir), REFERENCE, _SEARCH, size=50, step=25, least_window=20)
+    chosen, _ = regions.max_usable(stretches(spark, sf_dir), REFERENCE, _SEARCH, size=50, step=25, least_window=20)
     return spark.createDataFrame([(s.name, s.start, s.end, s.length) for s in chosen], "name string, start int, end int, length int")
 
 

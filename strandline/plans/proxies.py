@@ -7,28 +7,40 @@ from pyspark.sql import functions as F
 
 from strandline.session import table
 
+#: The sites of a whole text; the same expression in both engines.
+SITE_SQL = "translate(lower(coalesce(text, '')), 'abcdefghijklmnopqrstuvwxyz ', 'ACGTACGTACGTACGTACGTACGTACN')"
+#: Sites of a stretch, the width of the reference row, which has a gap column every 20 sites.
 SITES = 200
-#: 200 aligned sites of a document; the same expression in both engines.
-SITE_SQL = "translate(rpad(substr(lower(text), 1, 200), 200, '~'), 'abcdefghijklmnopqrstuvwxyz ~', 'ACGTACGTACGTACGTACGTACGTACN-')"
-#: A reference row with a gap column every 20 sites.
 REFERENCE = "".join("-" if i % 20 == 19 else "ACGT"[i % 4] for i in range(SITES))
 
 
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``genotype, record_idx, seq_id, aligned`` of every document."""
-    docs = table(spark, sf_dir, "documents").filter("text is not null")
+    """``genotype, record_idx, seq_id, aligned`` of every document, over its whole text; a shorter one lacks the last sites."""
+    docs = table(spark, sf_dir, "documents")
     return docs.select(F.col("lang").alias("genotype"), F.col("doc_id").alias("record_idx"), F.col("doc_id").cast("string").alias("seq_id"), F.expr(SITE_SQL).alias("aligned"))
 
 
-ALIGNED_SQL = f"aligned AS (SELECT lang AS genotype, doc_id AS record_idx, CAST(doc_id AS VARCHAR) AS seq_id, {SITE_SQL} AS aligned FROM documents WHERE text IS NOT NULL)"
+ALIGNED_SQL = f"aligned AS (SELECT lang AS genotype, doc_id AS record_idx, CAST(doc_id AS VARCHAR) AS seq_id, {SITE_SQL} AS aligned FROM documents)"
+
+
+def stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``genotype, seq_id, aligned`` of every stretch of 200 sites of every document, the last one filled up with gaps."""
+    rows = aligned(spark, sf_dir).withColumn("no", F.explode(F.expr(f"sequence(0, greatest(0, (length(aligned) - 1) div {SITES}))")))
+    return rows.select("genotype", F.concat_ws(".", "seq_id", "no").alias("seq_id"), F.expr(f"rpad(substr(aligned, cast(no * {SITES} + 1 as int), {SITES}), {SITES}, '-')").alias("aligned"))
+
+
+STRETCHES_SQL = f"""{ALIGNED_SQL},
+stretches AS (SELECT genotype, concat(seq_id, '.', no) AS seq_id, rpad(substr(aligned, no * {SITES} + 1, {SITES}), {SITES}, '-') AS aligned
+  FROM (SELECT *, unnest(range(0, greatest(0, (length(aligned) - 1) // {SITES}) + 1)) AS no FROM aligned))"""
 
 
 def _bits(base: str) -> str:
-    return f"CAST(regexp_replace(regexp_replace(aligned, '[^{base}]', '0', 'g'), '[{base}]', '1', 'g') AS BIT)"
+    return f"CAST(regexp_replace(regexp_replace(sites, '[^{base}]', '0', 'g'), '[{base}]', '1', 'g') AS BIT)"
 
 
 PAIRS_SQL = f"""{ALIGNED_SQL},
-bits AS (SELECT genotype, record_idx, seq_id, {', '.join(f'{_bits(b)} AS {b.lower()}_' for b in 'ACGT')}, {_bits('ACGT')} AS v_ FROM aligned),
+filled AS (SELECT *, rpad(aligned, CAST((SELECT max(length(aligned)) FROM aligned) AS INTEGER), '-') AS sites FROM aligned),
+bits AS (SELECT genotype, record_idx, seq_id, {', '.join(f'{_bits(b)} AS {b.lower()}_' for b in 'ACGT')}, {_bits('ACGT')} AS v_ FROM filled),
 counted AS (
   SELECT a.genotype, a.seq_id AS source, b.seq_id AS target, CAST(bit_count(a.v_ & b.v_) AS INTEGER) AS comparable_sites,
     CAST(bit_count(a.a_ & b.a_) + bit_count(a.c_ & b.c_) + bit_count(a.g_ & b.g_) + bit_count(a.t_ & b.t_) AS INTEGER) AS same

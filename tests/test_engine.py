@@ -51,8 +51,21 @@ def test_snp_distance_cases_and_brute_force(spark):
         sites = [(p, q) for p, q in zip(x, y, strict=True) if p in "ACGT" and q in "ACGT"]
         want[a, b] = (sum(p != q for p, q in sites), len(sites))
     assert got == want
-    blocks = distance.dealt_pairs(aligned(spark, seqs), "genotype", "record_idx", ["seq_id"], block_rows=4)
-    assert blocks.count() == blocks.select("record_idx", "record_idx_b").distinct().count() == len(want)
+    blocks = distance.snp_pairs(aligned(spark, seqs), block_rows=4).collect()
+    assert len(blocks) == len(want) and {(r.source, r.target): (r.snp_count, r.comparable_sites) for r in blocks} == want
+    within = distance.snp_pairs(aligned(spark, seqs), at_most=0.7, most_snps=25, block_rows=4).collect()
+    assert {(r.source, r.target) for r in within} == {k for k, (n, of) in want.items() if n <= 25 and n / of <= 0.7} != set()
+
+
+def test_distances_of_unequal_and_long_sequences(spark):
+    rng = random.Random(2)
+    base = "".join(rng.choice("ACGT") for _ in range(5000))
+    seqs = [(f"s{i}", "".join(c if rng.random() > 0.02 else rng.choice("acgtN-Rü漢") for c in base[: rng.choice((0, 1, 2047, 2048, 2049, 4096, 5000))])) for i in range(17)] + [("none", None)]
+    got = {(r.source, r.target): (r.snp_count, r.comparable_sites) for r in distance.snp_pairs(aligned(spark, seqs), block_rows=5).collect()}
+    plain = {(a, b): [(p, q) for p, q in zip((x or "").upper(), (y or "").upper(), strict=False) if p in "ACGT" and q in "ACGT"] for (a, x), (b, y) in itertools.combinations(seqs, 2)}
+    assert got == {k: (sum(p != q for p, q in v), len(v)) for k, v in plain.items()}
+    same = {(r.source, r.target) for r in distance.tn93_pairs(aligned(spark, seqs), "skip", 0.0, block_rows=5).collect()}
+    assert same == {k for k, v in plain.items() if v and all(p == q for p, q in v)}
 
 
 def test_links_and_summary(spark):
