@@ -158,11 +158,11 @@ def snp_summary(spark, sf_dir):
 
 
 def _tn93_sql() -> str:
-    n = {(x, y): f"CAST(bit_count(a.{x.lower()}_ & b.{y.lower()}_) AS DOUBLE)" for x in "ACGT" for y in "ACGT"}
+    n = {(x, y): f"CAST(sum(bit_count(a.{x.lower()}_ & b.{y.lower()}_)) AS DOUBLE)" for x in "ACGT" for y in "ACGT"}
     cols = ", ".join(f"{v} AS n{x}{y}" for (x, y), v in n.items())
     freq = lambda x: f"({' + '.join(f'n{x}{y} + n{y}{x}' for y in 'ACGT')}) / (2 * n)"
     bits = PAIRS_SQL.split("counted AS")[0]
-    return f"""WITH {bits}c AS (SELECT a.genotype, a.seq_id AS source, b.seq_id AS target, {cols} FROM bits a JOIN bits b ON a.genotype = b.genotype AND a.record_idx < b.record_idx),
+    return f"""WITH {bits}c AS (SELECT a.genotype, a.seq_id AS source, b.seq_id AS target, {cols} FROM bits a JOIN bits b ON a.genotype = b.genotype AND a.no = b.no AND a.record_idx < b.record_idx GROUP BY ALL),
 t AS (SELECT *, {' + '.join(f'n{x}{y}' for x in 'ACGT' for y in 'ACGT')} AS n FROM c),
 f AS (SELECT *, {freq('A')} AS fa, {freq('C')} AS fc, {freq('G')} AS fg, {freq('T')} AS ft, (nAG + nGA) / n AS p1, (nCT + nTC) / n AS p2,
   (nAC + nCA + nAT + nTA + nGC + nCG + nGT + nTG) / n AS q FROM t WHERE n > 0),

@@ -38,13 +38,15 @@ def _bits(base: str) -> str:
     return f"CAST(regexp_replace(regexp_replace(sites, '[^{base}]', '0', 'g'), '[{base}]', '1', 'g') AS BIT)"
 
 
+#: Sites are compared in stretches, so that a short text is not filled up to the longest one.
 PAIRS_SQL = f"""{ALIGNED_SQL},
-filled AS (SELECT *, rpad(aligned, CAST((SELECT max(length(aligned)) FROM aligned) AS INTEGER), '-') AS sites FROM aligned),
-bits AS (SELECT genotype, record_idx, seq_id, {', '.join(f'{_bits(b)} AS {b.lower()}_' for b in 'ACGT')}, {_bits('ACGT')} AS v_ FROM filled),
+cut AS (SELECT genotype, record_idx, seq_id, no, rpad(substr(aligned, no * 1024 + 1, 1024), 1024, '-') AS sites
+  FROM (SELECT *, unnest(range(0, greatest(0, (length(aligned) - 1) // 1024) + 1)) AS no FROM aligned)),
+bits AS (SELECT genotype, record_idx, seq_id, no, {', '.join(f'{_bits(b)} AS {b.lower()}_' for b in 'ACGT')}, {_bits('ACGT')} AS v_ FROM cut),
 counted AS (
-  SELECT a.genotype, a.seq_id AS source, b.seq_id AS target, CAST(bit_count(a.v_ & b.v_) AS INTEGER) AS comparable_sites,
-    CAST(bit_count(a.a_ & b.a_) + bit_count(a.c_ & b.c_) + bit_count(a.g_ & b.g_) + bit_count(a.t_ & b.t_) AS INTEGER) AS same
-  FROM bits a JOIN bits b ON a.genotype = b.genotype AND a.record_idx < b.record_idx),
+  SELECT a.genotype, a.seq_id AS source, b.seq_id AS target, CAST(sum(bit_count(a.v_ & b.v_)) AS INTEGER) AS comparable_sites,
+    CAST(sum(bit_count(a.a_ & b.a_) + bit_count(a.c_ & b.c_) + bit_count(a.g_ & b.g_) + bit_count(a.t_ & b.t_)) AS INTEGER) AS same
+  FROM bits a JOIN bits b ON a.genotype = b.genotype AND a.no = b.no AND a.record_idx < b.record_idx GROUP BY ALL),
 pairs AS (
   SELECT genotype, source, target, CASE WHEN comparable_sites > 0 THEN (comparable_sites - same) / CAST(comparable_sites AS DOUBLE) ELSE 1.0 END AS distance,
     comparable_sites - same AS snp_count, comparable_sites
