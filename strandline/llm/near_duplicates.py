@@ -31,6 +31,8 @@ from strandline.session import materialise, ship_code, table
 COORDINATES = 64
 SMALL = 16
 HOME = 256
+#: Parts in which the rows of one smallest partner meet its count; only partners of over HOME rows have a count.
+DEALS = 32
 BLOCK = 1024
 BLOCK_SHINGLES = 2_000_000
 FILTER_BITS = 1 << 26
@@ -122,8 +124,10 @@ def _checked(pairs: DataFrame, items: DataFrame, test: Callable[[dict, int, list
     for each portion and not once for each pair, and a centre with any number of partners is spread over many tasks.
     """
     own = pairs.groupBy("v").agg(F.min("u").alias("c"))
-    load = own.groupBy("c").agg(F.ceil(F.count("*") / home).alias("portions"))
-    own = own.join(load, "c").select("v", "c", F.pmod(F.xxhash64("v"), F.col("portions")).alias("salt"))
+    load = own.groupBy("c").agg(F.ceil(F.count("*") / home).alias("portions")).filter("portions > 1")
+    load = load.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    own = own.withColumn("deal", F.pmod(F.xxhash64("v"), F.lit(DEALS)).cast("int")).join(load, ["c", "deal"], "left")
+    own = own.select("v", "c", F.pmod(F.xxhash64("v"), F.coalesce("portions", F.lit(1))).alias("salt"))
     dealt = pairs.join(own, "v")
     asks = dealt.groupBy("c", "salt", F.col("v").alias("doc")).agg(F.collect_list("u").alias("us"))
     given = dealt.select("c", "salt", F.col("u").alias("doc")).distinct().withColumn("us", F.lit(None).cast("array<long>"))
