@@ -5,9 +5,9 @@ smallest hash. Two occurrences of a passage of ``least_words >= k + window - 1``
 choice depends on the words alone. The kept suffixes are sorted over the whole corpus by their first k words and what
 follows, neighbours are compared, and suffixes that share k words with no neighbour are dropped. The rest are extended to
 both sides. Every window of ``least_words`` words has one minimiser, its anchor, so the windows of an anchor are how far
-a match can reach left and right of it. Suffixes whose whole reach is equal are settled by one hash; only at the ends of
-a match are single windows compared. The result is exact: a word is repeated if and only if it lies in a run of
-``least_words`` words that occurs at least twice.
+a match can reach left and right of it. Suffixes whose whole reach has equal words are settled at once; only at the ends of
+a match are single windows compared. Both compare 128-bit MD5 digests of the words, spelled out; 64-bit hashes only choose
+the suffixes. A word is repeated if and only if it lies in a run of ``least_words`` words that occurs at least twice.
 
 Nothing is compared pair by pair: a passage in a third of all documents costs rows in proportion to its occurrences,
 reduced by partial counts.
@@ -82,25 +82,22 @@ def _extend(least: int, k: int):
             for chunk in chunks(batch.column(1)):
                 ids = batch.column(0).slice(chunk.first, chunk.n)
                 w = words(chunk)
-                row, key, reach, first, count, each = [], [], [], [], [], []
+                row, key, first, count, spelled = [], [], [], [], []
                 for i in range(chunk.n):
-                    h, g, at, start, size = _document(chunk, w.hash, w.bounds, i, least, k)
+                    _, g, at, start, size = _document(chunk, w.hash, w.bounds, i, least, k)
                     chosen = np.isin(start, wanted[chunk.first + i].values.to_numpy())
                     at, start, size = at[chosen], start[chosen], size[chosen]
                     if not len(at):
                         continue
-                    prefix = run_hash(h)
+                    own = chunk.data[chunk.offsets[i] : chunk.offsets[i + 1]].tobytes().lower().split()
                     row.append(np.full(len(at), i))
                     key.append(g[at])
-                    reach.append(runs(prefix, start, start + size - 1 + least))
                     first.append(start)
                     count.append(size)
-                    of = np.repeat(start - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-                    each.append(runs(prefix, of, of + least))
+                    spelled += [b" ".join(own[x : x + n - 1 + least]) for x, n in zip(start.tolist(), size.tolist(), strict=True)]
                 if row:
-                    row, key, reach, first, count, each = (np.concatenate(x) for x in (row, key, reach, first, count, each))
-                    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), pa.array(each.view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), *(pa.array(x.view(np.int64)) for x in (key, reach)), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), lists], names=["doc_id", "key", "reach", "first", "count", "windows"])
+                    row, key, first, count = (np.concatenate(x) for x in (row, key, first, count))
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(key.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(spelled, pa.binary()).cast(pa.string())], names=["doc_id", "key", "first", "count", "words"])
 
     return run
 
@@ -115,8 +112,8 @@ def repeated_windows(docs: DataFrame, least_words: int = LEAST_WORDS, k: int = G
     array = kept.repartitionByRange("key", "after", "doc_id", "first").sortWithinPartitions("key", "after")
     near = array.mapInArrow(_neighbours, "doc_id long, key long, first int")
     per_doc = near.groupBy("doc_id").agg(F.collect_list("first").alias("firsts"))
-    schema = "doc_id long, key long, reach long, first int, count int, windows array<long>"
-    found = materialise(texts.join(per_doc, "doc_id").select("doc_id", "text", "firsts").mapInArrow(_extend(least_words, k), schema), "reach")
+    extended = texts.join(per_doc, "doc_id").select("doc_id", "text", "firsts").mapInArrow(_extend(least_words, k), "doc_id long, key long, first int, count int, words string")
+    found = materialise(extended.withColumn("reach", F.unhex(F.md5("words"))), "reach")
     reach = found.groupBy("key", "reach").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "first")).alias("one"))
     reach = reach.select("key", "reach", "n", F.col("one.doc_id").alias("doc_id"), F.col("one.first").alias("first"))
     reach = materialise(reach, "reaches")
@@ -124,7 +121,10 @@ def repeated_windows(docs: DataFrame, least_words: int = LEAST_WORDS, k: int = G
     whole = whole.select("doc_id", F.col("first").alias("start"), (F.col("first") + F.col("count") - 1 + least_words).alias("end"))
     mixed = reach.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("key")
     ones = reach.join(mixed, "key").select("key", "reach", "doc_id", "first", "n")
-    edges = found.join(ones, ["key", "reach", "doc_id", "first"]).select("doc_id", "first", "n", F.posexplode("windows").alias("at", "window"))
+    # the outer transform is over one array, so that a reach is split into its words once and not for every window
+    windows = lambda spelled: F.transform(F.sequence(F.lit(0), F.col("count") - 1), lambda at: F.unhex(F.md5(F.array_join(F.slice(spelled, at + 1, least_words), " "))))
+    edges = found.join(ones, ["key", "reach", "doc_id", "first"])
+    edges = edges.select("doc_id", "first", "n", F.posexplode(F.get(F.transform(F.array(F.split("words", " ")), windows), F.lit(0))).alias("at", "window"))
     edges = materialise(edges.select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n", "window"), "windows")
     twice = edges.groupBy("window").agg(F.sum("n").alias("n")).filter("n > 1").select("window")
     part = edges.filter("n = 1").join(twice, "window").select("doc_id", "start", (F.col("start") + least_words).alias("end"))

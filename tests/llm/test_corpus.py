@@ -62,7 +62,7 @@ def test_near_duplicates_brute_force(spark):
 def test_repeated_passages_brute_force(spark):
     shared = " ".join(word() for _ in range(60))
     fill = lambda n: " ".join(word() for _ in range(n))
-    texts = EDGES[:6] + [fill(30) + " " + shared + " " + fill(10), shared + " " + fill(70), fill(55) + " " + " ".join(shared.split()[:52]), fill(90), fill(40) + " " + " ".join(shared.split()[5:54])]
+    texts = EDGES + [fill(30) + " " + shared + " " + fill(10), shared + " " + fill(70), fill(55) + " " + " ".join(shared.split()[:52]), fill(90), fill(40) + " " + " ".join(shared.split()[5:54])]
     at = collections.defaultdict(list)
     for i, t in enumerate(texts):
         w = tokens(t)
@@ -87,6 +87,17 @@ def test_repeated_passages_brute_force(spark):
     assert repeated_passages.repeated_passages(frame(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_repeated_passages_of_repeated_rows(spark):
+    rng = random.Random(3)
+    fill = lambda n: " ".join(str(rng.random()) for _ in range(n))
+    one, two = fill(70), f"\u00c4B\u0130 {fill(60)}"
+    rows = [(1, one), (1, one), (None, two), (None, two), (2, two), (3, f"x\v{two.upper()}\f\r\n\ty"), (4, f"{fill(30)} {one.replace(' ', chr(160))}"), (5, f"{fill(9)} {' '.join(one.split()[:49])} {fill(9)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("words", F.lit("x")).withColumn("key", F.lit(1))
+    # a row without doc_id is no occurrence; letters beyond A-Z keep their case, so only what follows them is common
+    want = {1: "0-70", 2: "0-61", 3: "1-62"}
+    assert {r.doc_id: r.spans for r in repeated_passages.repeated_passages(docs).collect()} == want
+
+
 def test_line_windows(spark):
     texts = [None, "", "a\nb\nc\nd", "z\na\nb\nc\nd", "a\nb\nc", "\n\n\n\n", "b\nc\nd\na\nb\nc", "a\nb"]
     seen, want = set(), []
