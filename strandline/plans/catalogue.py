@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import sequence as fn
-from strandline.operators import catalog, distance, encodings, genotyping, graph, metadata, regions, reuse, variants
+from strandline.operators import catalog, distance, encodings, genotyping, graph, metadata, near_links, regions, reuse, variants
 from strandline.plans.proxies import ALIGNED_SQL, HITS_SQL, PAIRS_SQL, REFERENCE, SITE_SQL, STRETCHES_SQL, aligned, hits, stretches
 from strandline.session import materialise, table
 from strandline.sources import readers, writers
@@ -130,7 +130,7 @@ def _pairs(spark, sf_dir):
 
 
 def _links(spark, sf_dir):
-    return distance.links_by_distance(distance.snp_pairs(aligned(spark, sf_dir), at_most=THRESHOLD), THRESHOLD)
+    return distance.links_by_distance(near_links.near_links(aligned(spark, sf_dir), at_most=THRESHOLD), THRESHOLD)
 
 
 _LINKS = f"{PAIRS_SQL}, links AS (SELECT * FROM pairs WHERE distance <= {THRESHOLD} AND source <> target)"
@@ -148,7 +148,7 @@ def snp_links(spark, sf_dir):
 
 @query(f"WITH {PAIRS_SQL} SELECT * FROM pairs WHERE snp_count <= {SNPS}")
 def snp_count_links(spark, sf_dir):
-    return distance.links_by_snps(distance.snp_pairs(aligned(spark, sf_dir), most_snps=SNPS), SNPS)
+    return distance.links_by_snps(near_links.near_links(aligned(spark, sf_dir), most_snps=SNPS), SNPS)
 
 
 @query(f"""WITH {PAIRS_SQL} SELECT genotype, count(*) AS pairs, min(snp_count) AS min_snps, max(snp_count) AS max_snps, list_sort(list(snp_count))[count(*) // 2 + 1] AS median_snps,
