@@ -21,17 +21,20 @@ from strandline.session import table
 
 KINDS = ("email", "ip", "card", "phone")
 
+#: What an address may start with. A match begins where a run of these does or where the match before ends: if it fails there it
+#: fails at every later character of the run, so a run is gone over once however long it is.
+_HEAD = r"(?:\G|(?<![A-Za-z0-9._%+-]))"
 #: Base patterns, as given; groups are possessive where that cannot change a match, so that long runs need no stack.
 BASE = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "email": _HEAD + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: A text that fails its gate has no match of the pattern.
 GATE = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 LOOSE = {
-    "email": r"[A-Za-z0-9._%+-]++(?:@|\x20?[\[(]\x20?at\x20?[\])]\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(]\x20?dot\x20?[\])]\x20?)[A-Za-z0-9-]++)++",
+    "email": _HEAD + r"[A-Za-z0-9._%+-]++(?:@|\x20?[\[(]\x20?at\x20?[\])]\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(]\x20?dot\x20?[\])]\x20?)[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:(?:\.|\[\.\])[0-9]{1,3}){3}(?![0-9.])",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{1,7}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+.-])(?:(?:\+|00)?[0-9]{0,3}[\x20.-]?\([0-9]{2,4}\)[\x20.-]?|(?:(?:\+|00)[0-9]{1,3}[\x20.-]?)?[0-9]{3}[\x20.-])[0-9]{3}[\x20.-]?[0-9]{3,4}(?![0-9A-Za-z])",
