@@ -41,23 +41,23 @@ def covered_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
 def dedup_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
     """``docs`` with later occurrences of repeated line windows removed from ``text``, plus ``n_lines``, ``n_removed``.
 
-    A window is ``size`` consecutive lines, compared exactly; windows of blank lines only are no repeats. Lines under any
+    A window is ``size`` consecutive lines, compared by 128 bits of hashes; windows of blank lines only are no repeats. Lines under any
     window that occurred before, in an earlier doc_id or further up, go; overlapping windows are merged. A text that
     loses all its lines becomes empty. Null stays null, with 0 lines; an empty text is one line. Rows without doc_id are
     left as they are and take no part. Rows that repeat both doc_id and text are one occurrence. Columns named
     ``n_lines`` or ``n_removed`` are replaced; other columns stay.
     """
     docs = docs.drop("n_lines", "n_removed")
-    marks = covered_lines(docs, size).withColumnsRenamed({"id": "_id", "version": "_version", "covered": "_covered"})
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    out = keyed.join(marks, (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_version")), "left")
-    out = out.withColumn("_lines", _lines(F.col("text")))
-    kept = F.array_except(F.sequence(F.lit(1), F.size("_lines")), F.col("_covered"))
-    clean = F.array_join(F.transform(kept, lambda i: F.element_at("_lines", i)), "\n")
+    # the caller's row goes along as one struct, so that none of its columns can be taken for one of these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = rows.join(covered_lines(docs, size), (F.col("row.doc_id") == F.col("id")) & (F.xxhash64("row.text") == F.col("version")), "left")
+    out = out.select("row", "covered", _lines(F.col("row.text")).alias("lines"))
+    kept = F.array_except(F.sequence(F.lit(1), F.size("lines")), F.col("covered"))
+    clean = F.array_join(F.transform(kept, lambda i: F.element_at("lines", i)), "\n")
     return out.select(
-        *[F.when(F.col("_covered").isNull(), F.col("text")).otherwise(clean).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed"),
+        *[F.when(F.col("covered").isNull(), F.col("row.text")).otherwise(clean).alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns],
+        F.when(F.col("row.text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
