@@ -38,9 +38,9 @@ SPARK_TOPIC = TOPIC.replace("\\", "\\\\").format(count="regexp_count")
 
 
 def _labelled(docs: DataFrame, topic: str) -> DataFrame:
-    """Each document's ``_source, _lang, _topic``."""
+    """Each document's ``source, lang, topic, tokens``, and its ``row`` as one struct, so that the caller's columns clash with none."""
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)"))
-    return docs.withColumns({"_source": name("source"), "_lang": name("lang"), "_topic": F.coalesce(F.expr(topic), F.lit("(none)"))})
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name("source").alias("source"), name("lang").alias("lang"), F.coalesce(F.expr(topic), F.lit("(none)")).alias("topic"), _tokens().alias("tokens"))
 
 
 def _tokens():
@@ -144,7 +144,7 @@ def _fitted_rounds(at: DataFrame, goals: dict[str, DataFrame], tolerance: float,
 
 def cell_factors(docs: DataFrame, topic: str = SPARK_TOPIC, **how) -> DataFrame:
     """The raked cells of ``docs``; token sums cover every document."""
-    sums = _labelled(docs, topic).groupBy(*(F.col(f"_{m}").alias(m) for m in MARGINS)).agg(F.sum(_tokens()).alias("tokens"))
+    sums = _labelled(docs, topic).groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
     return rake(sums, **how)
 
 
@@ -162,14 +162,14 @@ def mix(docs: DataFrame, topic: str = SPARK_TOPIC, rate: float | None = None, ta
     cells = cell_factors(docs, topic, targets=TARGETS if targets is None else targets, **{"strict": False, **how})
     size = cells.agg(F.max("factor"), F.sum(F.length(F.concat(*MARGINS)) * 4 + 64)).first()
     rate = 1.0 / max(size[0] or 1.0, 1.0) if rate is None else float(rate)
-    cells = cells.select(*(F.col(m).alias(f"_{m}") for m in MARGINS), F.col("factor").alias("_factor"))
+    cells = cells.select(*MARGINS, "factor")
     if (size[1] or 0) <= BROADCAST_BYTES:
         cells = F.broadcast(cells)
     keep = [c for c in docs.columns if c not in ("topic", "tokens", "probability", "weight")]
-    factor = F.coalesce("_factor", F.lit(1.0)) * F.lit(rate)
-    draw = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    out = _labelled(docs, topic).join(cells, [f"_{m}" for m in MARGINS], "left").withColumn("_p", F.least(F.lit(1.0), factor)).filter(draw < F.col("_p"))
-    return out.select(*keep, F.col("_topic").alias("topic"), _tokens().alias("tokens"), F.round("_p", 6).alias("probability"), F.round(factor / F.col("_p"), 6).alias("weight"))
+    factor = F.coalesce("factor", F.lit(1.0)) * F.lit(rate)
+    draw = F.conv(F.substring(F.md5(F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    out = _labelled(docs, topic).join(cells, [*MARGINS], "left").withColumn("p", F.least(F.lit(1.0), factor)).filter(draw < F.col("p"))
+    return out.select(*[F.col("row")[c].alias(c) for c in keep], "topic", "tokens", F.round("p", 6).alias("probability"), F.round(factor / F.col("p"), 6).alias("weight"))
 
 
 def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
