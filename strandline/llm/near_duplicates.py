@@ -397,8 +397,8 @@ def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Empty texts and rows without doc_id stay. Exact repeats of a whole row stay too, where they carry the kept doc_id.
     """
-    gone = near_duplicates(docs, percent).filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, percent).filter("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

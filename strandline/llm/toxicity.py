@@ -322,7 +322,8 @@ def drop_toxic(docs: DataFrame, model: Toxicity) -> DataFrame:
     spark = docs.sparkSession
     ship_code(spark)
     shared = spark.sparkContext.broadcast(model)
-    text, lang = docs.columns.index("text"), docs.columns.index("lang")
+    text, lang, names = docs.columns.index("text"), docs.columns.index("lang"), docs.columns
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # mapInArrow takes no names with dots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
@@ -332,7 +333,7 @@ def drop_toxic(docs: DataFrame, model: Toxicity) -> DataFrame:
                 cut = np.array([net.thresholds.get(x, 0.5) for x in batch.column(lang).to_pylist()])
                 yield batch.filter(pa.array(net.scores(batch.column(text), tables) < cut))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema).toDF(*names)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
