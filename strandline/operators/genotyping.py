@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,70 +21,145 @@ CHAIN_COLUMNS = (
 )
 
 
-def collinear(left: dict, right: dict) -> bool:
-    """Whether ``right`` may continue ``left``: no overlap on either sequence, and gaps of about one size."""
-    gap_q = right["query_start"] - left["query_end"]
-    gap_t = right["target_start"] - left["target_end"] if left["strand"] == "+" else left["target_start"] - right["target_end"]
-    return gap_q >= 0 and gap_t >= 0 and abs(gap_q - gap_t) <= max(50, int(0.10 * max(gap_q, gap_t, 1)))
+#: Groups of more hits search their predecessors by diagonal.
+BY_DIAGONAL = 64
+_NUMBERS = ("query_start", "query_end", "target_start", "target_end", "matching_bases", "alignment_block_length", "mapq", "alignment_score")
 
 
-def best_chain(hits: list[dict]) -> list[dict]:
-    """The strongest chain of collinear hits of one query, target and strand.
+def chain_of(h: dict[str, np.ndarray], strand: str) -> list[int]:
+    """The strongest chain of collinear hits of one query, target and strand, as positions in order of start.
 
-    Each hit may extend the best chain that ends at an earlier one, and does where that ranks strictly higher: by a primary
-    member, score, matches and aligned query bases, then fewer members. Ties keep what came first.
+    ``h`` has arrays ``query_start, query_end, target_start, target_end, alignment_score, matching_bases, primary``, sorted by
+    the first four. A hit may follow another if they overlap on neither sequence and leave gaps of about one size. Each may
+    extend the best chain that ends at an earlier one, and does where that ranks strictly higher: by a primary member, score,
+    matches and aligned query bases, then fewer members. Ties keep what came first.
+
+    The difference of two gaps is that of two diagonals, and may be a tenth of the larger gap, so in a large group the hits
+    that can go before one lie in a band of the diagonals, found by binary search.
     """
-    hits = sorted(hits, key=lambda h: (h["query_start"], h["query_end"], h["target_start"], h["target_end"]))
-    own = [(h["primary"], h["alignment_score"], h["matching_bases"], h["query_end"] - h["query_start"], -1) for h in hits]
-    rank, before = list(own), [-1] * len(hits)
-    for i, hit in enumerate(hits):
-        for j in range(i):
-            if collinear(hits[j], hit):
-                joined = (rank[j][0] or own[i][0], *(a + b for a, b in zip(rank[j][1:], own[i][1:], strict=True)))
-                if joined > rank[i]:
-                    rank[i], before[i] = joined, j
-    at = max(range(len(hits)), key=rank.__getitem__)
-    chain = []
-    while at >= 0:
-        chain.append(hits[at])
-        at = before[at]
+    qs, qe, ts, te = (h[c].astype(np.int64) for c in _NUMBERS[:4])
+    n, forward = len(qs), strand == "+"
+    begin, end = (qs - ts, qe - te) if forward else (qs + te, qe + ts)
+    rank = np.stack([h["primary"].astype(np.int64), h["alignment_score"], h["matching_bases"], qe - qs, np.full(n, -1)])
+    before = np.full(n, -1)
+    if n > BY_DIAGONAL:
+        by_end = np.argsort(end, kind="stable")
+        along = end[by_end]
+        reach = qs - qe.min() if n else qs
+        reach = np.maximum(reach, ts - te.min() if forward else ts.max() - te)
+        width = np.maximum(50, np.floor(0.10 * np.maximum(reach, 1)).astype(np.int64))
+        low, high = np.searchsorted(along, begin - width, "left"), np.searchsorted(along, begin + width, "right")
+    for i in range(1, n):
+        if n > BY_DIAGONAL:
+            j = by_end[low[i] : high[i]]
+            j = np.sort(j[j < i])
+        else:
+            j = np.arange(i)
+        gap_q = qs[i] - qe[j]
+        gap_t = ts[i] - te[j] if forward else ts[j] - te[i]
+        larger = np.maximum(np.maximum(gap_q, gap_t), 1)
+        j = j[(gap_q >= 0) & (gap_t >= 0) & (np.abs(gap_q - gap_t) <= np.maximum(50, (0.10 * larger).astype(np.int64)))]
+        if not len(j):
+            continue
+        joined = rank[:, j] + rank[:, i : i + 1]
+        joined[0] = rank[0, j] | rank[0, i]
+        at = np.arange(len(j))
+        for row in joined:
+            at = at[row[at] == row[at].max()]
+        if tuple(joined[:, at[0]]) > tuple(rank[:, i]):
+            rank[:, i], before[i] = joined[:, at[0]], j[at[0]]
+    at = np.arange(n)
+    for row in rank:
+        at = at[row[at] == row[at].max()]
+    chain, i = [], int(at[0])
+    while i >= 0:
+        chain.append(i)
+        i = int(before[i])
     return chain[::-1]
 
 
-def _rolled(chain: list[dict]) -> dict:
-    total = lambda c: sum(h[c] for h in chain)
-    block = total("alignment_block_length")
-    return {
-        **{c: chain[0][c] for c in ("query_id", "target_id", "strand", "query_length", "target_length")},
-        **{c: f(h[c] for h in chain) for c, f in (("query_start", min), ("query_end", max), ("target_start", min), ("target_end", max), ("mapq", min))},
-        **{c: total(c) for c in ("matching_bases", "alignment_block_length", "alignment_score")},
-        "primary": any(h["primary"] for h in chain),
-        "identity": sum(h["identity"] * h["alignment_block_length"] for h in chain) / block if block else 0.0,
-        "block_identity": total("matching_bases") / block if block else 0.0,
-        "identity_method": "gap_compressed" if all(h["has_de"] for h in chain) else "block_fallback",
-        "alignment_segment_count": len(chain),
-        "query_aligned_bases": sum(h["query_end"] - h["query_start"] for h in chain),
-        "target_aligned_bases": sum(h["target_end"] - h["target_start"] for h in chain),
-        "query_intervals": [{"start": h["query_start"], "end": h["query_end"]} for h in chain],
+def best_chain(hits: list[dict]) -> list[dict]:
+    """``chain_of`` for hits as dictionaries."""
+    hits = sorted(hits, key=lambda h: (h["query_start"], h["query_end"], h["target_start"], h["target_end"]))
+    names = ("query_start", "query_end", "target_start", "target_end", "alignment_score", "matching_bases", "primary")
+    return [hits[i] for i in chain_of({c: np.array([h[c] for h in hits]) for c in names}, hits[0]["strand"])]
+
+
+def _rolled(t: pa.Table, members: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+    """One row for each chain: ``members`` are rows of ``t``, chain after chain, and ``first`` where each chain begins in them."""
+    value = {c: t[c].combine_chunks().to_numpy(zero_copy_only=False)[members] for c in (*_NUMBERS, "identity", "primary", "has_de")}
+    at = lambda f, x: f.reduceat(x, first)
+    block = at(np.add, value["alignment_block_length"])
+    part = np.where(block > 0, block, 1)
+    size = np.diff(np.append(first, len(members)))
+    aligned = [value[f"{s}_end"] - value[f"{s}_start"] for s in ("query", "target")]
+    heads = t.select(["query_id", "target_id", "strand", "query_length", "target_length"]).take(pa.array(members[first]))
+    intervals = pa.ListArray.from_arrays(pa.array(np.append(first, len(members)), pa.int32()), pa.StructArray.from_arrays([pa.array(value["query_start"]), pa.array(value["query_end"])], names=["start", "end"]))
+    columns = {
+        **{c: heads[c].combine_chunks() for c in heads.column_names},
+        **{c: pa.array(at(f, value[c])) for c, f in (("query_start", np.minimum), ("query_end", np.maximum), ("target_start", np.minimum), ("target_end", np.maximum), ("mapq", np.minimum))},
+        **{c: pa.array(at(np.add, value[c])) for c in ("matching_bases", "alignment_score")},
+        "alignment_block_length": pa.array(block),
+        "primary": pa.array(at(np.logical_or, value["primary"])),
+        "identity": pa.array(np.where(block > 0, at(np.add, value["identity"] * value["alignment_block_length"]) / part, 0.0)),
+        "block_identity": pa.array(np.where(block > 0, at(np.add, value["matching_bases"]) / part, 0.0)),
+        "identity_method": pa.array(np.where(at(np.logical_and, value["has_de"]), "gap_compressed", "block_fallback").tolist(), pa.string()),
+        "alignment_segment_count": pa.array(size.astype(np.int32)),
+        "query_aligned_bases": pa.array(at(np.add, aligned[0])),
+        "target_aligned_bases": pa.array(at(np.add, aligned[1])),
+        "query_intervals": intervals,
     }
+    names = [c.strip().split(" ")[0] for c in CHAIN_COLUMNS.split(", ")]
+    return pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+
+
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best chain of every (query, target, strand) of sorted hits; a group that a batch leaves unfinished waits for the next."""
+    held: list[pa.Table] = []
+
+    def finished(t: pa.Table) -> pa.RecordBatch:
+        keys = [t[c].combine_chunks() for c in ("query_id", "target_id", "strand")]
+        new = np.ones(len(t), bool)
+        new[1:] = ~np.logical_and.reduce([pc.equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False) for k in keys]) if len(t) > 1 else new[1:]
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(t)))
+        use = np.ones(len(t), bool)
+        value = {c: t[c].combine_chunks().to_numpy(zero_copy_only=False) for c in (*_NUMBERS, "primary")}
+        for a, n in zip(first[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+            use[a : a + n] = False
+            use[[a + i for i in chain_of({c: v[a : a + n] for c, v in value.items()}, keys[2][a].as_py())]] = True
+        members = np.flatnonzero(use)
+        return _rolled(t, members, np.searchsorted(members, first))
+
+    def last_group(t: pa.Table) -> int:
+        """Where the last group begins."""
+        same = np.logical_and.reduce([pc.equal(t[c], t[c][-1]).combine_chunks().to_numpy(zero_copy_only=False) for c in ("query_id", "target_id", "strand")])
+        return int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.concat_tables([*held, pa.Table.from_batches([batch])])
+        cut = last_group(t)
+        if cut:
+            yield finished(t.slice(0, cut))
+        held = [t.slice(cut)]
+    if held:
+        yield finished(pa.concat_tables(held))
 
 
 def hit_chains(hits: DataFrame) -> DataFrame:
     """One row for each query and target: the better strand's best chain of ``read_paf`` hits.
 
-    The chain search is sequential, so a group of hits of one (query, target, strand) is one Arrow call; an aligner reports
-    tens of such hits at most.
+    Hits are sorted by query, target and strand within tasks and gone through in Arrow batches with many groups in each; a
+    task holds a batch and one unfinished group. Hits without a query, target or strand are left out.
     """
     ship_code(hits.sparkSession)
-    need = ["query_id", "target_id", "strand", "query_length", "target_length", "query_start", "query_end", "target_start", "target_end", "matching_bases", "alignment_block_length", "mapq", "alignment_score", "primary", "identity", "has_de"]
-    schema = pa.schema([pa.field(n, k) for n, k in zip(
-        [c.strip().split(" ")[0] for c in CHAIN_COLUMNS.split(", ")],
-        [pa.string()] * 3 + [pa.int64()] * 10 + [pa.bool_()] + [pa.float64()] * 2 + [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))], strict=True)])
-
-    def one(t: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist([_rolled(best_chain(t.to_pylist()))], schema=schema)
-
-    chains = hits.select(*need).groupBy("query_id", "target_id", "strand").applyInArrow(one, CHAIN_COLUMNS)
+    need = ["query_id", "target_id", "strand", "query_length", "target_length", *_NUMBERS, "primary", "identity", "has_de"]
+    key = ["query_id", "target_id", "strand"]
+    order = [*key, "query_start", "query_end", "target_start", "target_end", F.desc("alignment_score"), F.desc("matching_bases")]
+    whole = hits.select(*[F.col(c).cast("long") if c in (*_NUMBERS, "query_length", "target_length") else F.col(c) for c in need]).filter(" and ".join(f"{c} is not null" for c in key))
+    chains = whole.repartition(*key).sortWithinPartitions(*order).mapInArrow(_chained, CHAIN_COLUMNS)
     best = Window.partitionBy("query_id", "target_id").orderBy(*[F.col(c).desc() for c in ("primary", "alignment_score", "matching_bases", "query_aligned_bases")], "alignment_segment_count", F.col("strand"))
     return chains.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.operators.ordering import numbered
 from strandline.session import discard, materialise
 
 
@@ -62,12 +63,12 @@ def number_clusters(found: DataFrame, group: list[str] | None = None, node: str
     """Add ``cluster_no``, ``cluster_id`` and ``cluster_size`` to ``(group..., node, root)``.
 
     Clusters are numbered by their smallest node as a string, within ``group``. Sizes come from a partial
-    count per root. Only one row per cluster, not per node, takes part in the numbering.
+    count per root. Only one row per cluster, not per node, takes part in the numbering, which is by ranges.
     """
     group = group or []
     sizes = found.groupBy(*group, "root").agg(F.count("*").cast("int").alias("cluster_size"))
-    order = Window.partitionBy(*group).orderBy("root") if group else Window.orderBy("root")
-    ids = sizes.withColumn("cluster_no", F.row_number().over(order)).withColumn("cluster_id", cluster_name(F.col("cluster_no")))
+    ids = numbered(sizes, ["root"], "cluster_no", group).withColumn("cluster_no", F.col("cluster_no").cast("int"))
+    ids = ids.withColumn("cluster_id", cluster_name(F.col("cluster_no")))
     return found.join(ids, [*group, "root"]).select(*group, node, "cluster_no", "cluster_id", "cluster_size")
 
 

@@ -143,6 +143,23 @@ def near_in_blocks(a: np.ndarray, b: np.ndarray, ka: np.ndarray, kb: np.ndarray,
     return tuple(np.concatenate(p) if p else np.zeros(0, np.int64) for p in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
 
 
+def sketches(rows: DataFrame, at_most: float | None, most_snps: int | None, size: int | None = None) -> DataFrame:
+    """``g, r, plain, k, files, bits`` of ``g, r, q``: plain sites, differences allowed, files over windows of ``size`` sites, sketch."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            rows = []
+            for q in t["q"].to_pylist():
+                code = _codes(q)
+                plain = int((code >= 0).sum())
+                k = allowed(plain, at_most, most_snps)
+                rows.append((plain, k, file_count(code, k, size) if size else 0, sketch(code, k)))
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([t["g"], t["r"], *(pa.array([x[i] for x in rows], kind) for i, kind in enumerate(kinds))], names=["g", "r", "plain", "k", "files", "bits"])
+
+    return rows.select("g", "r", "q").mapInArrow(make, "g string, r long, plain int, k int, files long, bits binary")
+
+
 class Index:
     """Distinct sequences of each genotype, their facts and files, and the pairs to be compared."""
 
@@ -159,7 +176,7 @@ class Index:
             size = round(math.log(max(self.reps.count(), 2) * (1 + allowed(TYPICAL_SITES, at_most, most_snps))) / GROWTH)
             size = max(8, min(size, 30, int(0.75 / at_most) if at_most else 30))
         self.size = size
-        facts = self.reps.select("g", "r", "q").mapInArrow(self._facts(), "g string, r long, plain int, k int, files long, bits binary")
+        facts = sketches(self.reps, at_most, most_snps, size)
         if at_most is not None and at_most < 1:
             facts = facts.filter("plain > 0")  # without comparable sites the distance is 1
         self.facts = materialise(facts, "facts")
@@ -167,22 +184,6 @@ class Index:
         less = F.col("f") * FILE_COST < F.col("n") * F.col("n") / 2 if index is None else F.lit(index)
         self.indexed = work.select("g", less.alias("indexed"))  # one row for each genotype
 
-    def _facts(self):
-        at_most, most_snps, size = self.at_most, self.most_snps, self.size
-
-        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for t in batches:
-                rows = []
-                for q in t["q"].to_pylist():
-                    code = _codes(q)
-                    plain = int((code >= 0).sum())
-                    k = allowed(plain, at_most, most_snps)
-                    rows.append((plain, k, file_count(code, k, size), sketch(code, k)))
-                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([t["g"], t["r"], *(pa.array([x[i] for x in rows], kind) for i, kind in enumerate(kinds))], names=["g", "r", "plain", "k", "files", "bits"])
-
-        return make
-
     def _files(self):
         size = self.size
 
@@ -219,33 +220,19 @@ class Index:
         everyone = facts.join(waiting, "g", "left_semi").select("g", F.lit(-1).cast("long").alias("file"), "r", alone.alias("own"))
         return pairs, hot.unionByName(everyone)
 
-    def cells(self, wide: DataFrame) -> DataFrame:
-        """Members dealt to cells ``g, file, a, b`` in which a block of own rows meets a block of all rows; ``side`` tells which.
-
-        Where all rows are own, each two blocks meet once, and ``halved`` is true.
-        """
-        sizes = wide.groupBy("g", "file").agg(F.count_if("own").alias("m"), F.count("*").alias("n")).filter("m > 0")
-        blocks = lambda c: F.ceil(F.col(c) / self.block_rows).cast("int")
-        rows = wide.join(sizes.select("g", "file", blocks("m").alias("ka"), blocks("n").alias("kb"), (F.col("m") == F.col("n")).alias("halved")), ["g", "file"])
-        block = lambda k: F.pmod(F.xxhash64("r"), F.col(k)).cast("int")
-        every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-        left = rows.filter("own").select("g", "file", block("ka").alias("a"), every("kb").alias("b"), "r", "own", "halved", F.lit(0).alias("side"))
-        right = rows.select("g", "file", every("ka").alias("a"), block("kb").alias("b"), "r", "own", "halved", F.lit(1).alias("side"))
-        return left.unionByName(right).filter("not halved or a <= b")
-
     def near(self) -> DataFrame:
         """``x, y`` of all pairs that are near over their first sites: every link and few others."""
         pairs, wide = self.groups()
         facts = self.facts.select("r", "k", "bits")
         end = lambda e: facts.select(F.col("r").alias(e), F.col("k").alias(f"k{e}"), F.col("bits").alias(f"b{e}"))
         met = pairs.join(end("x"), "x").join(end("y"), "y").select("x", "y", F.least("kx", "ky").alias("k"), "bx", "by").mapInArrow(_near_pairs, "x long, y long")
-        cells = self.cells(wide).join(facts, "r").groupBy("g", "file", "a", "b")
-        return met.unionByName(cells.applyInArrow(_near_in_cell, "x long, y long")).distinct()
+        cells = block_cells(wide, self.block_rows).join(facts, "r").groupBy("g", "file", "a", "b")
+        return met.unionByName(cells.applyInArrow(near_in_cell, "x long, y long")).distinct()
 
     def compared(self) -> DataFrame:
         """``pairs, compared``: pairs of different sequences within genotypes, and how many of them meet in a file or a cell."""
         pairs, wide = self.groups()
-        sides = self.cells(wide).groupBy("g", "file", "a", "b", "halved").agg(F.count_if(F.col("side") == 0).alias("m"), F.count_if(F.col("side") == 1).alias("n"))
+        sides = block_cells(wide, self.block_rows).groupBy("g", "file", "a", "b", "halved").agg(F.count_if(F.col("side") == 0).alias("m"), F.count_if(F.col("side") == 1).alias("n"))
         of_cell = F.when(F.col("halved") & (F.col("a") == F.col("b")), F.expr("m * (n - 1) div 2")).otherwise(F.col("m") * F.col("n"))
         of_all = self.reps.groupBy("g").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("pairs"))
         met = pairs.agg(F.count("*").alias("c")).unionByName(sides.agg(F.coalesce(F.sum(of_cell), F.lit(0)).alias("c"))).agg(F.sum("c").alias("compared"))
@@ -253,24 +240,41 @@ class Index:
 
     def links(self) -> DataFrame:
         """``x, y, snp_count, comparable_sites`` of the pairs of different sequences within the threshold."""
-        seqs = self.reps.select("r", "q")
-        near = materialise(self.near(), "near")
-        both = near.join(seqs.select(F.col("r").alias("x"), F.col("q").alias("qx")), "x").join(seqs.select(F.col("r").alias("y"), F.col("q").alias("qy")), "y")
-        at_most, most_snps = self.at_most, self.most_snps
+        return confirmed(materialise(self.near(), "near"), self.reps.select("r", "q"), self.at_most, self.most_snps)
 
-        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for t in batches:
-                counts = np.array([_counted(a, b) for a, b in zip(t["qx"].to_pylist(), t["qy"].to_pylist(), strict=True)], np.int64).reshape(-1, 2)
-                distance = np.where(counts[:, 1] > 0, counts[:, 0] / np.maximum(counts[:, 1], 1), 1.0)
-                keep = np.ones(len(counts), bool)
-                if at_most is not None:
-                    keep &= distance <= at_most
-                if most_snps is not None:
-                    keep &= counts[:, 0] <= most_snps
-                at = pa.array(np.flatnonzero(keep))
-                yield pa.RecordBatch.from_arrays([t["x"].take(at), t["y"].take(at), *(pa.array(counts[keep, i].astype(np.int32)) for i in range(2))], names=["x", "y", "snp_count", "comparable_sites"])
 
-        return both.select("x", "y", "qx", "qy").mapInArrow(measure, "x long, y long, snp_count int, comparable_sites int")
+def confirmed(near: DataFrame, seqs: DataFrame, at_most: float | None, most_snps: int | None) -> DataFrame:
+    """``x, y, snp_count, comparable_sites`` of the pairs ``x, y`` whose sequences ``r, q`` are within the threshold."""
+    both = near.join(seqs.select(F.col("r").alias("x"), F.col("q").alias("qx")), "x").join(seqs.select(F.col("r").alias("y"), F.col("q").alias("qy")), "y")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            counts = np.array([_counted(a, b) for a, b in zip(t["qx"].to_pylist(), t["qy"].to_pylist(), strict=True)], np.int64).reshape(-1, 2)
+            distance = np.where(counts[:, 1] > 0, counts[:, 0] / np.maximum(counts[:, 1], 1), 1.0)
+            keep = np.ones(len(counts), bool)
+            if at_most is not None:
+                keep &= distance <= at_most
+            if most_snps is not None:
+                keep &= counts[:, 0] <= most_snps
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([t["x"].take(at), t["y"].take(at), *(pa.array(counts[keep, i].astype(np.int32)) for i in range(2))], names=["x", "y", "snp_count", "comparable_sites"])
+
+    return both.select("x", "y", "qx", "qy").mapInArrow(measure, "x long, y long, snp_count int, comparable_sites int")
+
+
+def block_cells(wide: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Members ``g, file, r, own`` dealt to cells ``g, file, a, b`` in which a block of own rows meets a block of all rows.
+
+    ``side`` tells which block a row is in. Where all rows are own, each two blocks meet once, and ``halved`` is true.
+    """
+    sizes = wide.groupBy("g", "file").agg(F.count_if("own").alias("m"), F.count("*").alias("n")).filter("m > 0")
+    blocks = lambda c: F.ceil(F.col(c) / block_rows).cast("int")
+    rows = wide.join(sizes.select("g", "file", blocks("m").alias("ka"), blocks("n").alias("kb"), (F.col("m") == F.col("n")).alias("halved")), ["g", "file"])
+    block = lambda k: F.pmod(F.xxhash64("r"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    left = rows.filter("own").select("g", "file", block("ka").alias("a"), every("kb").alias("b"), "r", "own", "halved", F.lit(0).alias("side"))
+    right = rows.select("g", "file", every("ka").alias("a"), block("kb").alias("b"), "r", "own", "halved", F.lit(1).alias("side"))
+    return left.unionByName(right).filter("not halved or a <= b")
 
 
 def _file_batch(held: list[tuple]) -> pa.RecordBatch:
@@ -291,7 +295,7 @@ def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([t["x"].take(at), t["y"].take(at)], names=["x", "y"])
 
 
-def _near_in_cell(t: pa.Table) -> pa.Table:
+def near_in_cell(t: pa.Table) -> pa.Table:
     side, r, own, k = (np.asarray(t[c]) for c in ("side", "r", "own", "k"))
     one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     bits = t["bits"].to_pylist()
@@ -335,9 +339,13 @@ def near_links(aligned: DataFrame, at_most: float | None = None, most_snps: int
     same = index.facts.select(F.col("r").alias("x"), F.lit(0).alias("snp_count"), F.col("plain").alias("comparable_sites"))
     copies = members.groupBy("r").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("r").alias("x"))
     alike = same.join(copies, "x", "left_semi").join(end("x"), "x").join(end("y").withColumnRenamed("y", "x"), "x").filter("ix < iy")
-    ordered = F.col("ix") < F.col("iy")
-    found = apart.select("g", "ix", "sx", "iy", "sy", "snp_count", "comparable_sites").unionByName(alike.select("g", "ix", "sx", "iy", "sy", "snp_count", "comparable_sites"))
-    sites = F.col("comparable_sites")
+    columns = ["g", "ix", "sx", "iy", "sy", "snp_count", "comparable_sites"]
+    return as_links(apart.select(columns).unionByName(alike.select(columns)), genotype)
+
+
+def as_links(found: DataFrame, genotype: str) -> DataFrame:
+    """Pairs with indexes ``ix, iy`` and names ``sx, sy`` in the form of ``snp_pairs``: the first is the one earlier in the input."""
+    ordered, sites = F.col("ix") < F.col("iy"), F.col("comparable_sites")
     return found.select(
         F.col("g").alias(genotype), F.when(ordered, F.col("sx")).otherwise(F.col("sy")).alias("source"), F.when(ordered, F.col("sy")).otherwise(F.col("sx")).alias("target"),
         F.when(sites > 0, F.col("snp_count") / F.when(sites > 0, sites)).otherwise(F.lit(1.0)).alias("distance"), F.col("snp_count").cast("int").alias("snp_count"), sites.cast("int").alias("comparable_sites"),

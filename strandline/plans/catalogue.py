@@ -233,6 +233,18 @@ def network_fingerprint(spark, sf_dir):
     return encodings.network_fingerprint(aligned(spark, sf_dir), _links(spark, sf_dir), "seq_id")
 
 
+_DIGEST = f"""{_LINKS},
+items AS (SELECT 'n' AS kind, seq_id AS value FROM aligned UNION ALL SELECT 'e', least(source, target) || chr(9) || greatest(source, target) FROM links),
+h AS (SELECT sha256(concat_ws(chr(9), kind, value, CAST(count(*) AS VARCHAR))) AS h FROM items GROUP BY kind, value),
+p0 AS (SELECT substr(h, 1, 4) AS piece, sha256(string_agg(h, '' ORDER BY h)) AS h FROM h GROUP BY 1),
+p1 AS (SELECT substr(piece, 1, 2) AS piece, sha256(string_agg(h, '' ORDER BY piece)) AS h FROM p0 GROUP BY 1)"""
+
+
+@query(f"WITH {_DIGEST} SELECT sha256(string_agg(h, '' ORDER BY piece)) AS digest FROM p1")
+def network_digest(spark, sf_dir):
+    return encodings.network_digest(aligned(spark, sf_dir), _links(spark, sf_dir), "seq_id")
+
+
 @query()
 def component_layout(spark, sf_dir):
     rows = _clusters(spark, sf_dir).withColumn("cluster_id", F.concat_ws("_", "genotype", "cluster_id"))
@@ -400,7 +412,21 @@ def window_support(spark, sf_dir):
     return regions.window_support(stretches(spark, sf_dir), REFERENCE, _WINDOWS).withColumn("mean_coverage", F.round("mean_coverage", 9))
 
 
-@query()
+_PLACES = f"pos AS (SELECT row_number() OVER (ORDER BY c) AS p, c FROM (SELECT unnest(range(1, {len(REFERENCE)} + 1)) AS c) WHERE substr('{REFERENCE}', c, 1) <> '-')"
+
+
+@query(f"""WITH {STRETCHES_SQL}, {_PLACES}, w(window_no, "start", "end", c, n) AS (VALUES {_WINDOW_SQL}),
+u AS (SELECT window_no, "start", "end", len(replace(replace(substr(aligned, c, n), '-', ''), 'N', '')) / CAST("end" - "start" + 1 AS DOUBLE) AS cov FROM stretches, w),
+sup AS (SELECT window_no, "start", "end", count(*) FILTER (cov >= 0.7) AS s FROM u GROUP BY ALL),
+need AS (SELECT greatest(1, ceil(count(*) * 0.5)) AS need FROM stretches),
+chosen AS (SELECT t, "start", "end", max("end") OVER (PARTITION BY t ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM (SELECT DISTINCT s AS t FROM sup, need WHERE s >= need) JOIN sup ON s >= t),
+seg AS (SELECT t, min("start") AS "start", max("end") AS "end" FROM (SELECT *, sum(CASE WHEN "start" <= before + 1 THEN 0 ELSE 1 END) OVER (PARTITION BY t ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS island FROM chosen) GROUP BY t, island),
+size AS (SELECT t, sum("end" - "start" + 1) AS length, count(*) AS n_segments FROM seg GROUP BY t),
+held AS (SELECT t, seq_id, sum(len(replace(replace(substr(aligned, a.c, b.c - a.c + 1), '-', ''), 'N', ''))) AS usable FROM seg JOIN pos a ON a.p = seg."start" JOIN pos b ON b.p = seg."end", stretches GROUP BY t, seq_id),
+score AS (SELECT t, length, n_segments, count(*) FILTER (usable / CAST(length AS DOUBLE) >= 0.7) AS retained FROM held JOIN size USING (t) GROUP BY ALL),
+best AS (SELECT t FROM score, need WHERE retained >= need ORDER BY retained * length DESC, retained DESC, length DESC, t DESC, n_segments LIMIT 1)
+SELECT 'max' || lpad(CAST(row_number() OVER (ORDER BY "start") AS VARCHAR), 2, '0') AS name, CAST("start" AS INTEGER) AS "start", CAST("end" AS INTEGER) AS "end", CAST("end" - "start" + 1 AS INTEGER) AS length FROM seg WHERE t = (SELECT t FROM best)""")
 def max_usable(spark, sf_dir):
     chosen, _ = regions.max_usable(stretches(spark, sf_dir), REFERENCE, _SEARCH, size=50, step=25, least_window=20)
     return spark.createDataFrame([(s.name, s.start, s.end, s.length) for s in chosen], "name string, start int, end int, length int")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -162,8 +163,20 @@ def ordered_distinct(rows: DataFrame, value: str, idx: str) -> DataFrame:
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as trimmed strings, blanks as ``(missing)``, plus ``age_range``; every fault is reported at once."""
-    return _metadata(spark.read.option("encoding", "UTF-8").csv(path, header=False, inferSchema=False))
+    """All columns as trimmed strings, blanks as ``(missing)``, plus ``age_range``; every fault is reported at once.
+
+    Quoted cells may hold commas, doubled quotes and line breaks. ``path`` may be a folder of files with one header. A row with
+    more cells than the header is an error, unless those are blank; one with fewer has blanks at its end.
+    """
+    read = spark.read.option("encoding", "UTF-8").option("multiLine", True).option("escape", '"')
+    first = read.csv(path, header=False, inferSchema=False).limit(1).collect()
+    width = len(first[0]) if first else 1
+    schema = ", ".join(f"_c{i} string" for i in range(width))
+    raw = read.schema(schema + ", _record string").option("columnNameOfCorruptRecord", "_record").csv(path, header=False)
+    # the reader cuts cells off and keeps the record; cells are counted with what is quoted taken out
+    cells = F.split(F.regexp_replace("_record", '"(?:[^"]|"")*"', "x"), ",")
+    more = F.exists(F.slice(cells, width + 1, F.greatest(F.size(cells), F.lit(1))), lambda x: F.trim(x) != "")
+    return _metadata(raw.withColumn("_more", F.when(more, "more")).drop("_record"), first)
 
 
 def metadata_from_bytes(spark: SparkSession, data: bytes) -> DataFrame:
@@ -174,23 +187,24 @@ def metadata_from_bytes(spark: SparkSession, data: bytes) -> DataFrame:
         raise ValueError("metadata is not UTF-8 text") from wrong
     width = max(map(len, rows), default=1)
     rows = [[x if x != "" else None for x in r] + [None] * (width - len(r)) for r in rows if any(r)]
-    return _metadata(spark.createDataFrame([Row(*r) for r in rows], ", ".join(f"_c{i} string" for i in range(width))).coalesce(1))
+    raw = spark.createDataFrame([Row(*r) for r in rows], ", ".join(f"_c{i} string" for i in range(width))).coalesce(1)
+    return _metadata(raw, [raw.first()] if rows else [])
 
 
-def _metadata(raw: DataFrame) -> DataFrame:
+def _metadata(raw: DataFrame, first: list[Row]) -> DataFrame:
     from strandline.operators.metadata import check_header, validated
 
-    first = raw.limit(1).collect()
-    header = [(x or "").lstrip("﻿").strip() for x in first[0]] if first else []
+    header = [(x or "").lstrip("\ufeff").strip() for x in first[0]] if first else []
     while header and not header[-1]:
         header.pop()
     check_header(header)
+    cell = lambda c: F.trim(F.regexp_replace(F.col(c), "\ufeff", ""))
+    is_header = reduce(lambda x, y: x & y, [cell(c).eqNullSafe(n) for c, n in zip(raw.columns, header, strict=False)])
+    rows = raw.filter(~is_header)
     wide = [c for c in raw.columns[len(header) :]]
-    idx = F.monotonically_increasing_id()
-    rows = raw.withColumn("_idx", idx).filter("_idx > 0")
     if wide:
         _fail_if_any(rows.filter(" or ".join(f"{c} is not null" for c in wide)), "metadata row wider than the header", raw.columns[0])
-    named = rows.select("_idx", *[F.trim(F.regexp_replace(F.col(c), "﻿", "")).alias(n) for c, n in zip(raw.columns, header, strict=False)])
+    named = rows.select(*[cell(c).alias(n) for c, n in zip(raw.columns, header, strict=False)])
     return validated(named.select(*[F.col(n) if n == "sample_id" else blank_as_missing(F.col(n)).alias(n) for n in header]))
 
 
