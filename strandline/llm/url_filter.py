@@ -75,7 +75,9 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
     probed = keys.select("url", "rule", *[c.alias(k) for k, c in _probe(F.col("rule"), blocks).items()]).join(filter_rows, "_block")
     possible = probed.filter(" and ".join(f"(_w{i} & _m{i}) = _m{i}" for i in range(WORDS))).select("url", "rule")
     best = possible.join(exact, "rule").groupBy("url").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "listed")).alias("best"))
-    out = seen.join(best, "url", "left")
+    # a null URL has no rule; a key of its own keeps such rows from meeting in one task
+    key = F.coalesce("url", F.concat(F.lit(" "), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
+    out = seen.withColumn("key", key).join(best.withColumnRenamed("url", "key"), "key", "left")
     return out.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.listed", F.lit("allow")).alias("verdict"))
 
 
