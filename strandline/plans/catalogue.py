@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import sequence as fn
-from strandline.operators import catalog, distance, encodings, genotyping, graph, metadata, near_links, regions, reuse, variants
+from strandline.operators import catalog, distance, encodings, genotyping, graph, layouts, metadata, near_links, regions, reuse, variants
+from strandline.plans import round_trips
 from strandline.plans.proxies import ALIGNED_SQL, HITS_SQL, PAIRS_SQL, REFERENCE, SITE_SQL, STRETCHES_SQL, aligned, hits, stretches
 from strandline.session import materialise, table
 from strandline.sources import readers, writers
@@ -251,6 +252,13 @@ def component_layout(spark, sf_dir):
     return encodings.component_layout(rows.filter("cluster_size > 1"))
 
 
+@query()
+def spring_layout(spark, sf_dir):
+    links = materialise(_links(spark, sf_dir), "links")
+    rows = _clusters(spark, sf_dir, links).withColumn("cluster_id", F.concat_ws("_", "genotype", "cluster_id"))
+    return layouts.spring_layout(rows.filter("cluster_size > 1"), links)
+
+
 # --- metadata ---------------------------------------------------------------------------------------------------------
 
 
@@ -479,3 +487,17 @@ def size_scaling(spark, sf_dir):
 SELECT 'centre', 'lang', count(DISTINCT lang), 5 FROM documents) WHERE n_categories > most""")
 def encoding_warnings(spark, sf_dir):
     return encodings.encoding_warnings(table(spark, sf_dir, "documents"), {"shape": "source", "centre": "lang"})
+
+
+# --- files ------------------------------------------------------------------------------------------------------------
+
+for _trip, _trip_sql in (
+    (round_trips.fasta_round_trip, round_trips.FASTA_SQL),
+    (round_trips.paf_round_trip, round_trips.PAF_SQL),
+    (round_trips.links_round_trip, round_trips.LINKS_SQL),
+    (round_trips.distances_round_trip, round_trips.DISTANCES_SQL),
+    (round_trips.nodes_round_trip, round_trips.NODES_SQL),
+    (round_trips.metadata_round_trip, round_trips.METADATA_SQL),
+    (round_trips.genotype_table, round_trips.genotype_sql(_RANKED)),
+):
+    query(_trip_sql)(_trip)

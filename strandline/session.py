@@ -49,6 +49,13 @@ def shared_folder(spark: SparkSession) -> str:
     return current.get().rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there is removed when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def materialise(df: DataFrame, keep_for: str = "cut") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -56,9 +63,8 @@ def materialise(df: DataFrame, keep_for: str = "cut") -> DataFrame:
     upstream is computed twice. The folder is removed when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{keep_for}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, keep_for)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -38,7 +38,9 @@ def read_fasta(spark: SparkSession, path: str, strict: bool = False, unique: str
     """
     raw = spark.read.option("lineSep", "\n>").text(path).withColumn("record_idx", F.monotonically_increasing_id())
     text = F.regexp_replace(F.col("value"), r"\r", "")
-    body = F.when(F.col("record_idx") == 0, F.regexp_replace(F.ltrim(text), r"^>", "")).otherwise(text)
+    # only the first record of a file still has its mark
+    begins = F.lit(True) if len(raw.inputFiles()) > 1 else F.col("record_idx") == 0
+    body = F.when(begins, F.regexp_replace(F.ltrim(text), r"^>", "")).otherwise(text)
     raw = raw.withColumn("lead", (F.col("record_idx") == 0) & ~F.ltrim(text).startswith(">")).withColumn("body", body)
     rows = raw.select("record_idx", "lead", F.trim(F.split_part("body", F.lit("\n"), F.lit(1))).alias("header"), F.regexp_replace(F.regexp_replace("body", r"^[^\n]*", ""), r"\s+", "").alias("sequence"))
     out = rows.filter("not (header = '' and sequence = '' and lead)").select("record_idx", "header", first_token(F.col("header")).alias("seq_id"), "sequence", "lead")

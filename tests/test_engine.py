@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import sequence as fn
-from strandline.operators import catalog, distance, encodings, genotyping, graph, metadata, regions, reuse, variants
+from strandline.operators import catalog, distance, encodings, genotyping, graph, layouts, metadata, regions, reuse, variants
 from strandline.sources import readers, writers
 from strandline.streaming import incremental
 
@@ -240,6 +240,6 @@ def test_encodings(spark):
     assert {r.sample_id: r.size for r in encodings.ordered_sizes(nodes, "age").collect()} == {"A": 19.0, "B": 9.0, "C": 8.0}
     assert {r.sample_id: r.size for r in encodings.numeric_sizes(nodes, "n").collect()} == {"A": 9.0, "B": 19.0, "C": 8.0}
     assert [r.category for r in encodings.category_mapping(nodes, "age").orderBy("position").collect()] == ["0–30", "61+", "(missing)"]
-    xy = encodings.separated(np.zeros((6, 2)))
+    xy = layouts.separated(np.zeros((6, 2)))
     d = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(axis=2))[np.triu_indices(6, 1)]
     assert d.min() >= 0.279

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import distance, encodings, genotyping, graph, near_links, ordering, regions
+from strandline.operators import distance, encodings, genotyping, graph, layouts, near_links, ordering, regions
 from strandline.sources import readers
 from strandline.streaming import incremental
 
@@ -179,3 +179,41 @@ def test_metadata_rows_of_any_form(spark, tmp_path):
         (folder / f"{i}.csv").write_text(f"sample_id,location\nS{i},P{i}\n", encoding="utf-8")
     assert {r.sample_id for r in readers.read_metadata(spark, str(folder)).collect()} == {"S0", "S1", "S2"}
     assert near_links.spare(5) == 2
+
+
+def test_places_are_apart(spark):
+    rng = np.random.default_rng(1)
+    for xy in (np.zeros((40, 2)), rng.normal(size=(3000, 2)), rng.normal(size=(500, 2)) * 1e-6, np.zeros((1, 2))):
+        out = layouts.separated(xy)
+        assert not len(out) > 1 or layouts.close_pairs(out, 0.279)[2].size == 0
+        assert np.allclose(out.mean(axis=0), xy.mean(axis=0), atol=0.05 * max(1, len(xy) ** 0.5))
+    xy = rng.uniform(0, 3, (400, 2))
+    d = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(axis=2))
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(d < 0.3, 1)), strict=True)}
+    i, j, _ = layouts.close_pairs(xy, 0.3)
+    assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)} == want and len(i) == len(want)
+    many = layouts.separated(rng.normal(size=(100_000, 2)) * 20)
+    assert len(layouts.close_pairs(many, 0.27)[2]) == 0
+
+
+def test_spring_layout(spark):
+    rng = random.Random(9)
+    size = {"a": 1, "b": 2, "c": 30, "d": 600}
+    nodes = [(f"{c}{i:03d}", c) for c, n in size.items() for i in range(n)]
+    links = [(f"{c}{i:03d}", f"{c}{rng.randrange(i):03d}") for c, n in size.items() for i in range(1, n)] + [("c000", "c000"), ("c000", "zz")]
+    make = lambda n, e: {r.sample_id: (r.x, r.y) for r in layouts.spring_layout(spark.createDataFrame(n, "sample_id string, cluster_id string"), spark.createDataFrame(e, "source string, target string")).collect()}
+    out = make(nodes, links)
+    assert out == make(rng.sample(nodes, len(nodes)), [(b, a) for a, b in rng.sample(links, len(links))]) and len(out) == len(nodes)
+    xy = np.array(list(out.values()))
+    assert len(layouts.close_pairs(xy, 0.27)[2]) == 0
+    far = lambda a, b: float(np.hypot(out[a][0] - out[b][0], out[a][1] - out[b][1]))
+    for c in "cd":
+        edges = [far(a, b) for a, b in links if a[0] == c and a != b and b in out]
+        others = [far(f"{c}{rng.randrange(size[c]):03d}", f"{c}{rng.randrange(size[c]):03d}") for _ in range(500)]
+        assert np.mean(edges) < 0.6 * np.mean(others)
+
+
+def test_ring_layout(spark):
+    rows = [(f"n{i:04d}", "big") for i in range(2000)] + [("x", "one"), ("y", "two"), ("z", "two")]
+    out = encodings.component_layout(spark.createDataFrame(rows, "sample_id string, cluster_id string")).collect()
+    assert len({r.sample_id for r in out}) == 2003 and len(layouts.close_pairs(np.array([(r.x, r.y) for r in out]), 0.279)[2]) == 0
