@@ -127,34 +127,48 @@ def tn93_from_counts(n: np.ndarray) -> np.ndarray:
     return np.where(bad, 1.0, np.maximum(d, 0.0))
 
 
-def tn93_pairs(aligned: DataFrame, mode: str = "average", at_most: float | None = None, genotype: str = "genotype", idx: str = "record_idx", seq_id: str = "seq_id", seq: str = "aligned", block_rows: int = 256) -> DataFrame:
+def tn93_pairs(aligned: DataFrame, mode: str = "average", at_most: float | None = None, genotype: str = "genotype", idx: str = "record_idx", seq_id: str = "seq_id", seq: str = "aligned", block_rows: int = 256, least_overlap: int = 0, most_ambiguous: float | None = None) -> DataFrame:
     """``genotype, source, target, distance``: TN93 of every pair within a genotype, or of those up to ``at_most``.
 
     ``skip`` uses sites with two plain bases. The other modes share an ambiguous site out over the bases it may be:
     ``average`` over all pairs, ``resolve`` as a match where one is possible; ``gapmm`` also counts a gap against a base as
-    an unknown base. Two blocks of a genotype's rows are one task's work; their sites are counted by matrix products, one
+    an unknown base. Pairs that share fewer than ``least_overlap`` sites have no row. In ``resolve``, sequences with a larger
+    share than ``most_ambiguous`` of ambiguous codes among their bases are averaged instead, since a long run of them would
+    match anything. Two blocks of a genotype's rows are one task's work; their sites are counted by matrix products, one
     for each two codes that occur, and pairs beyond the threshold never leave the task. Sequences may differ in length.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
+    if least_overlap < 0 or (most_ambiguous is not None and not 0 <= most_ambiguous <= 1):
+        raise ValueError("the least overlap is not negative, a share between 0 and 1")
     ship_code(aligned.sparkSession)
     codes, shares = site_shares(mode)
+    averaged = site_shares("average")[1] if mode == "resolve" and most_ambiguous is not None else None
 
     def measure(t: pa.Table) -> pa.Table:
         p, r, b = (np.asarray(t[c]) for c in ("p", "r", "b"))
         left, right = b == p[0], b == r[0]
         total = np.zeros((left.sum(), right.sum(), 4, 4))
+        instead = np.zeros_like(total) if averaged is not None else None
+        bases, ambiguous = np.zeros(len(b)), np.zeros(len(b))
         row, col = np.cumsum(left) - 1, np.cumsum(right) - 1
         for rows, code in site_codes(t["q"].to_pylist(), codes):
             one, two = left[rows], right[rows]
             at = np.ix_(row[rows[one]], col[rows[two]])
             hot = {c: (code == c).astype(np.float32) for c in range(len(codes)) if (code == c).any()}
+            bases[rows] += (code >= 0).sum(axis=1)
+            ambiguous[rows] += (code >= 4).sum(axis=1)
             for x, y in ((x, y) for x in hot for y in hot if shares[x, y].any()):
                 n = hot[x][one] @ hot[y][two].T
-                for i, j in zip(*np.nonzero(shares[x, y]), strict=True):
-                    total[*at, i, j] += n * shares[x, y, i, j]
+                for into, share in ((total, shares), (instead, averaged)):
+                    for i, j in zip(*np.nonzero(share[x, y]), strict=True) if into is not None else ():
+                        into[*at, i, j] += n * share[x, y, i, j]
+        if instead is not None:
+            many = ambiguous > most_ambiguous * bases
+            total = np.where((many[left][:, None] | many[right][None])[..., None, None], instead, total)
         d = tn93_from_counts(total)
-        return cell_pairs(t, genotype, d <= at_most if at_most is not None else np.ones(d.shape, bool), {"distance": d})
+        keep = total.sum(axis=(2, 3)) >= least_overlap - 1e-6
+        return cell_pairs(t, genotype, keep & (d <= at_most) if at_most is not None else keep, {"distance": d})
 
     return block_cells(aligned, genotype, idx, seq_id, F.col(seq), block_rows).applyInArrow(measure, f"{genotype} string, source string, target string, distance double")
 

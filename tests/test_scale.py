@@ -217,3 +217,20 @@ def test_ring_layout(spark):
     rows = [(f"n{i:04d}", "big") for i in range(2000)] + [("x", "one"), ("y", "two"), ("z", "two")]
     out = encodings.component_layout(spark.createDataFrame(rows, "sample_id string, cluster_id string")).collect()
     assert len({r.sample_id for r in out}) == 2003 and len(layouts.close_pairs(np.array([(r.x, r.y) for r in out]), 0.279)[2]) == 0
+
+
+def test_tn93_overlap_and_ambiguities(spark):
+    rng = random.Random(10)
+    base = "".join(rng.choice("ACGT") for _ in range(120))
+    mixed = "".join(rng.choice("RYSWKM") if rng.random() < 0.3 else c for c in base)
+    seqs = [base, base[:60] + "C" * 60, mixed, base[:20] + "-" * 100]
+    aligned = spark.createDataFrame([("1a", i, f"s{i}", q) for i, q in enumerate(seqs)], "genotype string, record_idx long, seq_id string, aligned string")
+    pairs = lambda **how: {(r.source, r.target): r.distance for r in distance.tn93_pairs(aligned, **how).collect()}
+    resolved, averaged = pairs(mode="resolve"), pairs(mode="average")
+    assert pairs(mode="resolve", most_ambiguous=0.5) == pytest.approx(resolved)
+    some = pairs(mode="resolve", most_ambiguous=0.05)
+    assert some == pytest.approx({k: averaged[k] if "s2" in k else resolved[k] for k in resolved}) and some != pytest.approx(resolved)
+    assert set(pairs(mode="skip", least_overlap=30)) == {k for k in resolved if "s3" not in k}
+    for wrong in ({"least_overlap": -1}, {"most_ambiguous": 2.0}):
+        with pytest.raises(ValueError):
+            distance.tn93_pairs(aligned, **wrong)
