@@ -102,7 +102,7 @@ def genotype_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def genotype_sql(ranked: str) -> str:
-    """``ranked`` gives the hits with their rank within each query."""
+    """``ranked`` gives the hits with their rank within each query; six decimals are rounded half to even, as the layout has them."""
     group = lambda x: f"split_part({x}, '_', 1)"
     return f"""WITH {ranked},
 best AS (SELECT query_id, target_id AS best_ref, {group('target_id')} AS g, alignment_score AS best_score FROM ranked WHERE hit_rank = 1),
@@ -116,7 +116,7 @@ x AS (SELECT CAST(o_orderkey AS VARCHAR) AS sequence_id, o_orderkey % 90 AS ns,
   b.*, second_score, close_hits, others, c.target_id AS coverage_ref, c.query_coverage, c.identity, c.block_identity, c.mapq, c.matching_bases, c.alignment_block_length
   FROM orders o LEFT JOIN best b ON b.query_id = CAST(o.o_orderkey AS VARCHAR) LEFT JOIN second USING (query_id) LEFT JOIN near USING (query_id) LEFT JOIN others USING (query_id) LEFT JOIN (SELECT * FROM covered WHERE c = 1) c USING (query_id))
 SELECT sequence_id, CASE WHEN reason = '' THEN g END AS assigned_genotype, CASE WHEN reason = '' THEN nullif(regexp_replace(g, '\\D', '', 'g'), '') END AS genotype_group, CASE WHEN reason = '' THEN 'pass' ELSE 'qc_fail' END AS assignment_status, nullif(reason, '') AS qc_fail_reason,
-  best_ref, g AS best_ref_genotype, coverage_ref, 200 + ns AS query_length, CAST(200 AS BIGINT) AS non_n_bases, round(200 / CAST(200 + ns AS DOUBLE), 6) AS non_n_fraction, coalesce(best_score, 0) AS best_alignment_score, second_score AS second_alignment_score,
-  best_score - second_score AS score_margin, round((best_score - second_score) / CAST(nullif(best_score, 0) AS DOUBLE), 6) AS score_margin_fraction, round(query_coverage, 6) AS query_coverage, round(query_coverage / 2, 6) AS query_span_coverage, round(query_coverage / 4, 6) AS target_coverage,
-  round(identity, 6) AS identity, CASE WHEN best_ref IS NOT NULL THEN 'block_fallback' END AS identity_method, CAST(block_identity AS DOUBLE) AS block_identity, mapq, coalesce(matching_bases, 0) AS matching_bases, coalesce(alignment_block_length, 0) AS alignment_block_length,
+  best_ref, g AS best_ref_genotype, coverage_ref, 200 + ns AS query_length, CAST(200 AS BIGINT) AS non_n_bases, round_even(200 / CAST(200 + ns AS DOUBLE), 6) AS non_n_fraction, coalesce(best_score, 0) AS best_alignment_score, second_score AS second_alignment_score,
+  best_score - second_score AS score_margin, round_even((best_score - second_score) / CAST(nullif(best_score, 0) AS DOUBLE), 6) AS score_margin_fraction, round_even(query_coverage, 6) AS query_coverage, round_even(query_coverage / 2, 6) AS query_span_coverage, round_even(query_coverage / 4, 6) AS target_coverage,
+  round_even(identity, 6) AS identity, CASE WHEN best_ref IS NOT NULL THEN 'block_fallback' END AS identity_method, CAST(block_identity AS DOUBLE) AS block_identity, mapq, coalesce(matching_bases, 0) AS matching_bases, coalesce(alignment_block_length, 0) AS alignment_block_length,
   CASE WHEN best_ref IS NULL THEN 0 ELSE 1 END AS alignment_segment_count, close_hits, others AS other_potential_genotypes FROM x"""
