@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import MISSING, age_error, age_range, age_range_spelling, metadata_key
+from strandline.sources.faults import reject
 from strandline.sources.readers import RESERVED_METADATA
 
 
@@ -24,27 +25,31 @@ def check_header(header: list[str]) -> None:
         raise ValueError("metadata header: " + "; ".join(faults))
 
 
-def faults(rows: DataFrame) -> DataFrame:
-    """``sample_id, fault`` rows: blank or repeated ids, wrong ages and ranges, ages outside their range."""
-    out = rows.filter("coalesce(sample_id, '') = ''").select("sample_id", F.lit("blank sample_id").alias("fault"))
-    twice = rows.filter("coalesce(sample_id, '') <> ''").groupBy("sample_id").agg(F.count("*").alias("n")).filter("n > 1")
-    out = out.unionByName(twice.select("sample_id", F.lit("repeated sample_id").alias("fault")))
-    if "age" in rows.columns:
-        out = out.unionByName(rows.filter(age_error(F.col("age"))).select("sample_id", F.concat(F.lit("wrong age "), "age").alias("fault")))
-    if "age_range" in rows.columns:
-        given = rows.filter(F.col("age_range") != MISSING)
-        out = out.unionByName(given.filter(age_range_spelling(F.col("age_range")).isNull()).select("sample_id", F.concat(F.lit("unknown age range "), "age_range").alias("fault")))
-        if "age" in rows.columns:
-            both = given.filter(~age_error(F.col("age")) & (F.col("age") != MISSING) & (age_range(F.col("age")) != age_range_spelling(F.col("age_range"))))
-            out = out.unionByName(both.select("sample_id", F.lit("age outside its range").alias("fault")))
-    return out
-
-
-def validated(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``age_range`` derived or respelled; one error lists every fault."""
-    wrong = faults(rows).orderBy("sample_id", "fault").collect()
-    if wrong:
-        raise ValueError("metadata: " + "; ".join(f"{r['sample_id'] or '(blank)'}: {r['fault']}" for r in wrong))
+def row_faults(columns: list[str]) -> tuple[dict[str, Column], dict[str, Column]]:
+    """By kind of fault, the sample it is shown for: blank ids, wrong ages and ranges, ages outside their range; and repeated ids."""
+    sample = F.coalesce(F.nullif(F.trim("sample_id"), F.lit("")), F.lit("(blank)"))
+    with_value = lambda c: F.concat(sample, F.lit(" "), F.coalesce(c, F.lit("")))
+    blank = sample == "(blank)"
+    wrong = {"blank sample_id": F.when(blank, sample)}
+    if "age" in columns:
+        wrong["wrong age"] = F.when(age_error(F.col("age")), with_value(F.col("age")))
+    if "age_range" in columns:
+        given = F.col("age_range") != MISSING
+        wrong["unknown age range"] = F.when(given & age_range_spelling(F.col("age_range")).isNull(), with_value(F.col("age_range")))
+        if "age" in columns:
+            outside = given & ~age_error(F.col("age")) & (F.col("age") != MISSING) & (age_range(F.col("age")) != age_range_spelling(F.col("age_range")))
+            wrong["age outside its range"] = F.when(outside, with_value(F.col("age")))
+    return wrong, {"repeated sample_id": F.when(~blank, F.col("sample_id"))}
+
+
+def validated(rows: DataFrame, further: dict[str, Column] | None = None) -> DataFrame:
+    """``rows`` with ``age_range`` derived or respelled.
+
+    The rows are checked in one pass, together with what ``further`` asks (see ``find_faults``); one error names each kind of
+    fault with its first samples and the number of others.
+    """
+    wrong, repeated = row_faults(rows.columns)
+    reject(rows, "metadata", {**(further or {}), **wrong}, repeated)
     derived = F.lit(MISSING)
     if "age" in rows.columns:
         derived = age_range(F.col("age"))
@@ -60,12 +65,13 @@ def join_metadata(nodes: DataFrame, metadata: DataFrame, node: str = "sample_id"
     """
     key = metadata_key(F.col("base_sample_id"), F.col(node)) if "base_sample_id" in nodes.columns else F.col(node)
     fields = [c for c in metadata.columns if c != "sample_id"]
-    meta = metadata.select(F.col("sample_id").alias("_key"), *[F.col(c).alias(f"_m_{c}") for c in fields])
+    named = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    meta = metadata.select(F.col("sample_id").alias("_key"), *[named(c).alias(f"_m_{c}") for c in fields])
     out = nodes.withColumn("_key", key).join(meta, "_key", "left")
     for c in fields:
-        new = F.coalesce(F.col(f"_m_{c}").cast("string"), F.lit(MISSING))
+        new = F.coalesce(named(f"_m_{c}").cast("string"), F.lit(MISSING))
         if c in nodes.columns:
-            old = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
+            old = F.coalesce(named(c).cast("string"), F.lit(MISSING))
             clash = (old != MISSING) & (new != MISSING) & (old != new)
             new = F.when(clash, F.raise_error(F.concat(F.lit(f"metadata conflict in {c} at "), F.col(node)))).when(old != MISSING, old).otherwise(new)
         out = out.withColumn(c, new)

@@ -493,6 +493,8 @@ def encoding_warnings(spark, sf_dir):
 
 for _trip, _trip_sql in (
     (round_trips.fasta_round_trip, round_trips.FASTA_SQL),
+    (round_trips.genbank_sequences, round_trips.GENBANK_SEQUENCES_SQL),
+    (round_trips.genbank_features, round_trips.GENBANK_FEATURES_SQL),
     (round_trips.paf_round_trip, round_trips.PAF_SQL),
     (round_trips.links_round_trip, round_trips.LINKS_SQL),
     (round_trips.distances_round_trip, round_trips.DISTANCES_SQL),

@@ -9,7 +9,7 @@ from strandline.functions import sequence as fn
 from strandline.operators import genotyping
 from strandline.plans.proxies import hits
 from strandline.session import scratch_path, table
-from strandline.sources import readers, writers
+from strandline.sources import genbank, readers, writers
 
 
 def fasta_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,37 @@ s AS (SELECT doc_id, lang, regexp_replace(regexp_replace(k, '[-.]', '', 'g'), '[
 SELECT CAST(doc_id AS VARCHAR) AS seq_id, doc_id || ' lang=' || lang AS header, CAST(length(s) AS INTEGER) AS n_sites, sha256(s) AS sequence_sha256 FROM s"""
 
 
+def genbank_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records of a flat file, in numbered lines of sixty letters, read back."""
+    docs = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", "lang", fn.normalized_input(F.col("text")).alias("s"))
+    letters = F.regexp_replace(F.regexp_replace(F.lower("s"), "(.{10})", "$1 "), "((?:.{10} ){6})", "$1\n       61 ")
+    # the text writer ends the record's last line
+    text = F.concat(F.lit("LOCUS       L"), "doc_id", F.lit("\nACCESSION   A"), "doc_id", F.when(F.col("lang") == "de", "").otherwise(F.concat(F.lit("\nVERSION     A"), "doc_id", F.lit(".1"))), F.lit("\nORIGIN      \n        1 "), letters, F.lit("\n//"))
+    docs.select(text.alias("value")).write.text(path := scratch_path(spark, "genbank"))
+    return genbank.read_sequences(spark, path).select("accession", F.length("sequence").alias("n_sites"), F.sha2("sequence", 256).alias("sequence_sha256"))
+
+
+GENBANK_SEQUENCES_SQL = FASTA_SQL[: FASTA_SQL.rindex("SELECT")] + "SELECT 'A' || doc_id || CASE WHEN lang = 'de' THEN '' ELSE '.1' END AS accession, CAST(length(s) AS INTEGER) AS n_sites, sha256(s) AS sequence_sha256 FROM s"
+
+
+def genbank_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a gene on either strand and a joined peptide, names with quotes and a broken line, read back."""
+    key, a = F.concat_ws(".", "l_orderkey", "l_linenumber"), F.col("l_partkey") + 1
+    b, back = a + F.col("l_quantity").cast("long") + 2, F.col("l_linenumber") % 2 == 0
+    place = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in x])
+    gene = place("     CDS             ", F.when(back, place("complement(<", a, "..", b, ")")).otherwise(place(a, "..", b)), '\n                     /gene="g ""', F.col("l_returnflag"), '"" of\n                     ', F.col("l_linestatus"), '"\n')
+    peptide = place("     mat_peptide     join(", a, "..", a + 1, ",", b, "..>", b + 5, ')\n                     /product="p', F.col("l_suppkey"), '"\n')
+    text = place("LOCUS       L\nVERSION     ", key, "\nFEATURES             Location/Qualifiers\n", gene, peptide, "ORIGIN      \n        1 acgtu\n//")
+    table(spark, sf_dir, "lineitem").select(text.alias("value")).write.text(path := scratch_path(spark, "features"))
+    return genbank.read_features(spark, path).drop("record_idx")
+
+
+GENBANK_FEATURES_SQL = """
+WITH l AS (SELECT l_orderkey || '.' || l_linenumber AS accession, l_partkey + 1 AS a, l_partkey + 3 + CAST(l_quantity AS BIGINT) AS b, * FROM lineitem)
+SELECT accession, 0 AS feature_idx, 'CDS' AS type, CAST(a AS INTEGER) AS start, CAST(b AS INTEGER) AS "end", 1 AS n_parts, l_linenumber % 2 = 0 AS reverse, '' AS product, 'g "' || l_returnflag || '" of ' || l_linestatus AS gene FROM l
+UNION ALL SELECT accession, 1, 'mat_peptide', CAST(a AS INTEGER), CAST(b + 5 AS INTEGER), 2, false, 'p' || l_suppkey, '' FROM l"""
+
+
 def paf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hits(spark, sf_dir)
     fixed = ["query_id", "query_length", "query_start", "query_end", "strand", "target_id", "target_length", "target_start", "target_end", "matching_bases", "alignment_block_length", "mapq"]

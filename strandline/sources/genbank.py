@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass
@@ -75,22 +76,51 @@ def parse_record(text: str) -> Record:
     return Record(accession, [f for f in map(_feature, groups) if f], sequence)
 
 
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """``record_idx, value``: the records of all files under ``path``, as text without their end mark.
+
+    The reader splits at lines that begin with ``//``, so a file of many records is read by many tasks, each from the first
+    record that begins in its share of the bytes; ``record_idx`` orders them and does not count them.
+    """
+    raw = spark.read.option("lineSep", "\n//").text(path).select(F.regexp_replace("value", r"\r", "").alias("value"), F.monotonically_increasing_id().alias("record_idx"))
+    return raw.filter(F.trim(F.regexp_replace("value", r"\s+", " ")) != "").select("record_idx", F.regexp_replace("value", r"^\s+", "").alias("value"))
+
+
+def read_sequences(spark: SparkSession, path: str) -> DataFrame:
+    """``record_idx, accession, sequence`` of every record: letters in upper case, U as T. A record without ORIGIN fails the query.
+
+    The accession is that of VERSION, else of ACCESSION, else empty.
+    """
+    named = lambda key: F.regexp_extract("head", rf"(?m)^{key}[ \t]+(\S+)", 1)
+    at = F.locate("\nORIGIN", F.col("value"))
+    whole = F.when((at > 0) & F.col("value").startswith("LOCUS"), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("not a GenBank record with a sequence: "), F.substring("value", 1, 60))))
+    parts = _records(spark, path).withColumn("value", whole).select("record_idx", F.substring("value", F.lit(1), at).alias("head"), F.substring("value", at + 1, F.length("value")).alias("body"))
+    letters = F.regexp_replace(F.regexp_replace("body", r"^[^\n]*", ""), "[^A-Za-z]", "")
+    accession = F.coalesce(F.nullif(named("VERSION"), F.lit("")), named("ACCESSION"))
+    return parts.select("record_idx", accession.alias("accession"), F.translate(F.upper(letters), "U", "T").alias("sequence"))
+
+
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """``accession, feature_idx, type, start, end, product, gene`` of all files under ``path``, one task for each file."""
+    """``record_idx, accession, feature_idx, type, start, end, n_parts, reverse, product, gene`` of every record's features.
+
+    Features are numbered from 0 within their record, in its order; ``start`` and ``end`` are those of the whole location.
+    """
     from strandline.session import ship_code
 
     ship_code(spark)
+    schema = "record_idx long, accession string, feature_idx int, type string, start int, end int, n_parts int, reverse boolean, product string, gene string"
 
     def run(batches):
         import pyarrow as pa
 
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.string()]
+        names = [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
             rows = []
-            for text in batch.column(0).to_pylist():
+            for idx, text in zip(batch.column("record_idx").to_pylist(), batch.column("value").to_pylist(), strict=True):
                 record = parse_record(text)
-                rows += [(record.accession, i, f.type, f.start, f.end, f.first("product"), f.first("gene")) for i, f in enumerate(record.features)]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 7
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["accession", "feature_idx", "type", "start", "end", "product", "gene"])
+                rows += [(idx, record.accession, i, f.type, f.start, f.end, len(f.parts), f.reverse, f.first("product"), f.first("gene")) for i, f in enumerate(record.features)]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return spark.read.text(path, wholetext=True).mapInArrow(run, "accession string, feature_idx int, type string, start int, end int, product string, gene string")
+    return _records(spark, path).mapInArrow(run, schema)

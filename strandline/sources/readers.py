@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import blank_as_missing, first_token
+from strandline.sources.faults import reject
 
 # Accepted column names, compared without regard to case.
 SOURCE_NAMES = ("source", "query", "id1", "seq1", "sequence_1", "name1", "sample_id_1")
@@ -22,19 +23,14 @@ NODE_NAMES = ("node", "sample_id", "sequence_id", "id")
 RESERVED_METADATA = ("genotype", "cluster_id", "source_cluster_id", "cluster_size", "source", "target", "distance", "base_sample_id", "mixed_infection")
 
 
-def _fail_if_any(bad: DataFrame, message: str, column: str) -> None:
-    rows = [str(r[0]) for r in bad.select(column).limit(5).collect()]
-    if rows:
-        raise ValueError(f"{message}: {', '.join(rows)}")
-
-
 def read_fasta(spark: SparkSession, path: str, strict: bool = False, unique: str | None = "seq_id") -> DataFrame:
     """``record_idx, header, seq_id, sequence`` of a FASTA file, plain or gzip.
 
     Records are split at line-initial ``>`` by the reader, so a large file is read by many tasks; ``record_idx`` grows in
     file order without gaps in meaning (it orders, it does not count). Blank lines and white space in sequences go.
     ``strict`` also requires a record, and rejects data before the first header, empty headers and values of ``unique`` that
-    repeat: ids, whole headers (``header``), or neither (None) where repeats are resolved later.
+    repeat: ids, whole headers (``header``), or neither (None) where repeats are resolved later. All of this is asked in one
+    pass over the file, and one error names the faults of every kind.
     """
     raw = spark.read.option("lineSep", "\n>").text(path).withColumn("record_idx", F.monotonically_increasing_id())
     text = F.regexp_replace(F.col("value"), r"\r", "")
@@ -45,12 +41,11 @@ def read_fasta(spark: SparkSession, path: str, strict: bool = False, unique: str
     rows = raw.select("record_idx", "lead", F.trim(F.split_part("body", F.lit("\n"), F.lit(1))).alias("header"), F.regexp_replace(F.regexp_replace("body", r"^[^\n]*", ""), r"\s+", "").alias("sequence"))
     out = rows.filter("not (header = '' and sequence = '' and lead)").select("record_idx", "header", first_token(F.col("header")).alias("seq_id"), "sequence", "lead")
     if strict:
-        if out.limit(1).count() == 0:
+        wrong = {"sequence data before the first header": F.when(F.col("lead"), F.col("header")), "empty FASTA header at record": F.when(F.col("header") == "", F.col("record_idx"))}
+        named = ~F.col("lead") & (F.col("header") != "")
+        repeats = {f"repeated {'sequence ids' if unique == 'seq_id' else 'headers'}": F.when(named, F.col(unique))} if unique else {}
+        if not reject(out, f"FASTA {path}", wrong, repeats):
             raise ValueError(f"no FASTA records in {path}")
-        _fail_if_any(out.filter("lead"), "sequence data before the first header", "header")
-        _fail_if_any(out.filter("header = ''"), "empty FASTA header at record", "record_idx")
-        if unique:
-            _fail_if_any(duplicate_ids(out, unique), f"repeated {'sequence ids' if unique == 'seq_id' else 'headers'}", unique)
     return out.drop("lead")
 
 
@@ -203,11 +198,13 @@ def _metadata(raw: DataFrame, first: list[Row]) -> DataFrame:
     cell = lambda c: F.trim(F.regexp_replace(F.col(c), "\ufeff", ""))
     is_header = reduce(lambda x, y: x & y, [cell(c).eqNullSafe(n) for c, n in zip(raw.columns, header, strict=False)])
     rows = raw.filter(~is_header)
-    wide = [c for c in raw.columns[len(header) :]]
-    if wide:
-        _fail_if_any(rows.filter(" or ".join(f"{c} is not null" for c in wide)), "metadata row wider than the header", raw.columns[0])
-    named = rows.select(*[cell(c).alias(n) for c, n in zip(raw.columns, header, strict=False)])
-    return validated(named.select(*[F.col(n) if n == "sample_id" else blank_as_missing(F.col(n)).alias(n) for n in header]))
+    wide = [F.col(c).isNotNull() for c in raw.columns[len(header) :]]
+    names = [cell(c).alias(n) if n == "sample_id" else blank_as_missing(cell(c)).alias(n) for c, n in zip(raw.columns, header, strict=False)]
+    flag = "_wide"
+    while flag in header:
+        flag += "_"
+    named = rows.select(*names, (reduce(lambda x, y: x | y, wide) if wide else F.lit(False)).alias(flag))
+    return validated(named, {"row wider than the header": F.when(F.col(flag), F.coalesce("sample_id", F.lit("")))}).drop(flag)
 
 
 def reference_map(text: str) -> dict[str, str]:
