@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import sequence as fn
-from strandline.operators import catalog, distance, encodings, genotyping, graph, layouts, metadata, near_links, regions, reuse, variants
+from strandline.operators import catalog, distance, encodings, genotyping, graph, labels, layouts, metadata, near_links, regions, reuse, variants
 from strandline.plans import round_trips
 from strandline.plans.proxies import ALIGNED_SQL, HITS_SQL, PAIRS_SQL, REFERENCE, SITE_SQL, STRETCHES_SQL, aligned, hits, stretches
 from strandline.session import materialise, table
@@ -259,6 +259,14 @@ def spring_layout(spark, sf_dir):
     return layouts.spring_layout(rows.filter("cluster_size > 1"), links)
 
 
+@query()
+def cluster_labels(spark, sf_dir):
+    links = materialise(_links(spark, sf_dir), "links")
+    rows = materialise(_clusters(spark, sf_dir, links).withColumn("cluster_id", F.concat_ws("_", "genotype", "cluster_id")).filter("cluster_size > 1"), "clusters")
+    places = layouts.spring_layout(rows, links)
+    return labels.label_places(rows.join(places, "sample_id"))
+
+
 # --- metadata ---------------------------------------------------------------------------------------------------------
 
 
