@@ -167,12 +167,21 @@ def wrapped(seq: Column, width: int = 80) -> Column:
 
 
 def general_number(x: Column, digits: int = 10) -> Column:
-    """A double as ``%.10g`` writes it: the shorter of fixed and exponent form, without trailing zeros."""
-    exp = F.when(x == 0, 0).otherwise(F.floor(F.log10(F.abs(F.when(x != 0, x).otherwise(1.0))))).cast("int")
-    fixed = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits + 6}f", x), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    rounded = F.round(x * F.pow(F.lit(10.0), -exp), digits - 1)
-    mantissa = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits - 1}f", rounded), r"0+$", ""), r"\.$", "")
-    return F.when(x.isNull(), F.lit(None)).when((exp < -4) | (exp >= digits), F.concat(mantissa, F.lit("e"), F.when(exp < 0, "-").otherwise("+"), F.lpad(F.abs(exp).cast("string"), 2, "0"))).otherwise(fixed)
+    """A double as ``%.10g`` writes it: the shorter of fixed and exponent form, without trailing zeros.
+
+    Digits are those of the shortest decimal that is the double, rounded half to even; ``nan`` and ``inf`` are in small letters. C
+    rounds the double itself, so a tie of eleven digits whose double lies beside it may differ in the last one.
+    """
+    short = lambda text: F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    # rounded before its exponent is read, which rounding may raise
+    whole = F.format_string("%.16e", x)
+    tie = rf"^(-?\d\.\d{{{digits - 2}}}[02468])50*e"
+    rounded = F.when(whole.rlike(tie), F.regexp_replace(whole, tie, "$1e")).otherwise(F.format_string(f"%.{digits - 1}e", x))
+    power = F.split_part(rounded, F.lit("e"), F.lit(2))
+    fixed = short(F.format_string(f"%.{digits + 3}f", rounded.try_cast("double")))
+    large = (power.try_cast("int") < -4) | (power.try_cast("int") >= digits)
+    odd = F.isnan(x) | (F.abs(x) == float("inf"))
+    return F.when(x.isNull(), F.lit(None)).when(odd, F.substring(F.replace(F.lower(x.cast("string")), F.lit("infinity"), F.lit("inf")), 1, 4)).when(large, F.concat(short(F.split_part(rounded, F.lit("e"), F.lit(1))), F.lit("e"), power)).otherwise(fixed)
 
 
 def field_label(name: Column) -> Column:

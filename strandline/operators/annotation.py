@@ -149,15 +149,16 @@ def transferred_regions(record: Record, template: Record) -> dict[str, Segment]:
 def reference_regions(record: Record, templates: list[Record] | None = None) -> dict[str, Segment]:
     """The regions of a reference: its own, completed and corrected from the template with most regions.
 
-    A template needs e2 and p7. A boundary of the record's own that is more than ``ANNOTATION_TOLERANCE`` bases from the
+    A template needs e2 and p7; one that carries no region to the record gives way to the next. A boundary of the record's own that is more than ``ANNOTATION_TOLERANCE`` bases from the
     carried one is stale and takes that. Without core and e2 in the end, the record is an error.
     """
     out = annotated_regions(record)
     usable = [(t, annotated_regions(t)) for t in templates or [] if t.accession != record.accession]
     usable = [(t, r) for t, r in usable if "e2" in r and "p7" in r]
     if usable and any(n not in out for n in REGION_ORDER):
-        best = max(usable, key=lambda x: (len(x[1]), [-ord(c) for c in x[0].accession]))[0]
-        for name, carried in transferred_regions(record, best).items():
+        ranked = sorted(usable, key=lambda x: (-len(x[1]), x[0].accession))
+        first = next(filter(None, (transferred_regions(record, t) for t, _ in ranked)), {})
+        for name, carried in first.items():
             own = out.get(name, carried)
             start, end = (c if abs(o - c) > ANNOTATION_TOLERANCE else o for o, c in ((own.start, carried.start), (own.end, carried.end)))
             if (start, end) != (own.start, own.end):

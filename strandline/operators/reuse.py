@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+import warnings
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import fingerprint
+from strandline.sources import readers
 
 
 def with_fingerprint(records: DataFrame, seq: str = "sequence") -> DataFrame:
@@ -21,6 +25,33 @@ def check_cache(cache: dict | None, accession: str, reference_fingerprint: str,
             raise ValueError(f"alignment cache has another {field}: {cache.get(field)}")
 
 
+def read_cache(spark: SparkSession, fasta: str, sidecar: str, accession: str, anchor: str) -> DataFrame | None:
+    """``header, fingerprint, aligned`` of an earlier alignment to ``anchor``, the aligned row of the reference ``accession``.
+
+    Errors for a cache without the reference, with another reference or other columns, of rows of several widths, or of a
+    sidecar that disagrees (see ``check_cache``). Without a sidecar nothing tells which inputs are unchanged: a warning and None.
+    """
+    rows = readers.read_fasta(spark, fasta, strict=True, unique="header")
+    width = F.length("sequence")
+    facts = rows.agg(F.max(F.when(F.col("header") == accession, F.col("sequence"))).alias("reference"), F.min(width).alias("least"), F.max(width).alias("most")).first()
+    if facts["reference"] is None:
+        raise ValueError(f"the cached alignment lacks the reference {accession}")
+    plain = anchor.replace("-", "").upper()
+    if facts["reference"].replace("-", "").upper() != plain:
+        raise ValueError(f"the cached alignment has another sequence of {accession}")
+    if facts["least"] != facts["most"]:
+        raise ValueError("the cached alignment has rows of several widths")
+    side = readers.read_cache_sidecar(spark, sidecar)
+    if side is None:
+        warnings.warn(f"{fasta} has no sidecar, so all its sequences are to be aligned again", stacklevel=2)
+        return None
+    check_cache(side.drop("sequences").first().asDict(), accession, hashlib.sha256(plain.encode()).hexdigest(), facts["most"])
+    if facts["reference"].upper() != anchor.upper():
+        raise ValueError(f"the cached alignment has other columns for {accession}")
+    held = side.select(F.explode("sequences").alias("header", "fingerprint"))
+    return rows.filter(F.col("header") != accession).select("header", F.col("sequence").alias("aligned")).join(held, "header")
+
+
 def split_by_cache(records: DataFrame, cached: DataFrame | None, seq: str = "sequence") -> tuple[DataFrame, DataFrame]:
     """``(reused, to_align)``: records with the cached ``aligned`` row, and those that have none.
 

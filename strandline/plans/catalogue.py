@@ -11,8 +11,9 @@ from strandline.functions import sequence as fn
 from strandline.operators import catalog, distance, encodings, genotyping, graph, labels, layouts, metadata, near_links, regions, reuse, variants
 from strandline.plans import round_trips
 from strandline.plans.proxies import ALIGNED_SQL, HITS_SQL, PAIRS_SQL, REFERENCE, SITE_SQL, STRETCHES_SQL, aligned, hits, stretches
-from strandline.session import materialise, table
+from strandline.session import materialise, scratch_path, table
 from strandline.sources import readers, writers
+from strandline.streaming import incremental
 
 THRESHOLD = 0.03
 SNPS = 5
@@ -123,6 +124,44 @@ def variant_selection(spark, sf_dir):
     return variants.select_variants(typed).select("sequence_id", "genotype", "input_record", "status")
 
 
+def _assigned_plan(spark, sf_dir):
+    """The plan with genotypes and coverages joined from rows of which the second of a sequence counts; every eleventh has none."""
+    plan = _plan(spark, sf_dir)
+    rec, second = F.col("input_record"), F.col("at") == 1
+    rows = plan.filter("status = 'kept'").withColumn("at", F.explode(F.array(F.lit(1), F.lit(0))))
+    failed = second & (rec % 5 == 4)
+    kind = F.when(~second, "9z").when(failed, "").when(rec % 2 == 0, "1a").otherwise("3a")
+    assigned = rows.filter("completeness % 11 <> 0").select(F.concat(F.lit(" "), "sequence_id").alias("sequence_id"), "at", kind.alias("assigned_genotype"), F.when(failed, "qc_fail").otherwise("pass").alias("assignment_status"), F.when(failed, "low_identity").alias("qc_fail_reason"))
+    share = F.when(~second, "0.9").when(F.col("completeness") % 7 == 0, "x").otherwise(((rec % 3).cast("double") / 4).cast("string"))
+    qc = rows.select(F.col("sequence_id").alias("sample_id"), "at", share.alias("coverage_fraction"))
+    return variants.with_region_coverage(variants.record_genotypes(plan, assigned, "at"), qc, "at")
+
+
+_ASSIGNED_PLAN = f"""{_PLAN}, held AS (SELECT sequence_id, completeness % 11 <> 0 AS listed, CASE WHEN completeness % 7 = 0 THEN 0.0 ELSE CAST(input_record % 3 AS DOUBLE) / 4 END AS region_coverage FROM plan WHERE status = 'kept'),
+typed AS (SELECT p.* EXCLUDE (status), region_coverage, CASE WHEN p.status <> 'kept' OR NOT listed OR input_record % 5 = 4 THEN '' WHEN input_record % 2 = 0 THEN '1a' ELSE '3a' END AS genotype,
+  CASE WHEN p.status = 'kept' AND listed AND input_record % 5 = 4 THEN 'low_identity' ELSE '' END AS detail, CASE WHEN p.status = 'kept' AND (NOT listed OR input_record % 5 = 4) THEN 'genotype_not_assigned' ELSE p.status END AS status FROM plan p JOIN held USING (sequence_id)),
+chosen AS (SELECT *, row_number() OVER (PARTITION BY status = 'kept', base_sample_id, genotype ORDER BY region_coverage DESC, completeness DESC, input_record) AS r,
+  row_number() OVER (PARTITION BY status = 'kept', base_sample_id, genotype ORDER BY completeness DESC, input_record) AS r2 FROM typed)"""
+
+
+@query(f"""WITH {_ASSIGNED_PLAN} SELECT sequence_id, input_record, genotype, detail, region_coverage, CASE WHEN status = 'kept' AND r > 1 THEN 'dropped_same_genotype' ELSE status END AS by_coverage,
+  CASE WHEN status = 'kept' AND r2 > 1 THEN 'dropped_same_genotype' ELSE status END AS by_completeness FROM chosen""")
+def variant_genotypes(spark, sf_dir):
+    both = variants.select_variants(_assigned_plan(spark, sf_dir)).withColumnRenamed("status", "by_coverage")
+    other = variants.select_variants(_assigned_plan(spark, sf_dir), "completeness").select("base_sample_id", "input_record", F.col("status").alias("by_completeness"))
+    return both.join(other, ["base_sample_id", "input_record"]).select("sequence_id", "input_record", "genotype", "detail", "region_coverage", "by_coverage", "by_completeness")
+
+
+@query(f"""WITH {_ASSIGNED_PLAN}, kept AS (SELECT sequence_id, base_sample_id FROM chosen WHERE status = 'kept' AND r = 1), mixed AS (SELECT base_sample_id FROM kept GROUP BY ALL HAVING count(*) > 1),
+nodes AS (SELECT sequence_id AS sample_id, 'C' || completeness % 50 AS cluster_id FROM plan WHERE status = 'kept' UNION ALL SELECT 'K' || c_custkey, 'K' FROM customer)
+SELECT sample_id, coalesce(k.base_sample_id, sample_id) AS base_sample_id, cluster_id, coalesce(k.base_sample_id, sample_id) IN (SELECT base_sample_id FROM mixed) AS mixed_infection FROM nodes LEFT JOIN kept k ON k.sequence_id = sample_id""")
+def mixed_samples(spark, sf_dir):
+    plan = variants.select_variants(_assigned_plan(spark, sf_dir))
+    nodes = _plan(spark, sf_dir).filter("status = 'kept'").select(F.col("sequence_id").alias("sample_id"), F.concat(F.lit("C"), F.col("completeness") % 50).alias("cluster_id"))
+    others = table(spark, sf_dir, "customer").select(F.concat(F.lit("K"), "c_custkey").alias("sample_id"), F.lit("K").alias("cluster_id"))
+    return variants.annotate_clusters(nodes.unionByName(others), plan)
+
+
 # --- distances, links, clusters ---------------------------------------------------------------------------------------
 
 
@@ -158,20 +197,25 @@ def snp_summary(spark, sf_dir):
     return distance.snp_summary(_pairs(spark, sf_dir), ["genotype"])
 
 
+def _tn93_steps(keep: str) -> str:
+    """From pairs ``t`` with counts ``nXY`` and their sum ``n`` to ``d`` with a distance."""
+    freq = lambda x: f"({' + '.join(f'n{x}{y} + n{y}{x}' for y in 'ACGT')}) / (2 * n)"
+    return f"""f AS (SELECT *, {freq('A')} AS fa, {freq('C')} AS fc, {freq('G')} AS fg, {freq('T')} AS ft, (nAG + nGA) / n AS p1, (nCT + nTC) / n AS p2,
+  (nAC + nCA + nAT + nTA + nGC + nCG + nGT + nTG) / n AS q FROM t WHERE n > 0),
+k AS (SELECT *, fa + fg AS r, fc + ft AS y, coalesce(fa * fg / nullif(fa + fg, 0), 0) AS ag, coalesce(ft * fc / nullif(fc + ft, 0), 0) AS tc FROM f),
+x AS (SELECT *, 2 * (r * y - ag * y - tc * r) AS k3, 1 - coalesce(p1 / nullif(2 * ag, 0), 0) - coalesce(q / nullif(2 * r, 0), 0) AS x1,
+  1 - coalesce(p2 / nullif(2 * tc, 0), 0) - coalesce(q / nullif(2 * y, 0), 0) AS x2, 1 - coalesce(q / nullif(2 * r * y, 0), 0) AS x3 FROM k),
+d AS (SELECT {keep}, CASE WHEN (ag <> 0 AND x1 <= 0) OR (tc <> 0 AND x2 <= 0) OR (k3 <> 0 AND x3 <= 0) THEN 1.0 ELSE abs(greatest(0.0,
+  CASE WHEN ag <> 0 THEN -2 * ag * ln(x1) ELSE 0 END + CASE WHEN tc <> 0 THEN -2 * tc * ln(x2) ELSE 0 END + CASE WHEN k3 <> 0 THEN -k3 * ln(x3) ELSE 0 END)) END AS distance FROM x)"""
+
+
 def _tn93_sql() -> str:
     n = {(x, y): f"CAST(sum(bit_count(a.{x.lower()}_ & b.{y.lower()}_)) AS DOUBLE)" for x in "ACGT" for y in "ACGT"}
     cols = ", ".join(f"{v} AS n{x}{y}" for (x, y), v in n.items())
-    freq = lambda x: f"({' + '.join(f'n{x}{y} + n{y}{x}' for y in 'ACGT')}) / (2 * n)"
     bits = PAIRS_SQL.split("counted AS")[0]
     return f"""WITH {bits}c AS (SELECT a.genotype, a.seq_id AS source, b.seq_id AS target, {cols} FROM bits a JOIN bits b ON a.genotype = b.genotype AND a.no = b.no AND a.record_idx < b.record_idx GROUP BY ALL),
 t AS (SELECT *, {' + '.join(f'n{x}{y}' for x in 'ACGT' for y in 'ACGT')} AS n FROM c),
-f AS (SELECT *, {freq('A')} AS fa, {freq('C')} AS fc, {freq('G')} AS fg, {freq('T')} AS ft, (nAG + nGA) / n AS p1, (nCT + nTC) / n AS p2,
-  (nAC + nCA + nAT + nTA + nGC + nCG + nGT + nTG) / n AS q FROM t WHERE n > 0),
-k AS (SELECT *, fa + fg AS r, fc + ft AS y, coalesce(fa * fg / nullif(fa + fg, 0), 0) AS ag, coalesce(ft * fc / nullif(fc + ft, 0), 0) AS tc FROM f),
-x AS (SELECT *, 2 * (r * y - ag * y - tc * r) AS k3, 1 - coalesce(p1 / nullif(2 * ag, 0), 0) - coalesce(q / nullif(2 * r, 0), 0) AS x1,
-  1 - coalesce(p2 / nullif(2 * tc, 0), 0) - coalesce(q / nullif(2 * y, 0), 0) AS x2, 1 - coalesce(q / nullif(2 * r * y, 0), 0) AS x3 FROM k),
-d AS (SELECT genotype, source, target, CASE WHEN (ag <> 0 AND x1 <= 0) OR (tc <> 0 AND x2 <= 0) OR (k3 <> 0 AND x3 <= 0) THEN 1.0 ELSE abs(greatest(0.0,
-  CASE WHEN ag <> 0 THEN -2 * ag * ln(x1) ELSE 0 END + CASE WHEN tc <> 0 THEN -2 * tc * ln(x2) ELSE 0 END + CASE WHEN k3 <> 0 THEN -k3 * ln(x3) ELSE 0 END)) END AS distance FROM x)
+{_tn93_steps('genotype, source, target')}
 SELECT genotype, source, target, round(distance, 9) AS distance FROM d WHERE distance <= {THRESHOLD}"""
 
 
@@ -181,6 +225,38 @@ def tn93_links(spark, sf_dir):
     return found.withColumn("distance", F.round("distance", 9))
 
 
+#: Ambiguous sites count as differences in part, so pairs of equal texts are further apart than under ``THRESHOLD``.
+FAR = 0.35
+
+
+def _tn93_modes_sql() -> str:
+    """N is any base; in ``gapmm`` so is a gap against a base. Sites beyond a row's end are neither."""
+    bits = PAIRS_SQL.split("bits AS")[0].replace("1024, '-')", "1024, '.')")
+    bit = lambda x: f"CAST(regexp_replace(regexp_replace(sites, '[^{x}]', '0', 'g'), '[{x}]', '1', 'g') AS BIT)"
+    marks = {**{x: x for x in "ACGT"}, "N": "N", "M": "N-", "D": "-"}
+    seen = [(x, y) for x in marks for y in marks if not {x, y} & set("D") or x == y]
+    cols = ", ".join(f"CAST(sum(bit_count(a.{x}_ & b.{y}_)) AS DOUBLE) AS c{x}{y}" for x, y in seen)
+    shared = lambda m, same: {(x, y): f"c{x}{y} + (c{x}{m} + c{m}{y}) / 4 + ({same}) / 16" for x in "ACGT" for y in "ACGT"}
+    modes = {
+        "average": shared("N", "cNN"),
+        "gapmm": shared("M", "cMM - cDD"),
+        "resolve": {(x, y): f"cAA * 0 + c{x}{y}" + (f" + c{x}N + cN{x} + cNN / 4" if x == y else "") for x in "ACGT" for y in "ACGT"},
+    }
+    each = " UNION ALL ".join(f"SELECT genotype, source, target, '{m}' AS mode, {', '.join(f'{v} AS n{x}{y}' for (x, y), v in n.items())} FROM c" for m, n in modes.items())
+    return f"""WITH {bits}bits AS (SELECT genotype, record_idx, seq_id, no, {', '.join(f'{bit(v)} AS {k}_' for k, v in marks.items())} FROM cut),
+c AS MATERIALIZED (SELECT a.genotype, a.seq_id AS source, b.seq_id AS target, {cols} FROM bits a JOIN bits b ON a.genotype = b.genotype AND a.no = b.no AND a.record_idx < b.record_idx GROUP BY ALL),
+t AS (SELECT *, {' + '.join(f'n{x}{y}' for x in 'ACGT' for y in 'ACGT')} AS n FROM ({each})),
+{_tn93_steps('mode, genotype, source, target')}
+SELECT mode, genotype, source, target, round(distance, 9) AS distance FROM d WHERE distance <= {FAR}"""
+
+
+@query(_tn93_modes_sql())
+def tn93_modes(spark, sf_dir):
+    rows = aligned(spark, sf_dir)
+    found = [distance.tn93_pairs(rows, m, FAR).withColumn("mode", F.lit(m)) for m in ("average", "gapmm", "resolve")]
+    return found[0].unionByName(found[1]).unionByName(found[2]).select("mode", "genotype", "source", "target", F.round("distance", 9).alias("distance"))
+
+
 def _clusters(spark, sf_dir, links=None):
     """Numbered clusters within each genotype, isolates included."""
     nodes = aligned(spark, sf_dir).select("genotype", F.col("seq_id").alias("sample_id"))
@@ -267,6 +343,29 @@ def cluster_labels(spark, sf_dir):
     return labels.label_places(rows.join(places, "sample_id"))
 
 
+@query(f"WITH {_LINKS}, good AS (SELECT CAST(doc_id AS VARCHAR) AS seq_id FROM labels WHERE quality = 1) SELECT * FROM links WHERE source IN (SELECT seq_id FROM good) AND target IN (SELECT seq_id FROM good)")
+def listed_links(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select(F.col("doc_id").cast("string").alias("sample_id"))
+    return graph.valid_links(good, _links(spark, sf_dir))
+
+
+def _stored(spark, sf_dir):
+    """A store that got all sequences in three batches."""
+    store = scratch_path(spark, "store")
+    rows = aligned(spark, sf_dir).withColumn("sequence", F.col("aligned")).withColumn("batch", F.pmod(F.xxhash64("seq_id"), F.lit(3)))
+    for n in range(3):
+        incremental.add_batch(spark, rows.filter(F.col("batch") == n).drop("batch"), store, n, at_most=THRESHOLD)
+    return store
+
+
+@query(f"WITH RECURSIVE {_CLUSTERS} SELECT l.*, c.cluster_id, c.cluster_size FROM links l JOIN clusters c ON c.sample_id = l.source")
+def stored_links(spark, sf_dir):
+    store = _stored(spark, sf_dir)
+    nodes = aligned(spark, sf_dir).select("genotype", F.col("seq_id").alias("sample_id"))
+    numbered = graph.number_clusters(incremental.stored_components(spark, store).join(nodes, "sample_id"), ["genotype"])
+    return incremental.stored_links(spark, store).join(numbered.select(F.col("sample_id").alias("source"), "cluster_id", "cluster_size"), "source")
+
+
 # --- metadata ---------------------------------------------------------------------------------------------------------
 
 
@@ -350,6 +449,12 @@ def unsupported_genotypes(spark, sf_dir):
     return genotyping.unsupported_genotypes(_assigned(spark, sf_dir), catalog.catalog(spark, {"A": "TEST.1"}))
 
 
+@query(f"""WITH {_ASSIGNED} SELECT sequence_id, g AS genotype FROM assigned WHERE reason = '' AND g IN ('A', 'R') AND g IN ('1a', '1b', 'A')""")
+def supported_sequences(spark, sf_dir):
+    known = catalog.catalog(spark, {"A": "TEST.1"})
+    return genotyping.supported(_assigned(spark, sf_dir), known, ["A", "R"]).select("sequence_id", F.col("assigned_genotype").alias("genotype"))
+
+
 @query()
 def hit_chains(spark, sf_dir):
     h = hits(spark, sf_dir).withColumn("target_id", F.split_part("target_id", F.lit("."), F.lit(1)))
@@ -370,6 +475,19 @@ def kmer_overlap(spark, sf_dir):
     return genotyping.kmer_overlap(q, r, k=12, key="doc_id")
 
 
+@query(f"""WITH {_KMERS}, n AS (SELECT doc_id, count(*) AS n_kmers FROM q GROUP BY doc_id), common AS (SELECT doc_id, genotype, count(*) AS common FROM q JOIN r USING (k) GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY common DESC, genotype) AS nth FROM common),
+s AS (SELECT d.doc_id, coalesce(n_kmers, 0) >= 20 AS enough, t.genotype, coalesce(t.common, 0) / CAST(n_kmers AS DOUBLE) AS best, coalesce(c.common, 0) / CAST(n_kmers AS DOUBLE) AS own
+  FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT * FROM top WHERE nth = 1) t USING (doc_id) LEFT JOIN (SELECT * FROM common WHERE genotype = '2a') c USING (doc_id))
+SELECT doc_id, CASE WHEN enough THEN genotype END AS best_genotype FROM s WHERE NOT enough OR genotype IS NULL OR (genotype <> '2a' AND best - own >= 0.005 AND best >= 0.02)""")
+def kmer_failures(spark, sf_dir):
+    q = table(spark, sf_dir, "documents").select("doc_id", F.expr(SITE_SQL).alias("sequence"))
+    r = table(spark, sf_dir, "benchmark").select(F.concat(F.col("item_id") % 4, F.lit("a")).alias("genotype"), F.expr(SITE_SQL).alias("sequence"))
+    own = genotyping.kmer_overlap(q, r.filter("genotype = '2a'"), k=12, key="doc_id").select("doc_id", F.col("best_score").alias("own"))
+    scored = genotyping.kmer_overlap(q, r, k=12, key="doc_id").join(own, "doc_id")
+    return genotyping.kmer_failures(scored, F.col("own"), "2a").select("doc_id", "best_genotype")
+
+
 # --- regions and quality ----------------------------------------------------------------------------------------------
 
 _SEGMENTS = [regions.Segment("core", 11, 60), regions.Segment("e1", 81, 150)]
@@ -473,6 +591,12 @@ def alignment_reuse(spark, sf_dir):
     return reuse.split_by_cache(records, _cache(spark, sf_dir))[1].select("header")
 
 
+@query(f"WITH {_CACHE} SELECT header, sha256(a.aligned) AS aligned_sha256 FROM aligned a JOIN cached c ON c.header = a.seq_id AND c.fp = sha256(a.aligned)")
+def reused_alignments(spark, sf_dir):
+    records = aligned(spark, sf_dir).select(F.col("seq_id").alias("header"), F.col("aligned").alias("sequence"))
+    return reuse.split_by_cache(records, _cache(spark, sf_dir))[0].select("header", F.sha2("aligned", 256).alias("aligned_sha256"))
+
+
 @query(f"WITH {_CACHE} SELECT count(c.header) AS reused, count(*) AS total FROM aligned a LEFT JOIN cached c ON c.header = a.seq_id AND c.fp = sha256(a.aligned)")
 def reuse_counts(spark, sf_dir):
     records = aligned(spark, sf_dir).select(F.col("seq_id").alias("header"), F.col("aligned").alias("sequence"))
@@ -491,6 +615,57 @@ def size_scaling(spark, sf_dir):
     return encodings.numeric_sizes(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "sample_id"), "c_acctbal")
 
 
+_ORDER = ["fr", "en", "xx", "de", "es"]
+
+
+@query(f"""WITH o AS (SELECT unnest({_ORDER}) AS v, unnest(range(0, {len(_ORDER)})) AS i), p AS (SELECT v, row_number() OVER (ORDER BY i) - 1 AS i, count(*) OVER () AS n FROM o WHERE v IN (SELECT trim(lang) FROM documents))
+SELECT doc_id AS sample_id, CASE WHEN p.v IS NULL THEN 8.0 WHEN n = 1 THEN 13.0 ELSE 9.0 + i / CAST(n - 1 AS DOUBLE) * 10.0 END AS size FROM documents LEFT JOIN p ON p.v = trim(lang)""")
+def ordered_sizes(spark, sf_dir):
+    return encodings.ordered_sizes(table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "sample_id"), "lang", _ORDER)
+
+
+_FIELDS = ("p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT {i} AS position, '{c}' AS field, count(DISTINCT v) AS n_categories, coalesce(bool_and(regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]{{1,2}})?')), false) AS sizeable FROM (SELECT nullif(nullif(trim(CAST({c} AS VARCHAR)), ''), '(missing)') AS v FROM part)"""
+    for i, c in enumerate(_FIELDS)
+))
+def plot_fields(spark, sf_dir):
+    return encodings.plot_fields(table(spark, sf_dir, "part").select(*_FIELDS))
+
+
+@query("""SELECT l_orderkey, l_linenumber, format('{:.6f}', l_extendedprice / 7) AS fixed, format('{:.10g}', (l_partkey % 300) / CAST(2000 + l_suppkey * pow(10, l_linenumber) AS DOUBLE)) AS general FROM lineitem""")
+def number_texts(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem")
+    share = (F.col("l_partkey") % 300) / (2000 + F.col("l_suppkey") * F.pow(F.lit(10.0), "l_linenumber"))
+    return rows.select("l_orderkey", "l_linenumber", F.format_string("%.6f", F.col("l_extendedprice") / 7).alias("fixed"), fn.general_number(share).alias("general"))
+
+
+def _escaped(column: str) -> str:
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#x27;")):
+        column = f"replace({column}, '{raw}', '{safe}')"
+    return column
+
+
+@query(f"SELECT page_id, sha256(concat_ws('<br>', 'page id: ' || page_id, 'url &amp; host: ' || {_escaped('url')}, 'html: ' || {_escaped('html')})) AS text_sha256 FROM pages")
+def hover_texts(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages")
+    label = lambda c: c.replace("_", " ")
+    return rows.select("page_id", F.sha2(fn.hover_text((label("page_id"), F.col("page_id")), ("url & host", F.col("url")), ("html", F.col("html"))), 256).alias("text_sha256"))
+
+
+@query("""SELECT p_partkey, lower(trim(p_brand || ' ')) AS genotype, CASE p_size % 4 WHEN 0 THEN '0–30' WHEN 1 THEN '31–60' WHEN 2 THEN '61+' END AS spelled,
+  coalesce(nullif(trim(CASE WHEN p_size > 25 THEN p_type ELSE '  ' END), ''), p_name) AS key, replace(p_name || '_' || p_size, '_', ' ') AS label FROM part""")
+def plain_names(spark, sf_dir):
+    size = F.col("p_size")
+    range_ = F.when(size % 4 == 0, " 0-30").when(size % 4 == 1, "31–60").when(size % 4 == 2, "61+ ").otherwise("old")
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", fn.normalized_genotype(F.concat("p_brand", F.lit(" "))).alias("genotype"), fn.age_range_spelling(range_).alias("spelled"),
+        fn.metadata_key(F.when(size > 25, F.col("p_type")).otherwise("  "), F.col("p_name")).alias("key"), fn.field_label(F.concat_ws("_", "p_name", "p_size")).alias("label"),
+    )
+
+
 @query("""SELECT * FROM (SELECT 'shape' AS channel, 'source' AS field, count(DISTINCT source) AS n_categories, 12 AS most FROM documents UNION ALL
 SELECT 'centre', 'lang', count(DISTINCT lang), 5 FROM documents) WHERE n_categories > most""")
 def encoding_warnings(spark, sf_dir):

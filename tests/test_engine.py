@@ -38,6 +38,13 @@ def test_scalar_functions(spark):
     assert (got["p"], got["q"], got["r"], got["s"], got["t"], got["u"]) == ("0.015", "1e-05", "0", [], 4, "A" * 80 + "\n" + "A" * 80)
 
 
+def test_general_numbers(spark):
+    rng = random.Random(4)
+    values = [rng.uniform(-10, 10) * 10 ** rng.randint(-12, 14) for _ in range(500)] + [9.9999999999e-5, 9999999999.96, 1e-7, 0.0, 1e120, float("nan"), float("inf"), float("-inf"), None]
+    rows = spark.createDataFrame([(x,) for x in values], "x double").select("x", fn.general_number(F.col("x")).alias("t")).collect()
+    assert [r.t for r in rows] == [None if r.x is None else f"{r.x:.10g}" for r in rows]
+
+
 def test_snp_distance_cases_and_brute_force(spark):
     two = distance.snp_pairs(aligned(spark, [("seq1", "ACGT-N"), ("seq2", "ACGG-N")]), 6).collect()
     assert [(r.snp_count, r.comparable_sites, r.distance) for r in two] == [(1, 4, 0.25)]
