@@ -57,6 +57,32 @@ def test_a_given_rate_leaves_the_rest_to_the_weight(spark):
     assert shares(out, "lang", lambda r: r.tokens * r.weight) == pytest.approx(TARGETS["lang"], abs=0.06)
 
 
+def test_a_rare_language_is_read_often(spark):
+    docs = corpus(spark, 6000).withColumn("lang", F.when(F.col("doc_id") % 1000 == 0, "es").otherwise("en"))
+    targets = {"lang": {"en": 0.85, "es": 0.15}, "source": {"a": 0.4, "b": 0.3, "c": 0.3}}
+    report = {(r.margin, r.value): r for r in raking.margin_report(docs, targets=targets).collect()}
+    rare = report["lang", "es"]
+    assert rare.share < 0.003 and rare.target == pytest.approx(0.15) and rare.raked == pytest.approx(0.15, abs=1e-6) and abs(rare.miss) < 1e-6
+    once = raking.mix(docs, targets=targets).count()
+    out = raking.mix_epochs(docs, targets=targets).collect()
+    tokens = sum(r.tokens for r in docs.withColumn("tokens", F.size(F.split("text", " "))).collect())
+    assert once < 600 < len(out)
+    assert sum(r.tokens * r.copies for r in out) == pytest.approx(tokens, rel=0.05) and max(r.copies for r in out) > 20
+    for margin, want in targets.items():
+        assert shares(out, margin, lambda r: r.tokens * r.copies) == pytest.approx(want, abs=0.03)
+    assert set(out[0].asDict()) == {"doc_id", "text", "lang", "source", "weight", "factor", "topic", "tokens", "copies"}
+    assert raking.mix_epochs(docs.limit(0)).count() == raking.margin_report(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        raking.mix_epochs(docs, epochs=0.0)
+
+
+def test_conflicting_targets_are_reported(spark):
+    rows = [(i, "a b", lang, source, 1, 1, "x") for i, (lang, source) in enumerate([("en", "a"), ("fr", "b")])]
+    with pytest.warns(UserWarning, match="not met"):
+        found = raking.margin_report(spark.createDataFrame(rows, SCHEMA), targets={"lang": {"en": 0.9, "fr": 0.1}, "source": {"a": 0.5, "b": 0.5}}).collect()
+    assert max(abs(r.miss) for r in found) > 0.1 and {r.margin for r in found} == {"source", "lang", "topic"}
+
+
 def test_edges(spark):
     rows = [(None, None, None, None, 1, 1, "x"), (1, "", None, "s", 1, 1, "x"), (2, "one two", "en", None, 1, 1, "x"), (2, "one two", "en", None, 1, 1, "x"), (3, "w " * 50000, "xx", "s", 1, 1, "x")]
     docs = spark.createDataFrame(rows, SCHEMA)
