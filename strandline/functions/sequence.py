@@ -1,7 +1,8 @@
-"""Column functions over sequences, names and metadata values; all stay inside the JVM."""
+"""Column functions over sequences, names and metadata values; all but the number formats stay inside the JVM."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -167,21 +168,23 @@ def wrapped(seq: Column, width: int = 80) -> Column:
 
 
 def general_number(x: Column, digits: int = 10) -> Column:
-    """A double as ``%.10g`` writes it: the shorter of fixed and exponent form, without trailing zeros.
-
-    Digits are those of the shortest decimal that is the double, rounded half to even; ``nan`` and ``inf`` are in small letters. C
-    rounds the double itself, so a tie of eleven digits whose double lies beside it may differ in the last one.
-    """
-    short = lambda text: F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    # rounded before its exponent is read, which rounding may raise
-    whole = F.format_string("%.16e", x)
-    tie = rf"^(-?\d\.\d{{{digits - 2}}}[02468])50*e"
-    rounded = F.when(whole.rlike(tie), F.regexp_replace(whole, tie, "$1e")).otherwise(F.format_string(f"%.{digits - 1}e", x))
-    power = F.split_part(rounded, F.lit("e"), F.lit(2))
-    fixed = short(F.format_string(f"%.{digits + 3}f", rounded.try_cast("double")))
-    large = (power.try_cast("int") < -4) | (power.try_cast("int") >= digits)
-    odd = F.isnan(x) | (F.abs(x) == float("inf"))
-    return F.when(x.isNull(), F.lit(None)).when(odd, F.substring(F.replace(F.lower(x.cast("string")), F.lit("infinity"), F.lit("inf")), 1, 4)).when(large, F.concat(short(F.split_part(rounded, F.lit("e"), F.lit(1))), F.lit("e"), power)).otherwise(fixed)
+    """A double as C's ``%.10g`` writes it: the shorter of fixed and exponent form, without trailing zeros."""
+    return _c_format(f"%.{digits}g")(x.cast("double"))
+
+
+def fixed_number(x: Column, places: int = 6) -> Column:
+    """A double as C's ``%.6f`` writes it."""
+    return _c_format(f"%.{places}f")(x.cast("double"))
+
+
+def _c_format(form: str):
+    """The double itself is rounded, half to even; Java's formatter rounds the shortest decimal that is the double, half up."""
+
+    @F.arrow_udf("string")
+    def text(x: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else form % v for v in x.to_pylist()], pa.string())
+
+    return text
 
 
 def field_label(name: Column) -> Column:

@@ -639,7 +639,7 @@ def plot_fields(spark, sf_dir):
 def number_texts(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
     share = (F.col("l_partkey") % 300) / (2000 + F.col("l_suppkey") * F.pow(F.lit(10.0), "l_linenumber"))
-    return rows.select("l_orderkey", "l_linenumber", F.format_string("%.6f", F.col("l_extendedprice") / 7).alias("fixed"), fn.general_number(share).alias("general"))
+    return rows.select("l_orderkey", "l_linenumber", fn.fixed_number(F.col("l_extendedprice") / 7).alias("fixed"), fn.general_number(share).alias("general"))
 
 
 def _escaped(column: str) -> str:

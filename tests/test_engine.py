@@ -45,6 +45,13 @@ def test_general_numbers(spark):
     assert [r.t for r in rows] == [None if r.x is None else f"{r.x:.10g}" for r in rows]
 
 
+def test_numbers_beside_ties(spark):
+    """Doubles just beside a decimal tie, and exact ties, are rounded as C rounds them."""
+    values = [k % 300 / (2000 + s * 10.0**n) for k in range(1, 300, 7) for s in range(1, 40, 3) for n in (1, 2, 4)] + [3.2470703125e-05, 5e-7, 2.0000005, 0.0000015, 0.125, -5e-7, float("nan"), None]
+    rows = spark.createDataFrame([(x,) for x in values], "x double").select("x", fn.general_number(F.col("x")).alias("g"), fn.fixed_number(F.col("x")).alias("f")).collect()
+    assert [(r.g, r.f) for r in rows] == [(None, None) if r.x is None else (f"{r.x:.10g}", f"{r.x:.6f}") for r in rows]
+
+
 def test_snp_distance_cases_and_brute_force(spark):
     two = distance.snp_pairs(aligned(spark, [("seq1", "ACGT-N"), ("seq2", "ACGG-N")]), 6).collect()
     assert [(r.snp_count, r.comparable_sites, r.distance) for r in two] == [(1, 4, 0.25)]
