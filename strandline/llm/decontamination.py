@@ -27,8 +27,6 @@ SPANS = (4, 2)
 RANK = 128
 OVERSAMPLE = 16
 FEATURES = 1 << 15
-#: The SVD is fitted on the items and on about this many documents, drawn by a hash of doc_id.
-FIT_DOCUMENTS = 1000
 #: A task holds one block of the benchmark, of about so many items and characters; a larger benchmark is searched block by block.
 BLOCK_ITEMS = 20_000
 BLOCK_CHARACTERS = 16_000_000
@@ -216,7 +214,7 @@ def _apply(row: np.ndarray, word: np.ndarray, weight: np.ndarray, n: int, basis:
 
 
 def latent_basis(docs: DataFrame, items: Items, rank: int = RANK) -> np.ndarray:
-    """``features x rank``: leading right singular vectors of the TF-IDF passages of the items and a sample of ``docs``.
+    """``features x rank``: leading right singular vectors of the TF-IDF passages of the items and of all ``docs``.
 
     Randomised SVD in two distributed products: A'(A G) for a random G gives the range, and (A Q)'(A Q) its rotation.
     Each task returns sums by feature, which are added in Spark; the driver holds ``features x (rank + 16)`` numbers,
@@ -225,9 +223,7 @@ def latent_basis(docs: DataFrame, items: Items, rank: int = RANK) -> np.ndarray:
     size = min(FEATURES, max(1, len(items.vocabulary)))
     width = min(size, rank + OVERSAMPLE)
     context = docs.sparkSession.sparkContext
-    total = docs.count()
-    share = min(1.0, FIT_DOCUMENTS / max(total, 1))
-    sample = _texts(docs).filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
+    texts = _texts(docs)
     shared = context.broadcast(items)
 
     def products(basis: np.ndarray, gram: bool) -> np.ndarray:
@@ -242,9 +238,9 @@ def latent_basis(docs: DataFrame, items: Items, rank: int = RANK) -> np.ndarray:
                     p = _Passages(words(chunk, "alnum"), held, flags)
                     if not p.first[-1]:
                         continue
-                    start = np.flatnonzero(p.mass(SPANS[0]) >= floor)[:: SPANS[0]]
-                    for i in range(0, len(start), 512):
-                        some = start[i : i + 512]
+                    start = np.flatnonzero(p.mass(SPANS[0]) >= floor)
+                    for i in range(0, len(start), 8192):
+                        some = start[i : i + 8192]
                         y = p.vectors(some, SPANS[0], g)
                         if gram:
                             out += y.T @ y
@@ -269,7 +265,7 @@ def latent_basis(docs: DataFrame, items: Items, rank: int = RANK) -> np.ndarray:
         out = y.T @ y if gram else np.zeros((len(basis), basis.shape[1]))
         if not gram:
             np.add.at(out, word % len(basis), weight[:, None] * y[row])
-        parts = sample.mapInArrow(run, "feature long, sums binary").repartition(8, "feature").mapInArrow(add, "feature long, sums binary")
+        parts = texts.mapInArrow(run, "feature long, sums binary").repartition(8, "feature").mapInArrow(add, "feature long, sums binary")
         for feature, sums in parts.collect():
             out[feature] += np.frombuffer(bytes(sums))
         return out

@@ -183,6 +183,27 @@ def test_language_and_toxicity(spark):
     assert toxicity.fit(rows.limit(0)).scores(__import__("pyarrow").array(["x"]))[0] < 0.5
 
 
+def test_decontamination_basis_is_of_all_documents(spark):
+    """The basis of one feature direction follows every document, so that more than a drawn part of them counts."""
+    items = [f"alpha{i} beta{i} gamma{i} delta{i} common words here" for i in range(6)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rng = __import__("random").Random(3)
+    texts = [" ".join(rng.choice(items).split()[::-1]) for _ in range(2500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = decontamination._prepared(docs, bench)[0]
+    basis = decontamination.latent_basis(docs, held, rank=1)[:, 0]
+    a = [[float(held.idf[j]) * text.split().count(w) for j, w in enumerate(held_words)] for held_words in [_spelled(held, items)] for text in texts + items]
+    first = __import__("numpy").linalg.svd(__import__("numpy").array(a), full_matrices=False)[2][0]
+    assert abs(abs(float(first @ basis)) - 1) < 1e-3
+
+
+def _spelled(held, items):
+    """The word behind each place of the vocabulary."""
+    pa = __import__("pyarrow")
+    word = {int(decontamination._hashes(pa.array([w]))[0][0]): w for text in items for w in text.split()}
+    return [word[int(h)] for h in held.vocabulary]
+
+
 def test_decontamination_finds_items_of_common_words(spark):
     items = [" ".join(word() for _ in range(40)) for _ in range(3)]
     usual = [word() for _ in range(30)]
