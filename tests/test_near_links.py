@@ -73,6 +73,18 @@ def test_few_pairs_are_compared(spark):
         assert done.pairs == 2 * 200 * 199 // 2 and done.compared < 0.05 * done.pairs
 
 
+def test_rows_of_few_plain_sites(spark):
+    """Rows that share hardly any site of their sketches are told apart over whole rows, so that few pairs are read whole."""
+    rng = random.Random(6)
+    seqs = ["".join(rng.choice("ACGT" + "N" * 36) for _ in range(4000)) for _ in range(60)] + ["".join(rng.choice("ACGT") for _ in range(900)) for _ in range(60)]
+    seqs += [s[:-2] + "AC" for s in seqs[::20]]
+    all_rows = frame(spark, seqs, ("1a",))
+    aligned = all_rows.select(F.col("genotype").alias("g"), F.col("record_idx").alias("i"), F.col("seq_id").alias("s"), F.col("aligned").alias("q"))
+    assert near_links.Index(aligned, 0.03, None).near().count() < 0.05 * len(seqs) * (len(seqs) - 1) / 2
+    got = rows(near_links.near_links(all_rows, at_most=0.03, block_rows=16))
+    assert got == rows(distance.snp_pairs(all_rows, at_most=0.03)) and len(got) >= 6
+
+
 def test_edges(spark):
     aligned = frame(spark, ["ACGT" * 30, "ACGT" * 30, "ACGA" * 30], (None,))
     assert near_links.near_links(aligned, at_most=0.03).count() == 0
