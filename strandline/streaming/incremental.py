@@ -21,10 +21,10 @@ from strandline.functions.sequence import fingerprint, upper_ascii
 from strandline.operators import near_links
 from strandline.operators.graph import min_labels
 from strandline.operators.reuse import with_fingerprint
-from strandline.session import ship_code
+from strandline.session import materialise, ship_code
 
 SAMPLES = "genotype string, record_idx long, seq_id string, sequence string, aligned string, fingerprint string, r long, prefix string"
-SKETCHES = "g string, r long, plain int, k int, files long, bits binary"
+SKETCHES = "g string, r long, plain int, k int, files long, bits binary, sparse boolean"
 LINKS = "genotype string, source string, target string, distance double, snp_count int, comparable_sites int"
 LABELS = "node string, label string"
 
@@ -72,13 +72,22 @@ def new_links(spark: SparkSession, store: str, number: int, at_most: float | Non
     """Links that batch ``number`` adds: of its samples among themselves and with stored ones."""
     fresh = spark.read.schema(SKETCHES).parquet(_path(store, "sketches", number)).withColumn("own", F.lit(True))
     wide = fresh.unionByName(_before(spark, store, "sketches", SKETCHES, number).drop("batch").withColumn("own", F.lit(False)))
-    wide = wide.filter("g is not null")
+    # a store written before rows were told apart so has no value there
+    wide = wide.filter("g is not null").withColumn("sparse", F.coalesce("sparse", F.lit(True)))
     if at_most is not None and at_most < 1:
         wide = wide.filter("plain > 0")
-    cells = near_links.block_cells(wide.select("g", F.lit(-1).cast("long").alias("file"), "r", "own"), block_rows)
-    near = cells.join(wide.select("r", "k", "bits"), "r").groupBy("g", "file", "a", "b").applyInArrow(near_links.near_in_cell, "x long, y long").distinct()
     samples = spark.read.schema(SAMPLES).parquet(_path(store, "samples", number)).unionByName(_before(spark, store, "samples", SAMPLES, number).drop("batch"))
-    found = near_links.confirmed(near, samples.select("r", F.col("aligned").alias("q")), at_most, most_snps)
+    member = lambda file, own: (F.lit(file).cast("long").alias("file"), "r", own.alias("own"))
+    plain = wide.filter("not sparse").select("g", *member(-1, F.col("own")))
+    # a sparse row meets the others over whole rows: a new one all rows, a stored one the new rows
+    new_sparse, old_sparse = F.col("own") & F.col("sparse"), ~F.col("own") & F.col("sparse")
+    held = lambda c: wide.filter(c).select("g").distinct()
+    few = wide.join(held(new_sparse), "g", "left_semi").select("g", *member(-2, new_sparse))
+    few = few.unionByName(wide.filter(F.col("own") | old_sparse).join(held(old_sparse), "g", "left_semi").select("g", *member(-3, old_sparse)))
+    whole = wide.select("r", "k").join(near_links.whole_rows(samples.select("r", F.col("aligned").alias("q")).join(few.select("r").distinct(), "r", "left_semi")), "r")
+    near = near_links.near_in_cells(plain, wide.select("r", "k", "bits"), block_rows).unionByName(near_links.near_in_cells(few, whole, block_rows))
+    near = near.filter((F.shiftright("x", 40) == number) | (F.shiftright("y", 40) == number)).distinct()
+    found = near_links.confirmed(materialise(near, "near"), samples.select("r", F.col("aligned").alias("q")), at_most, most_snps)
     end = lambda e: samples.select(F.col("r").alias(e), *([F.col("genotype")] if e == "x" else []), F.col("record_idx").alias(f"i{e}"), F.col("seq_id").alias(f"s{e}"))
     ends = found.join(end("x"), "x").join(end("y"), "y")
     return near_links.as_links(ends.withColumnRenamed("genotype", "g"), "genotype")
