@@ -84,10 +84,11 @@ def new_links(spark: SparkSession, store: str, number: int, at_most: float | Non
     held = lambda c: wide.filter(c).select("g").distinct()
     few = wide.join(held(new_sparse), "g", "left_semi").select("g", *member(-2, new_sparse))
     few = few.unionByName(wide.filter(F.col("own") | old_sparse).join(held(old_sparse), "g", "left_semi").select("g", *member(-3, old_sparse)))
-    whole = wide.select("r", "k").join(near_links.whole_rows(samples.select("r", F.col("aligned").alias("q")).join(few.select("r").distinct(), "r", "left_semi")), "r")
-    near = near_links.near_in_cells(plain, wide.select("r", "k", "bits"), block_rows).unionByName(near_links.near_in_cells(few, whole, block_rows))
+    bits = near_links.whole_rows(samples.select("r", F.col("aligned").alias("q")))
+    whole = few.join(wide.select("r", "k"), "r").join(bits.withColumnRenamed("whole", "bits"), "r")
+    near = near_links.near_in_cells(plain.join(wide.select("r", "k", "bits"), "r"), block_rows).unionByName(near_links.near_in_cells(whole, block_rows))
     near = near.filter((F.shiftright("x", 40) == number) | (F.shiftright("y", 40) == number)).distinct()
-    found = near_links.confirmed(materialise(near, "near"), samples.select("r", F.col("aligned").alias("q")), at_most, most_snps)
+    found = near_links.confirmed(materialise(near, "near"), bits, at_most, most_snps)
     end = lambda e: samples.select(F.col("r").alias(e), *([F.col("genotype")] if e == "x" else []), F.col("record_idx").alias(f"i{e}"), F.col("seq_id").alias(f"s{e}"))
     ends = found.join(end("x"), "x").join(end("y"), "y")
     return near_links.as_links(ends.withColumnRenamed("genotype", "g"), "genotype")

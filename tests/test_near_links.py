@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,20 @@ def test_edges(spark):
     for wrong in ({}, {"at_most": -1.0}, {"most_snps": -1}):
         with pytest.raises(ValueError):
             near_links.near_links(same, **wrong)
+
+
+def test_sites_meet_once_in_a_group(spark):
+    """Rows that are all near each other send their sites to one cell, not to one for each pair; a large group is split."""
+    rng = random.Random(3)
+    start = "".join(rng.choice("ACGT") for _ in range(500))
+    seqs = [start[:j] + "N" + start[j + 1 :] for j in range(80)] + families(rng, "ACGT", [400], 10, 5)
+    aligned = frame(spark, seqs, ("1a",))
+    index = near_links.Index(aligned.select(F.col("genotype").alias("g"), F.col("record_idx").alias("i"), F.col("seq_id").alias("s"), F.col("aligned").alias("q")), 0.03, None)
+    near = index.near().localCheckpoint()
+    dealt, sent, cells = near_links.meetings(near)
+    assert cells == 1 and dealt.count() == near.count() > 80 * 79 // 2 and sent.count() <= len(seqs)
+    dealt, sent, cells = near_links.meetings(near, 16)
+    assert dealt.groupBy("c", "a", "b").count().count() > 20 and sent.count() < len(seqs) * 12
+    every = lambda one, two: (np.ones(len(one), bool), [])
+    pairs = lambda df: sorted((r.x, r.y) for r in df.collect())
+    assert pairs(near_links.over_pairs(near, index.seqs, every, (), 16)) == pairs(near)
