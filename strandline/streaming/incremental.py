@@ -21,6 +21,7 @@ from strandline.functions.sequence import fingerprint, upper_ascii
 from strandline.operators import near_links
 from strandline.operators.graph import min_labels
 from strandline.operators.reuse import with_fingerprint
+from strandline.operators.site_bits import whole_rows
 from strandline.session import materialise, ship_code
 
 SAMPLES = "genotype string, record_idx long, seq_id string, sequence string, aligned string, fingerprint string, r long, prefix string"
@@ -84,7 +85,7 @@ def new_links(spark: SparkSession, store: str, number: int, at_most: float | Non
     held = lambda c: wide.filter(c).select("g").distinct()
     few = wide.join(held(new_sparse), "g", "left_semi").select("g", *member(-2, new_sparse))
     few = few.unionByName(wide.filter(F.col("own") | old_sparse).join(held(old_sparse), "g", "left_semi").select("g", *member(-3, old_sparse)))
-    bits = near_links.whole_rows(samples.select("r", F.col("aligned").alias("q")))
+    bits = whole_rows(samples.select("r", F.col("aligned").alias("q")))
     whole = few.join(wide.select("r", "k"), "r").join(bits.withColumnRenamed("whole", "bits"), "r")
     near = near_links.near_in_cells(plain.join(wide.select("r", "k", "bits"), "r"), block_rows).unionByName(near_links.near_in_cells(whole, block_rows))
     near = near.filter((F.shiftright("x", 40) == number) | (F.shiftright("y", 40) == number)).distinct()

@@ -113,3 +113,17 @@ def test_sites_meet_once_in_a_group(spark):
     every = lambda one, two: (np.ones(len(one), bool), [])
     pairs = lambda df: sorted((r.x, r.y) for r in df.collect())
     assert pairs(near_links.over_pairs(near, index.seqs, every, (), 16)) == pairs(near)
+
+
+def test_pairs_are_bounded_before_they_are_counted(spark):
+    """TN93 links by the link search, modes by the share of differing sites, and counts summed in the tasks equal those of all pairs."""
+    rng = random.Random(8)
+    aligned = frame(spark, families(rng, "ACGT" * 6 + "N-RY", [150, 700], 6, 6) + ["", None, "ACGT" * 30, "ACGT" * 30], ("1a",))
+    got = lambda df: {(r.source, r.target): pytest.approx(r.distance, abs=1e-9) for r in df.collect()}
+    for mode in distance.MODES:
+        every = distance.tn93_pairs(aligned, mode, block_rows=16)
+        assert got(distance.tn93_pairs(aligned, mode, 0.2, block_rows=16)) == got(every.filter("distance <= 0.2"))
+        if mode == "skip":
+            assert got(near_links.near_tn93(aligned, 0.05)) == got(every.filter("distance <= 0.05"))
+    counts = distance.summary_of_counts(distance.snp_histogram(aligned, block_rows=16), ["genotype"]).collect()
+    assert counts == distance.snp_summary(distance.snp_pairs(aligned), ["genotype"]).collect()
