@@ -1,12 +1,14 @@
 """Links under a threshold by the window index against all pairs."""
 
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strandline.operators import distance, near_links
+from strandline.session import release
 
 SCHEMA = "genotype string, record_idx long, seq_id string, aligned string, g string, i long, r long, n long"
 
@@ -127,3 +129,17 @@ def test_pairs_are_bounded_before_they_are_counted(spark):
             assert got(near_links.near_tn93(aligned, 0.05)) == got(every.filter("distance <= 0.05"))
     counts = distance.summary_of_counts(distance.snp_histogram(aligned, block_rows=16), ["genotype"]).collect()
     assert counts == distance.snp_summary(distance.snp_pairs(aligned), ["genotype"]).collect()
+
+
+def test_a_block_is_sent_once_to_itself_and_finished_shuffles_go(spark):
+    wide = spark.range(40).select(F.lit("1a").alias("g"), F.lit(-1).cast("long").alias("file"), F.col("id").alias("r"), F.lit(True).alias("own"))
+    for block_rows, copies in ((64, 1), (10, 4)):  # once to each cell of its block
+        assert near_links.block_cells(wide, near_links.cell_sizes(wide), block_rows).count() == copies * 40
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    near_links.materialise(spark.range(1000).repartition(50))
+    before, until = held(), time.time() + 20
+    assert before
+    release(spark)
+    while held() and time.time() < until:
+        time.sleep(0.1)
+    assert held() < before
