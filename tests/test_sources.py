@@ -57,6 +57,29 @@ def test_genbank_edges(spark, tmp_path):
             read(spark, str(path)).collect()
 
 
+def test_features_are_those_of_parse_record(spark, tmp_path):
+    """The rows of features are those of whole records, also where lines are odd, and the sequence is not read for them."""
+    line, more = "     {:<16}{}\n".format, (" " * 21 + "{}\n").format
+    odd = [
+        line("CDS", "complement(join(<1..5,") + more("J00194.1:100..202,7..>90))") + more('/gene="a ""b""') + more("c  ") + more('/product="x') + more("") + more('  y=z"') + more("/gene=second"),
+        line("gene", "9") + more("/gene") + more("/gene=late") + line("source", "J1:") + line("note", "order(3^4, 12)") + more('/genes="no"') + more('/translation="MA') + more('KL"'),
+        line("misc", "  5..6  ") + "           xx        " + '/product=" a b\t"\n' + "      \n" + "     \n" + line("x", "") + more("8..10") + more('/product="\xa0q"'),
+        "    broken\n" + line("gene", "1..2"),
+        more("lost") + line("a_name_of_16_and_more", "4..5"),
+        line("CDS", "1..2") + "\x0c" + line("CDS", "3"),
+        "",
+    ]
+    heads = ["LOCUS       x\nACCESSION   Q9 z\nVERSION     V.1\n", "LOCUS       x\nVERSION\nACCESSION   Q9\n", "LOCUS       x\n"]
+    texts = [h + f"FEATURES             Location/Qualifiers\n{t}ORIGIN\n        1 acgt\n" for t in odd for h in heads] + [heads[0] + "ORIGIN\n"]
+    path = tmp_path / "o.gb"
+    path.write_text("//\n".join(texts) + "//\n")
+    want = [[(record.accession, i, f.type, f.start, f.end, len(f.parts), f.reverse, f.first("product"), f.first("gene")) for i, f in enumerate(record.features)] for record in map(genbank.parse_record, texts)]
+    found = genbank.read_features(spark, str(path))
+    got = [r[1:] for r in found.orderBy("record_idx", "feature_idx").collect()]
+    assert [tuple(r) for r in got] == [x for record in want for x in record] and len(got) > 20
+    assert [genbank.features_of(t)[1] for t in texts] == [[x[1:] for x in record] for record in want]
+
+
 def test_fasta_faults_come_together(spark, tmp_path):
     path = tmp_path / "s.fa"
     path.write_text("ACGT\n>a x\nAC\n>\nGG\n>a y\nAC\n>b\nA\n")
