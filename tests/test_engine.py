@@ -180,6 +180,32 @@ def test_split_hits_are_chained(spark, tmp_path):
     assert len(rows["q"]) == 27
 
 
+def test_assignments_read_hits_once(spark):
+    """What a row of assignments has of its hits is what ``ranked_hits`` and ``coverage_hits`` say, from one exchange of the hits."""
+    draw = random.Random(2)
+    pick = lambda *x: draw.choice(x)
+    kinds = "query_id string, target_id string, primary boolean, alignment_score long, matching_bases long, query_aligned_bases long, identity double, mapq long, query_coverage double, query_span_coverage double, target_coverage double, identity_method string, block_identity double, alignment_block_length long, alignment_segment_count int"
+    made = [(f"q{i % 40}", pick("1a_x", "1a_y", "3a_z", "_w", "") + str(i), pick(True, False), pick(90, 99, 100), pick(1, 2), pick(3, 4), pick(0.7, 0.8, None), pick(5, 60), pick(0.4, 0.6, None, float("nan")), i / 7, i / 9, "m", 0.5, i, i) for i in range(300)]
+    hits = spark.createDataFrame(made, kinds)
+    found = genotyping.assignments(spark.createDataFrame([(f"q{i}", "ACGTN") for i in range(42)], "seq_id string, sequence string"), hits)
+    rows = {r.sequence_id: r for r in found.collect()}
+    ranked: dict = {}
+    for r in genotyping.ranked_hits(hits).orderBy("query_id", "hit_rank").collect():
+        ranked.setdefault(r.query_id, []).append(r)
+    covering = {r.query_id: r for r in genotyping.coverage_hits(hits).collect()}
+    group = lambda t: t.partition("_")[0]
+    for q, row in rows.items():
+        h = ranked.get(q, [])
+        near = [x.target_id for x in h[1:] if x.alignment_score >= h[0].alignment_score * 0.98]
+        others = [group(t) for t in near if group(t) and group(t) != group(h[0].target_id)] if h and group(h[0].target_id) else []
+        c = covering.get(q)
+        assert row.best_ref == (h[0].target_id if h else "") and row.second_alignment_score == (h[1].alignment_score if len(h) > 1 else None)
+        assert (row.close_hits, row.other_potential_genotypes) == (";".join(near), ";".join(dict.fromkeys(others)))
+        assert (row.coverage_ref, row.target_coverage, row.alignment_segment_count) == ((c.target_id, c.target_coverage, c.alignment_segment_count) if c else ("", None, 0))
+    assert len(rows) == 42 and len(covering) > 20
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number()") == 1
+
+
 def test_chains_refuse_discordant_gaps_and_overlaps():
     hit = lambda qs, qe, ts, te, score: {"query_start": qs, "query_end": qe, "target_start": ts, "target_end": te, "alignment_score": score, "matching_bases": score, "primary": True, "strand": "+"}
     assert len(genotyping.best_chain([hit(0, 3000, 0, 3000, 900), hit(4000, 7000, 7000, 9500, 800)])) == 1
