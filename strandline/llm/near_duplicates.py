@@ -2,8 +2,9 @@
 
 Documents with one set of shingles are one node. Each node is posted under (coordinate, value) for a prefix of its
 signature, the m - t + 1 values that fewest nodes share: two signatures that agree in t of m places agree in one of
-both prefixes, so the other coordinates need no postings. Pairs found in a posting list
-are kept when their whole signatures reach the match threshold, then confirmed on the full shingle sets.
+both prefixes, so the other coordinates need no postings. A posting carries two bits of every coordinate; pairs found in
+a posting list are kept when these bits agree in as many coordinates as the match threshold, which whole signatures that
+reach it always do, and then confirmed on the full shingle sets.
 
 A posting list is never expanded into all its pairs. Lists of up to ``small`` nodes are; longer ones link every node to
 the list's first node, are split by a second coordinate and handled in the same way. Most lists are then within one
@@ -12,6 +13,10 @@ whole list, block by block in numpy, and skips a pair at every coordinate but th
 on signatures alone at first. The rows that have a candidate pair across components then get their texts, and their
 pairs are confirmed or refuted on full sets in one task a cell, which emits only links that join components. The chance that a pair at
 exactly the similarity threshold has fewer matches than the match threshold is about 2e-6 (41 of 64 at 0.85).
+
+A shuffle costs a task for each partition however few its rows are, so steps share one where they can: a set's first
+document brings its signature along, rare and split lists meet in one join, and a document's partners are gathered
+where its pairs are made distinct.
 """
 
 from __future__ import annotations
@@ -25,17 +30,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm._tokens import chunks, grams, mix, randoms, run_hash, runs, words
-from strandline.operators.graph import min_labels
+from strandline.operators.graph import star_edges
 from strandline.session import materialise, ship_code, table
 
 COORDINATES = 64
 SMALL = 16
 HOME = 256
-#: Parts in which the rows of one smallest partner meet its count; only partners of over HOME rows have a count.
-DEALS = 32
 BLOCK = 1024
 BLOCK_SHINGLES = 2_000_000
 FILTER_BITS = 1 << 26
+LAST = (1 << 63) - 1
+SET = ["set_a", "set_b", "n_shingles"]
 LIGHT = ["key", "tb", "qb", "asks", "answers", "node", "label", "before", "outside"]
 Row = namedtuple("Row", [*LIGHT, "sig", "payload"], defaults=[None])
 
@@ -77,89 +82,108 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a.append(s.sum(dtype=np.uint64))
                 b.append(np.bitwise_xor.reduce(mix(s)) if len(s) else np.uint64(0))
                 sig.append(_signature(s, mult, add))
-        flat = np.concatenate(sig).view(np.int32) if sig else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * COORDINATES), pa.array(flat))
+        every = np.array(sig, np.uint32).reshape(-1, COORDINATES)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * COORDINATES), pa.array(every.ravel().view(np.int32)))
+        bits = [np.packbits((every >> i & 1).astype(np.uint8), axis=1).view(np.int64).ravel() for i in (0, 1)]
         longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(n, np.int64)), *longs, lists], names=["doc_id", "n_shingles", "set_a", "set_b", "sig"])
+        columns = [batch.column(0), pa.array(np.array(n, np.int64)), *longs, lists, *(pa.array(x) for x in bits)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_a", "set_b", "sig", "low", "high"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, sig``: set_a and set_b are a 128-bit hash of the shingle set."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sign, "doc_id long, n_shingles long, set_a long, set_b long, sig array<int>")
-
+    """``doc_id, n_shingles, set_a, set_b, sig, low, high``.
 
-def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).filter("u < v")
+    set_a and set_b are a 128-bit hash of the shingle set, low and high the last two bits of each value of the signature.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(_sign, "doc_id long, n_shingles long, set_a long, set_b long, sig array<int>, low long, high long")
 
 
-def _with_prefix(nodes: DataFrame, length: int, small: int) -> DataFrame:
-    """``nodes`` with ``prefix``: the coordinates of the signature's ``length`` rarest values, rarest first.
+def _with_prefix(signed: DataFrame, length: int, small: int) -> DataFrame:
+    """A row for each set of ``signed``, with its smallest doc_id as ``node``, and ``prefix``, the ``length`` rarest values
+    of its signature, rarest first: ``n`` and coordinate ``at``.
 
-    Values that at most ``small`` nodes share count as equally rare; ties go by coordinate. The order is the same for all
-    nodes, so two that agree in enough coordinates agree in one of both prefixes.
+    n is the number of documents that share the value, 0 if at most ``small`` do: these count as equally rare; ties go by
+    coordinate. The order is the same for all nodes, so two that agree in enough coordinates agree in one of both prefixes.
     """
-    sid = F.xxhash64("sig").alias("sid")
-    tokens = nodes.select("node", sid, F.posexplode("sig").alias("at", "value")).select("node", "sid", "at", F.xxhash64("at", "value").alias("key"))
+    tokens = signed.select(*SET, F.posexplode("sig").alias("at", "value")).select(*SET, "at", F.xxhash64("at", "value").alias("key"))
     common = materialise(tokens.groupBy("key").agg(F.count("*").alias("n")).filter(f"n > {small}"), "common")
-    counts = tokens.join(common, "key").groupBy("node", "sid").agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("counts"))
+    counts = tokens.join(common, "key").groupBy(SET).agg(F.map_from_entries(F.collect_set(F.struct("at", "n"))).alias("counts"))
     ranked = F.sort_array(F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda i: F.struct(F.coalesce(F.try_element_at("counts", i), F.lit(0).cast("long")).alias("n"), i.alias("at"))))
-    out = nodes.withColumn("sid", sid).join(materialise(counts, "counts"), ["node", "sid"], "left")
-    return out.select("node", "sig", "size", F.slice(ranked, 1, length).getField("at").alias("prefix"))
-
-
-def _list_pairs(posts: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of posting lists ``(key, node)``: all of a small list, a star of a longer one; and the longer lists' keys."""
-    lists = posts.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).filter("n > 1")
-    member = posts.join(lists, "key")
-    star = _ordered(member, "centre", "node")
-    few = member.filter(f"n between 3 and {small}").select("key", "node")
-    inside = _ordered(few.join(few.withColumnRenamed("node", "other"), "key").filter("node < other"), "node", "other")
-    return star.unionByName(inside), lists.filter(f"n > {small}").select("key", F.col("n"))
+    first = [F.first(c).alias(c) for c in ("sig", "low", "high")]  # equal sets have equal signatures
+    nodes = signed.groupBy(SET).agg(F.min("doc_id").alias("node"), *first)
+    return nodes.join(counts, SET, "left").select(*nodes.columns, F.slice(ranked, 1, length).alias("prefix"))
 
 
-def _checked(pairs: DataFrame, items: DataFrame, test: Callable[[dict, int, list[int]], list[int]], home: int = HOME) -> DataFrame:
-    """The pairs ``(u, v)`` that pass ``test`` on the payloads of their two ends.
+def _partners(posts: DataFrame, small: int, least: int) -> DataFrame:
+    """``v, c, us``: the partners before each node in the posting lists ``(key, next, common, node, low, high)``, and the first.
 
-    Pairs are dealt out by the smallest partner of v, in portions of about ``home`` ends, so that a payload travels once
-    for each portion and not once for each pair, and a centre with any number of partners is spread over many tasks.
+    All pairs of a list of up to ``small`` nodes, a star of a longer one. Only a value that is ``common`` can have a long
+    list; its posts are also split by the value ``next``. A node has as many partners as its lists are short and long,
+    however long they are. Pairs whose bits agree in fewer than ``least`` coordinates are none.
     """
-    own = pairs.groupBy("v").agg(F.min("u").alias("c"))
-    load = own.groupBy("c").agg(F.ceil(F.count("*") / home).alias("portions")).filter("portions > 1")
-    load = load.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
-    own = own.withColumn("deal", F.pmod(F.xxhash64("v"), F.lit(DEALS)).cast("int")).join(load, ["c", "deal"], "left")
-    own = own.select("v", "c", F.pmod(F.xxhash64("v"), F.coalesce("portions", F.lit(1))).alias("salt"))
-    dealt = pairs.join(own, "v")
-    asks = dealt.groupBy("c", "salt", F.col("v").alias("doc")).agg(F.collect_list("u").alias("us"))
-    given = dealt.select("c", "salt", F.col("u").alias("doc")).distinct().withColumn("us", F.lit(None).cast("array<long>"))
-    ends = materialise(asks.unionByName(given), "ends")  # its size is known then, so few ends do not make all payloads move
-    rows = ends.join(items.withColumnRenamed("node", "doc"), "doc").select("c", "salt", "doc", "us", "payload")
+    own = ["key", "node", "low", "high"]
+    many = posts.filter("common").withColumn("key", F.explode(F.array("key", F.xxhash64("key", "next")))).select(own)
+    lists = many.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).filter("n > 1")
+    lists = materialise(lists, "lists")  # read from files, it is broadcast or lets Spark split a long list's posts in the join
+    # a node leads the later ones of its list from its own id on; in a long list only the first does
+    lead = F.when((F.col("n") <= small) | (F.col("node") == F.col("centre")), F.col("node")).otherwise(LAST)
+    every = posts.filter("not common").select(*own, F.col("node").alias("lead")).unionByName(many.join(lists, "key").select(*own, lead.alias("lead")))
+    every = every.filter("node is not null and lead is not null and key is not null")  # both sides of the join are one shuffle then
+    pairs = every.alias("a").join(every.alias("b"), F.expr(f"a.key = b.key and a.lead < b.node and bit_count((a.low ^ b.low) | (a.high ^ b.high)) <= {COORDINATES - least}"))
+    pairs = pairs.select(F.col("a.lead").alias("u"), F.col("b.node").alias("v"))
+    return pairs.groupBy("v").agg(F.min("u").alias("c"), F.collect_set("u").alias("us"))
+
+
+def _confirmed(partners: DataFrame, texts: DataFrame, percent: int, home: int = HOME) -> DataFrame:
+    """The pairs ``(u, v)`` of ``partners`` whose shingle sets overlap enough; ``partners`` is a written table.
+
+    They are dealt out by the first partner of v, in portions of about ``home`` ends, so that a text travels once for
+    each portion and not once for each pair, and a centre with any number of partners is spread over many tasks. Only
+    centres of more than one portion have a number of portions, fewer than one in ``home`` documents.
+    """
+    load = partners.groupBy("c").agg(F.ceil(F.count("*") / home).alias("portions")).filter("portions > 1")
+    dealt = partners.join(F.broadcast(load), "c", "left").withColumn("salt", F.pmod(F.xxhash64("v"), F.coalesce("portions", F.lit(1))))
+    end = lambda doc, us: F.struct(doc.alias("doc"), us.alias("us"))
+    given = F.transform("us", lambda u: end(u, F.array().cast("array<long>")))
+    ends = dealt.select("c", "salt", F.inline(F.concat(F.array(end(F.col("v"), F.col("us"))), given)))
+    ends = ends.groupBy("c", "salt", "doc").agg(F.flatten(F.collect_list("us")).alias("us"))
+    ends = materialise(ends, "ends")  # its size is known then, so few ends do not make all texts move
+    rows = ends.join(_sifted(texts, ends.select(F.col("doc").alias("node"))).withColumnRenamed("node", "doc"), "doc").select("c", "salt", "doc", "us", "payload")
+
+    def linked(held: dict[int, list], wanted: dict[int, list[int]]) -> pa.RecordBatch:
+        def sets(x: int) -> list[np.ndarray]:
+            if x in held and isinstance(held[x][0], pa.Scalar):  # several where rows repeat a doc_id
+                held[x] = list(shingle_sets(pa.array([t.as_py() for t in held[x]], pa.large_string())))
+            return held.get(x, [])
+
+        found = [(u, v) for v, us in wanted.items() for u in us if any(_overlap(a, b, percent) for a in sets(u) for b in sets(v))]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, wanted = None, {}, []
-
-        def done() -> pa.RecordBatch:
-            us, vs = [], []
-            for v, partners in wanted:
-                found = test(held, v, [u for u in partners if u in held]) if v in held else []
-                us += found
-                vs += [v] * len(found)
-            return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-
+        cell, held, wanted = None, {}, {}
         for batch in batches:
             for c, salt, doc, us, payload in zip(*(x.to_pylist() if i < 4 else x for i, x in enumerate(batch.columns)), strict=True):
-                if (c, salt) != key:
+                if (c, salt) != cell:
                     if wanted:
-                        yield done()
-                    key, held, wanted = (c, salt), {}, []
-                held[doc] = payload
-                if us is not None:
-                    wanted.append((doc, us))
+                        yield linked(held, wanted)
+                    cell, held, wanted = (c, salt), {}, {}
+                held.setdefault(doc, []).append(payload)
+                if us:
+                    wanted[doc] = us
         if wanted:
-            yield done()
+            yield linked(held, wanted)
 
     return rows.repartition("c", "salt").sortWithinPartitions("c", "salt").mapInArrow(run, "u long, v long")
 
 
+def _overlap(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _sifted(items: DataFrame, wanted: DataFrame) -> DataFrame:
     """``items`` without most of the rows whose node is not in ``wanted``, so that their payloads need not move.
 
@@ -172,37 +196,6 @@ def _sifted(items: DataFrame, wanted: DataFrame) -> DataFrame:
     return marked.filter(f"shiftright(bits, {bit}) & 1 = 1").select(items.columns)
 
 
-def _signatures_match(least: int) -> Callable[[dict, int, list[int]], list[int]]:
-    def test(held: dict, v: int, us: list[int]) -> list[int]:
-        def sig(x: int) -> np.ndarray:
-            if isinstance(held[x], pa.Scalar):
-                held[x] = held[x].values.to_numpy()
-            return held[x]
-
-        return [u for u in us if (sig(u) == sig(v)).sum() >= least]
-
-    return test
-
-
-def _sets_overlap(percent: int) -> Callable[[dict, int, list[int]], list[int]]:
-    def test(held: dict, v: int, us: list[int]) -> list[int]:
-        def shingles(x: int) -> np.ndarray:
-            if isinstance(held[x], pa.Scalar):
-                held[x] = next(shingle_sets(pa.array([held[x].as_py()], pa.large_string())))
-            return held[x]
-
-        out = []
-        for u in us:
-            a, b = shingles(u), shingles(v)
-            if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if both and 100 * both >= percent * (len(a) + len(b) - both):
-                    out.append(u)
-        return out
-
-    return test
-
-
 def _hits(q: list[tuple], t: list[tuple], part_q: np.ndarray, part_t: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each row of ``q``, the rows of ``t`` in another part that reach the match threshold and agree here first.
 
@@ -260,8 +253,8 @@ def _across(least: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
     """Links that join different labels within one cell: a block of a list against a block of its queries.
 
     Candidates agree at this list's coordinate first and reach the match threshold; they are confirmed or refuted here, on
-    full sets. A link between labels that the cell has joined already adds nothing, so a cell emits fewer links than it
-    has labels, however many pairs it compares.
+    full sets. A link is given as its two labels. One between labels that the cell has joined already adds nothing, so a
+    cell emits fewer links than it has labels, however many pairs it compares.
     """
 
     def judge(q: list[Row], t: list[Row]) -> pa.RecordBatch:
@@ -287,8 +280,8 @@ def _across(least: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
             for j in some[100 * both >= percent * (len(own) + sizes - both)]:
                 mine, other = part_q[i], part_t[j]
                 if mine != other:
-                    us.append(min(row.node, t[j].node))
-                    vs.append(max(row.node, t[j].node))
+                    us.append(row.label)
+                    vs.append(t[j].label)
                     part_t[part_t == other] = mine
                     part_q[part_q == other] = mine
         return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
@@ -296,8 +289,8 @@ def _across(least: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
     return _cells(judge, ["payload"])
 
 
-def _open_cells(labelled: DataFrame) -> DataFrame | None:
-    """The cells of the lists with several labels, or None if no list has: the columns ``LIGHT``.
+def _open_cells(labelled: DataFrame, small: int) -> DataFrame | None:
+    """The cells of the lists of over ``small`` nodes with several labels, or None if no list has: the columns ``LIGHT``.
 
     A list's members answer, and those outside its largest label ask; both are dealt into blocks of about ``BLOCK`` rows
     and ``BLOCK_SHINGLES`` shingles, so a task holds two blocks whatever the list's length. In a list of one block a
@@ -306,7 +299,7 @@ def _open_cells(labelled: DataFrame) -> DataFrame | None:
     by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("share"), F.sum("size").alias("weight"))
     shares = by_label.groupBy("key").agg(F.max(F.struct("share", "label", "weight")).alias("top"), F.count("*").alias("labels"), F.sum("share").alias("n"), F.sum("weight").alias("w"))
     blocks = lambda n, w: F.greatest(F.ceil(n / BLOCK), F.ceil(w / BLOCK_SHINGLES), F.lit(1)).cast("long")
-    several = shares.filter("labels > 1").select("key", F.col("top.label").alias("main"), blocks(F.col("n"), F.col("w")).alias("n_t"), blocks(F.col("n") - F.col("top.share"), F.col("w") - F.col("top.weight")).alias("n_q"))
+    several = shares.filter(f"labels > 1 and n > {small}").select("key", F.col("top.label").alias("main"), blocks(F.col("n"), F.col("w")).alias("n_t"), blocks(F.col("n") - F.col("top.share"), F.col("w") - F.col("top.weight")).alias("n_q"))
     several = materialise(several, "open")
     if not several.limit(1).count():
         return None
@@ -326,18 +319,18 @@ def _in_cells(cells: DataFrame, load: DataFrame) -> DataFrame:
     return cells.join(load, "node").select(*LIGHT, *[c for c in load.columns if c != "node"]).repartition("key", "tb", "qb").sortWithinPartitions("key", "tb", "qb")
 
 
-def _joining(labelled: DataFrame, nodes: DataFrame, texts: DataFrame, least: int, percent: int) -> DataFrame | None:
-    """Links between the labels of the lists with several, or None if there is no such list.
+def _joining(labelled: DataFrame, nodes: DataFrame, texts: DataFrame, small: int, least: int, percent: int) -> DataFrame | None:
+    """Links ``(u, v)`` between the labels of the long lists with several, or None if there is no such list.
 
     Signatures alone go to the cells first; texts follow only for the rows that have a candidate in their cell.
     """
-    cells, sig = _open_cells(labelled), nodes.select("node", "sig")
+    cells, sig = _open_cells(labelled, small), nodes.select("node", "sig")
     if cells is None:
         return None
     kinds = "key long, tb long, qb long, asks boolean, answers boolean, node long, label long, before long, outside boolean"
     met = materialise(_in_cells(cells, sig).mapInArrow(_meeting(least), kinds), "met")
     load = _sifted(sig, met).join(_sifted(texts, met), "node")
-    return materialise(_in_cells(met, load).mapInArrow(_across(least, percent), "u long, v long").distinct(), "links")
+    return _in_cells(met, load).mapInArrow(_across(least, percent), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> DataFrame:
@@ -352,44 +345,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85, small: int = SMALL) -> D
     ship_code(docs.sparkSession)
     least = match_threshold(percent)
     signed = materialise(signatures(docs), "signatures")
-    sets = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
-    nodes = materialise(signed.withColumnRenamed("doc_id", "node").join(sets, ["node", "set_a", "set_b", "n_shingles"]).select("node", "sig", F.col("n_shingles").alias("size")).dropDuplicates(["node", "sig"]), "nodes")
-    nodes = materialise(_with_prefix(nodes, COORDINATES - least + 1, small), "prefixes")
-    posts = nodes.select("node", F.posexplode("prefix").alias("pos", "at"), "prefix", "sig", "size")
+    nodes = materialise(_with_prefix(signed.filter("n_shingles > 0 and doc_id is not null"), COORDINATES - least + 1, small), "nodes")
+    posts = nodes.select("node", F.col("n_shingles").alias("size"), "sig", "low", "high", "prefix", F.posexplode("prefix").alias("pos", "at")).withColumn("common", F.col("at.n") > 0).withColumn("at", F.col("at.at"))
     value = lambda at: F.element_at("sig", at.cast("int") + 1)
-    before = F.expr("aggregate(slice(prefix, 1, pos), 0L, (m, x) -> m | shiftleft(1L, x))")
-    posts = posts.select("node", before.alias("before"), "size", F.xxhash64("at", value(F.col("at"))).alias("key"), value(F.pmod(F.col("at") + 37, F.lit(COORDINATES))).alias("next"))
-    first, long_lists = _list_pairs(posts.select("key", "node"), small)
-    long_lists = materialise(long_lists, "lists")
-    split = posts.join(long_lists, "key").select(F.xxhash64("key", "next").alias("key"), "node")
-    second, _ = _list_pairs(split, small)
+    before = F.expr("aggregate(slice(prefix, 1, pos), 0L, (m, x) -> m | shiftleft(1L, x.at))")
+    posts = posts.select("node", "size", "low", "high", "common", before.alias("before"), F.xxhash64("at", value(F.col("at"))).alias("key"), value(F.pmod(F.col("at") + 37, F.lit(COORDINATES))).alias("next"))
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("payload"))
-    links = _confirmed(materialise(first.unionByName(second).distinct(), "pairs"), nodes, texts, percent)
-    labels = min_labels(links, "u", "v")
-    labelled = posts.join(long_lists, "key").join(labels, "node", "left").select("key", "before", "node", "size", F.coalesce("label", "node").alias("label"))
-    more = _joining(labelled, nodes, texts, least, percent)
-    if more is not None and more.limit(1).count():
-        labels = _relabelled(labels, more)
-    of_set = sets.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", "node", F.coalesce("label", "node").alias("label"))
-    out = signed.join(of_set, ["set_a", "set_b", "n_shingles"], "left")
+    partners = materialise(_partners(posts, small, least), "partners")
+    labels = _labels(_confirmed(partners, texts, percent))
+    labelled = posts.filter("common").join(labels, "node", "left").select("key", "before", "node", "size", F.coalesce("label", "node").alias("label"))
+    more = _joining(labelled, nodes, texts, small, least, percent)
+    of_set = nodes.join(labels, "node", "left").select(*SET, F.coalesce("label", "node").alias("label"))
+    if more is not None:
+        above = _labels(more).select(F.col("node").alias("label"), F.col("label").alias("top"))
+        of_set = of_set.join(above, "label", "left").select(*SET, F.coalesce("top", "label").alias("label"))
+    out = signed.join(of_set, SET, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("label", "doc_id"), F.lit(True)).alias("kept"))
 
 
-def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` after ``links`` (u, v) between their components: only the components that the links join are labelled anew."""
-    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
-    ends = links.join(of("u"), "u", "left").join(of("v"), "v", "left")
-    above = min_labels(ends.select(F.coalesce("label_u", "u").alias("u"), F.coalesce("label_v", "v").alias("v")), "u", "v").withColumnRenamed("label", "top")
-    # a node that had no link so far is a component of its own
-    own = above.join(labels, "node", "left_anti").select("node", F.col("top").alias("label"))
-    moved = labels.join(above.withColumnRenamed("node", "label"), "label", "left")
-    return materialise(moved.select("node", F.coalesce("top", "label").alias("label")).unionByName(own), "labels")
-
-
-def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    matched = materialise(_checked(pairs, nodes.select("node", F.col("sig").alias("payload")), _signatures_match(match_threshold(percent))).distinct(), "matched")
-    ends = matched.select(F.col("u").alias("node")).unionByName(matched.select(F.col("v").alias("node")))
-    return materialise(_checked(matched, _sifted(texts, ends), _sets_overlap(percent)).distinct(), "links")
+def _labels(links: DataFrame) -> DataFrame:
+    """``node, label`` of the nodes that can reach a smaller one."""
+    return star_edges(links, "u", "v").select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
