@@ -143,3 +143,20 @@ def test_a_block_is_sent_once_to_itself_and_finished_shuffles_go(spark):
     while held() and time.time() < until:
         time.sleep(0.1)
     assert held() < before
+
+
+def test_blocks_meet_without_copies(spark):
+    """Blocks of all pairs and of the link search are written once; no copies of rows are shuffled, and each pair is found once."""
+    rng = random.Random(12)
+    seqs = families(rng, "ACGT" * 5 + "N", [90, 200], 5, 5) + ["", None, "acgu" * 20]
+    aligned = frame(spark, seqs, ("1a",))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    pairs = distance.snp_pairs(aligned, block_rows=6)
+    assert rows(pairs) == rows(distance.snp_pairs(aligned)) and pairs.count() == len(seqs) * (len(seqs) - 1) // 2
+    for df in (pairs, distance.snp_histogram(aligned, block_rows=6), distance.tn93_pairs(aligned, "average", 0.3, block_rows=6)):
+        assert "CartesianProduct" in plan(df) and "hashpartitioning" not in plan(df)
+    wide = near_links.sketches(near_links.index_rows(aligned, "genotype", "record_idx", "seq_id", "aligned").select("g", F.col("i").alias("r"), "q"), 0.03, None)
+    for own in (F.lit(True), F.col("r") % 4 == 0):
+        members = wide.select("g", F.lit(-1).cast("long").alias("file"), "r", own.alias("own"), "k", "bits")
+        got = [sorted((p.x, p.y) for p in near_links.near_in_cells(members, n).collect()) for n in (6, 1000)]
+        assert got[0] == got[1] and len(got[0]) == len(set(got[0])) > 5
