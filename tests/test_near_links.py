@@ -160,3 +160,8 @@ def test_blocks_meet_without_copies(spark):
         members = wide.select("g", F.lit(-1).cast("long").alias("file"), "r", own.alias("own"), "k", "bits")
         got = [sorted((p.x, p.y) for p in near_links.near_in_cells(members, n).collect()) for n in (6, 1000)]
         assert got[0] == got[1] and len(got[0]) == len(set(got[0])) > 5
+
+
+def test_rows_of_equal_bits_are_copies(spark):
+    aligned = frame(spark, ["ACGT" * 30 + "N", "acgt" * 30 + "-", "ACGA" * 30], ("1a",))
+    assert near_links.Index(near_links.index_rows(aligned, "genotype", "record_idx", "seq_id", "aligned"), 0.03, None).reps.count() == 2
